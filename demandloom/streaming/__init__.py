@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload is a daily batch refresh with full overwrites.
+
+Nothing in the operator inventory reads or writes a stream, so no streaming
+operator is offered.
+"""
