@@ -11,15 +11,42 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandloom.operators.refine import dedup_by_key
-from demandloom.plans.refresh import gold_features, keyed
+from demandloom.plans.refresh import gold, gold_features, keyed
 from demandloom.session import materialize
 from demandloom.sources.schemas import transactions_schema
 
 LINE_KEY = ["l_orderkey", "l_linenumber"]
 
+# Declared table schemas, so that no job runs to infer them.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def transaction_id():
@@ -88,8 +115,6 @@ def silver_slim(
 def gold_slim(
     spark: SparkSession, sf_dir: str, product: str = "p_brand", place: str = "n_name"
 ) -> DataFrame:
-    from demandloom.plans.refresh import gold
-
     return gold(silver_slim(spark, sf_dir, product, place), exact=True)
 
 

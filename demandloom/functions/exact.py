@@ -29,3 +29,22 @@ def mean_of_hundredths(total: Column, n: Column) -> Column:
     magnitude = integer_div(F.abs(total) * 2 + n, n * 2)
     signed = F.when(total < 0, -magnitude).otherwise(magnitude)
     return F.when(n > 0, from_hundredths(signed))
+
+
+def sum_of_squares(whole: Column) -> Column:
+    """Aggregate: exact sum of squares of a bigint column, as decimal(38,0).
+
+    Decimal arithmetic per row is slow, and a bigint sum of squares overflows
+    early. A square that fits 62 bits is cut into three limbs of 21 bits, each
+    summed as bigint, which holds for 4e12 rows; larger ones go through decimals.
+    """
+    small = F.abs(whole) < F.lit(1 << 31)
+    square = F.when(small, whole * whole).otherwise(F.lit(0))
+    mask = F.lit((1 << 21) - 1)
+    wide = whole.cast("decimal(19,0)")
+    total = F.sum(F.when(~small, wide * wide))
+    total = F.coalesce(total, F.lit(0).cast("decimal(38,0)"))
+    for shift in (0, 21, 42):
+        limb = F.sum(F.shiftright(square, shift).bitwiseAND(mask)).cast("decimal(19,0)")
+        total = total + limb * F.lit(1 << shift).cast("decimal(19,0)")
+    return total.cast("decimal(38,0)")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.functions.exact import hundredths
+from demandloom.functions.exact import hundredths, sum_of_squares
 
 
 def long_predictions(
@@ -40,21 +40,23 @@ def regression_metrics(
     scored = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
     y, p = F.col(label), F.col(prediction)
     if exact:
-        y, p = hundredths(y), hundredths(p)
-        error = y - p
-        # Squares as 38-digit integers: an overflow is an error, never a wrong sum.
+        scored = scored.select(*by, hundredths(y).alias("_label"), hundredths(p).alias("_guess"))
+        scored = scored.withColumn("_error", F.col("_label") - F.col("_guess"))
+        y, error = F.col("_label"), F.col("_error")
+        # 38-digit integers: an overflow is an error, never a wrong sum.
         sums = scored.groupBy(*by).agg(
             F.count(F.lit(1)).alias("n_rows"),
             F.sum(F.abs(error)).alias("_abs"),
-            F.sum(_square(error)).alias("_sse"),
+            sum_of_squares(error).alias("_sse"),
             F.sum(y).alias("_y"),
-            F.sum(_square(y)).alias("_yy"),
+            sum_of_squares(y).alias("_yy"),
         )
         n = F.col("n_rows")
         # n times the sums of squares; one division at the end.
         big_n = n.cast("decimal(19,0)")
         sse = big_n * F.col("_sse")
-        sst = big_n * F.col("_yy") - _square(F.col("_y"))
+        total = F.col("_y").cast("decimal(19,0)")
+        sst = big_n * F.col("_yy") - total * total
         mae = F.col("_abs").cast("double") / (n * 100).cast("double")
         rmse = F.sqrt(F.col("_sse").cast("double") / n.cast("double")) / F.lit(100.0)
         r2 = _r2(n, sse, sst)
@@ -72,11 +74,6 @@ def regression_metrics(
     return sums.select(*by, n, mae.alias("mae"), rmse.alias("rmse"), r2.alias("r2"))
 
 
-def _square(whole: Column) -> Column:
-    wide = whole.cast("decimal(19,0)")
-    return wide * wide
-
-
 def _r2(n: Column, sse: Column, sst: Column) -> Column:
     return F.when(
         n >= 2,
