@@ -161,12 +161,11 @@ def rolling_mean(spark, sf_dir):
 def hot_series_features(spark, sf_dir):
     """Lags and trailing mean over raw events, where one event type is a large part of all rows."""
     events = i.table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    featured = panel.chunked_series_features(
+    featured = panel.hot_series_features(
         events,
         "value",
         ["event_type"],
         ["ts", "event_id"],
-        F.date_trunc("hour", "ts"),
         {1: "value_1", 7: "value_7"},
         "rolling_value",
         7,

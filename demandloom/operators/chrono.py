@@ -22,31 +22,46 @@ SPLITS = ("train", "validation", "test")
 SMALL = 4096
 
 
-def chrono_rank(df: DataFrame, order: Sequence[str], name: str = "rn") -> DataFrame:
-    """Add the 1-based position of each row in ``order``.
+def place_in_order(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """``df`` in a written table with ``_part`` and ``_pos``, ascending along ``order``.
+
+    ``_part`` numbers range partitions that hold about the same number of rows
+    each, ``_pos`` the rows inside one from 0. Ranges are cut on all of
+    ``order``, so a series or a date that holds a third of the rows is spread
+    over many of them; only rows equal in all of ``order`` stay together.
+    Writing fixes the cut: a repeated task cannot see another one.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    placed = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()), "placed")
+    # Upper bits of the id: partition. Lower 33 bits: position inside it.
+    return placed.withColumns(
+        {
+            "_part": F.shiftright("_id", 33),
+            "_pos": F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)),
+        }
+    ).drop("_id")
+
+
+def chrono_rank(
+    df: DataFrame, order: Sequence[str], name: str = "rn", parts: int | None = None
+) -> DataFrame:
+    """Add the 1-based position of each row in ``order``, without a single-task sort.
 
-    Rows are range-partitioned and sorted on all of ``order``, so a date that
-    holds a third of the rows is spread over many tasks. The sorted rows are
-    written once, which fixes their partition and position; only one count per
-    partition travels through the driver.
+    One row count per range partition travels through the driver and comes back
+    as the offset of that partition.
     """
-    spark = df.sparkSession
-    placed = materialize(
-        df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()), "ranked"
-    )
-    # Upper bits: partition. Lower 33 bits: position inside it.
-    placed = placed.withColumn("_part", F.shiftright("_pos", 33))
+    placed = place_in_order(df, order, parts)
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()
     offsets, total = [], 0
     for part, n in sorted((row["_part"], row["n"]) for row in sizes):
         offsets.append((part, total))
         total += n
-    offset_table = spark.createDataFrame(offsets, "_part bigint, _offset bigint")
-    within = F.col("_pos").bitwiseAND(F.lit((1 << 33) - 1))
-    # One row per partition of the sort: the broadcast is as small as the task count.
+    offset_table = df.sparkSession.createDataFrame(offsets, "_part bigint, _offset bigint")
+    # One row per range partition: the broadcast cannot outgrow their number.
     return (
         placed.join(F.broadcast(offset_table), "_part")
-        .withColumn(name, (F.col("_offset") + within + 1).cast("bigint"))
+        .withColumn(name, (F.col("_offset") + F.col("_pos") + 1).cast("bigint"))
         .drop("_part", "_pos", "_offset")
     )
 

@@ -6,9 +6,11 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from demandloom.operators.chrono import chrono_rank
+
 Vocabulary = Mapping[str, Sequence[str]]
 
 
@@ -37,9 +39,19 @@ def category_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def category_vocab(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The pairs with their 0-based position in sorted order within the column."""
-    window = Window.partitionBy("column").orderBy("value")
-    return category_values(df, columns).withColumn("position", F.row_number().over(window) - 1)
+    """The pairs with their 0-based position in sorted order within the column.
+
+    Ranked over range partitions, so a column of very many values is not sorted
+    by one task; the first rank of each column is subtracted.
+    """
+    ranked = chrono_rank(category_values(df, columns), ["column", "value"], "_rank")
+    first = ranked.groupBy("column").agg(F.min("_rank").alias("_first"))
+    # One row per encoded column.
+    return (
+        ranked.join(F.broadcast(first), "column")
+        .withColumn("position", (F.col("_rank") - F.col("_first")).cast("int"))
+        .drop("_rank", "_first")
+    )
 
 
 def fit_vocabulary(

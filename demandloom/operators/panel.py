@@ -14,6 +14,7 @@ from pyspark.sql.window import WindowSpec
 
 from demandloom.functions.exact import hundredths, mean_of_hundredths
 from demandloom.functions.keys import calendar
+from demandloom.operators.chrono import place_in_order
 
 
 def lag_columns(target: str, lags: Mapping[int, str], window: WindowSpec) -> dict[str, Column]:
@@ -46,7 +47,7 @@ def series_features(
 
     A series goes to one task. That is bounded when the rows are facts with at
     most one row per series and date (the calendar is the bound); for raw rows
-    use ``chunked_series_features``.
+    use ``hot_series_features``.
     """
     window = Window.partitionBy(*series).orderBy(*order)
     columns = lag_columns(target, lags or {}, window)
@@ -55,61 +56,56 @@ def series_features(
     return df.withColumns(columns)
 
 
-def chunked_series_features(
+def hot_series_features(
     df: DataFrame,
     target: str,
     series: Sequence[str],
     order: Sequence[str],
-    chunk: Column,
     lags: Mapping[int, str] | None = None,
     rolling: str | None = None,
     rolling_rows: int = 7,
     exact: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Same result as ``series_features`` for series too long for one task.
 
-    ``chunk`` must not decrease along ``order``, say the hour or the day of the
-    time column; ``order`` must be total within a series. Each chunk is a window
-    partition of its own. It is preceded by a halo: the rows, as many as the
-    longest lag or frame, that come before it in the series. Halos are built
-    from the last rows of every chunk only, cut to that many per chunk before
-    the exchange, so no step holds more of a series than its chunks' tails.
+    Rows are placed in ``(series, order)`` and cut into ranges of about equal
+    size; the part of a series in one range is a window partition of its own.
+    It is preceded by a halo: the rows, as many as the longest lag or frame,
+    that come before it in the series. Halos are taken from the last rows of
+    every part, limited to that many before the exchange, so no task holds more
+    of a series than one range or the tails of its ranges. ``order`` must be
+    total within a series.
     """
     reach = max([*(lags or {}), rolling_rows if rolling else 0])
-    original = df.columns
-    tagged = df.withColumn("_chunk", chunk)
-    slim = tagged.select(*dict.fromkeys([*series, "_chunk", *order, target]))
+    carried = list(dict.fromkeys([*order, target]))
+    placed = place_in_order(df, [*series, *order], parts).drop("_pos")
 
-    newest_first = Window.partitionBy(*series, "_chunk").orderBy(*[F.desc(c) for c in order])
+    newest_first = Window.partitionBy(*series, "_part").orderBy(*[F.desc(c) for c in order])
     tails = (
-        slim.withColumn("_back", F.row_number().over(newest_first))
+        placed.select(*dict.fromkeys([*series, "_part", *carried]))
+        .withColumn("_back", F.row_number().over(newest_first))
         .where(F.col("_back") <= reach)
         .drop("_back")
     )
     along = Window.partitionBy(*series).orderBy(*order)
-    carried = list(dict.fromkeys([*order, target]))
+    preceding = F.collect_list(F.struct(*carried)).over(along.rowsBetween(-reach, -1))
     halos = (
-        tails.withColumn("_before", F.lag("_chunk").over(along))
-        .withColumn("_first", F.row_number().over(along) == 1)
-        .withColumn(
-            "_halo",
-            F.collect_list(F.struct(*carried)).over(along.rowsBetween(-reach, -1)),
-        )
-        .where(~F.col("_first") & ~F.col("_before").eqNullSafe(F.col("_chunk")))
-        .select(*series, "_chunk", F.explode("_halo").alias("_row"))
+        tails.withColumns({"_before": F.lag("_part").over(along), "_halo": preceding})
+        .where(F.col("_before") < F.col("_part"))
+        .select(*series, "_part", F.explode("_halo").alias("_row"))
         .select(
             *[c for c in series if c not in carried],
-            "_chunk",
+            "_part",
             *[F.col("_row")[c].alias(c) for c in carried],
             F.lit(True).alias("_is_halo"),
         )
     )
-    rows = tagged.withColumn("_is_halo", F.lit(False)).unionByName(halos, allowMissingColumns=True)
+    rows = placed.withColumn("_is_halo", F.lit(False)).unionByName(halos, allowMissingColumns=True)
     featured = series_features(
-        rows, target, [*series, "_chunk"], order, lags, rolling, rolling_rows, exact
+        rows, target, [*series, "_part"], order, lags, rolling, rolling_rows, exact
     )
-    added = [*(lags or {}).values(), *([rolling] if rolling else [])]
-    return featured.where(~F.col("_is_halo")).select(*original, *added)
+    return featured.where(~F.col("_is_halo")).drop("_part", "_is_halo")
 
 
 def with_calendar(df: DataFrame, time: str) -> DataFrame:

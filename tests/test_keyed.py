@@ -1,0 +1,65 @@
+import pytest
+from conftest import rows
+
+from demandloom import settings as s
+from demandloom.operators import keyed
+
+KEYS = "d string, product_name string, destination_city string"
+
+
+def frame(spark, *data):
+    df = spark.createDataFrame(list(data), KEYS)
+    df = df.selectExpr("cast(d as date) as transaction_date", "product_name", "destination_city")
+    return keyed.with_key(df, s.KEY, s.TIME, s.SERIES)
+
+
+def test_key_leaves_out_null_parts(spark):
+    df = frame(spark, ("2026-01-05", "P", "X"), ("2026-01-05", None, "X"), (None, None, None))
+    assert rows(df, s.KEY) == [("",), ("20260105-P-X",), ("20260105-X",)]
+
+
+def test_audit_finds_collisions_and_empty_keys(spark):
+    df = frame(
+        spark,
+        ("2026-01-05", "a-b", "c"),
+        ("2026-01-05", "a", "b-c"),
+        ("2026-01-06", "a", "b"),
+        (None, None, None),
+    )
+    assert tuple(keyed.key_audit(df, [s.KEY]).first()) == (4, 1, 1, 2)
+    with pytest.raises(ValueError, match="not a key"):
+        keyed.require_key(df, [s.KEY])
+
+
+def test_audit_of_good_and_of_no_rows(spark):
+    df = frame(spark, ("2026-01-05", "a", "c"), ("2026-01-06", "a", "c"))
+    assert tuple(keyed.key_audit(df, [s.KEY]).first()) == (2, 0, 0, 0)
+    assert keyed.require_key(df, [s.KEY]) is df
+    assert tuple(keyed.key_audit(df.limit(0), [s.KEY]).first()) == (0, 0, 0, 0)
+
+
+def test_lookup_keeps_labels_without_features(spark):
+    labels = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "primary_key string, y double")
+    features = spark.createDataFrame([("a", 7), ("c", 8)], "primary_key string, x int")
+    joined = keyed.lookup_features(labels, features, "primary_key")
+    assert rows(joined) == [("a", 1.0, 7), ("b", 2.0, None)]
+    assert keyed.lookup_features(labels, features, "primary_key", ["primary_key"]).columns == [
+        "y",
+        "x",
+    ]
+
+
+def test_cold_start_becomes_zero_and_nothing_else(spark):
+    df = spark.createDataFrame([(None, None, 1.0)], "demand_1 double, other double, z double")
+    filled = keyed.fill_cold_start(df, ["demand_1"])
+    assert filled.first().asDict() == {"demand_1": 0.0, "other": None, "z": 1.0}
+    assert dict(filled.dtypes)["demand_1"] == "double"
+
+
+def test_split_and_training_frame(spark):
+    df = frame(spark, ("2026-01-05", "a", "c")).selectExpr("*", "1.0D as total_demand")
+    x, y = keyed.split_xy(df, [s.KEY, s.TIME, *s.SERIES], s.LABELS)
+    assert y.columns == ["primary_key", "total_demand"]
+    looked_up = keyed.lookup_features(y, x, s.KEY)
+    assert keyed.training_frame(looked_up, s.TIME, s.KEY).columns == [s.TARGET, *s.SERIES]
+    assert s.KEY in keyed.training_frame(looked_up, s.TIME, s.KEY, keep_key=True).columns
