@@ -93,15 +93,16 @@ def encoding_stages(vocabulary: Vocabulary, numeric: Sequence[str]) -> list:
     columns = list(vocabulary)
     indexed = [f"{c}_index" for c in columns]
     encoded = [f"{c}_onehot" for c in columns]
-    indexer = StringIndexerModel.from_arrays_of_labels(
-        [list(vocabulary[c]) for c in columns],
-        inputCols=columns,
-        outputCols=indexed,
-        handleInvalid="keep",
-    )
+    # One indexer per column: the many-column constructor pads shorter vocabularies with NULL.
+    indexers = [
+        StringIndexerModel.from_labels(
+            list(vocabulary[c]), inputCol=c, outputCol=out, handleInvalid="keep"
+        )
+        for c, out in zip(columns, indexed, strict=True)
+    ]
     one_hot = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True)
     assembler = VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features")
-    return [indexer, one_hot, assembler]
+    return [*indexers, one_hot, assembler]
 
 
 def fit_encoder(df: DataFrame, vocabulary: Vocabulary, numeric: Sequence[str]) -> PipelineModel:
