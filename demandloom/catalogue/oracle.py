@@ -347,11 +347,13 @@ LEFT JOIN priorities b ON b.o_orderpriority = e.o_orderpriority""",
        CASE WHEN test_r2 > threshold THEN
          CAST(row_number() OVER (PARTITION BY model_name, test_r2 > threshold ORDER BY run_id)
               AS BIGINT) END AS version
-FROM (SELECT 'naive>' || g.name AS model_name, model AS run_id, r2 AS test_r2, g.threshold
-      FROM metrics
-      CROSS JOIN (VALUES ('-2.0', CAST(-2.0 AS DOUBLE)), ('-0.5', CAST(-0.5 AS DOUBLE)),
-                         ('0.9', CAST(0.9 AS DOUBLE))) g(name, threshold)
-      WHERE split = 'test')""",
+FROM ("""
+    + "\n  UNION ALL ".join(
+        f"SELECT 'naive>{g}' AS model_name, model AS run_id, r2 AS test_r2, "
+        f"CAST({g} AS DOUBLE) AS threshold FROM metrics WHERE split = 'test'"
+        for g in (-2.0, -0.5, 0.9)
+    )
+    + ")",
     "champion_challenger": _with(*SCORED)
     + "\nUNION ALL\n".join(
         [

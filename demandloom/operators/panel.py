@@ -77,6 +77,9 @@ def hot_series_features(
     of a series than one range or the tails of its ranges. ``order`` must be
     total within a series.
     """
+    if parts is None:
+        # Several parts per task of the final exchange, so that hashing them evens out.
+        parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = max([*(lags or {}), rolling_rows if rolling else 0])
     carried = list(dict.fromkeys([*order, target]))
     placed = place_in_order(df, [*series, *order], parts).drop("_pos")

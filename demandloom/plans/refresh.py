@@ -13,7 +13,13 @@ from demandloom.operators.panel import series_features, with_calendar
 from demandloom.operators.refine import dedup_by_key, drop_metadata
 from demandloom.sources.files import read_csv, stamp_ingestion
 from demandloom.sources.schemas import transactions_schema
-from demandloom.sources.tables import read_table, row_count, write_table
+from demandloom.sources.tables import (
+    describe_table,
+    is_path,
+    read_table,
+    row_count,
+    write_table,
+)
 
 
 def bronze(spark: SparkSession, csv_path: str) -> DataFrame:
@@ -58,12 +64,36 @@ def keyed_features(silver_df: DataFrame, exact: bool = False) -> DataFrame:
     return keyed(gold_features(gold(silver_df, exact), exact))
 
 
+def _bucketing(buckets: int | None) -> dict:
+    return {"bucket_by": [s.KEY], "buckets": buckets} if buckets else {}
+
+
+def publish_features(
+    x: DataFrame,
+    ref: str,
+    fmt: str = "parquet",
+    buckets: int | None = None,
+    tags: dict[str, str] | None = None,
+) -> DataFrame:
+    """Write the keyed feature table, after its key is found unique and never empty.
+
+    The key is a projection of the features, so the audit scans three columns. A
+    catalog table also gets key, description and tags as properties.
+    """
+    require_key(x.select(s.KEY), [s.KEY])
+    table = write_table(x, ref, fmt, **_bucketing(buckets))
+    if not is_path(ref):
+        describe_table(x.sparkSession, ref, [s.KEY], "Features for demand prediction", tags)
+    return table
+
+
 def refresh(
     spark: SparkSession,
     csv_path: str,
     tables: s.Tables,
     fmt: str = "parquet",
     buckets: int | None = None,
+    tags: dict[str, str] | None = None,
 ) -> dict[str, int]:
     """Rebuild every layer as a table; returns rows per layer.
 
@@ -76,12 +106,8 @@ def refresh(
     gold_t = write_table(gold(silver_t), tables.gold, fmt)
     features_t = write_table(gold_features(gold_t), tables.gold_features, fmt)
     x, y = split_xy(keyed(features_t), s.FEATURES, s.LABELS)
-    # Audited before anything is written. The key is a projection of the written
-    # features, so the audit reads three columns.
-    require_key(x.select(s.KEY), [s.KEY])
-    bucketing = {"bucket_by": [s.KEY], "buckets": buckets} if buckets else {}
-    write_table(x, tables.features, fmt, **bucketing)
-    write_table(y, tables.labels, fmt, **bucketing)
+    publish_features(x, tables.features, fmt, buckets, tags)
+    write_table(y, tables.labels, fmt, **_bucketing(buckets))
     layers = {
         "bronze": tables.bronze,
         "silver": tables.silver,

@@ -57,8 +57,8 @@ CHALLENGER = "Challenger"
 TEST_R2_THRESHOLD = 0.90
 HELD_OUT = Fraction(1, 5)
 SELECTION_METRIC = "validation_r2"
-RUN_NAME = "DecisionTree_Training"
-MODEL_NAME = "demand_prediction_model"
+RUN_NAME = "decision_tree"
+MODEL_NAME = "demand_forecast"
 
 
 @dataclass(frozen=True)
@@ -106,8 +106,8 @@ class Tables:
             silver=f"{root}/silver",
             gold=f"{root}/gold",
             gold_features=f"{root}/gold_features",
-            features=f"{root}/demand_input_features",
-            labels=f"{root}/demand_output",
+            features=f"{root}/features",
+            labels=f"{root}/labels",
             predictions=f"{root}/predictions",
             models=f"{root}/models",
         )

@@ -52,6 +52,29 @@ def write_table(
     return read_table(spark, ref, fmt)
 
 
+def _quoted(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
+def describe_table(
+    spark: SparkSession,
+    name: str,
+    key: Sequence[str] = (),
+    description: str | None = None,
+    tags: dict[str, str] | None = None,
+) -> None:
+    """Record key, description and tags as properties of a catalog table."""
+    properties = {f"tag.{k}": v for k, v in (tags or {}).items()}
+    if key:
+        properties["primary_key"] = ",".join(key)
+    if description:
+        properties["comment"] = description
+    if properties:
+        pairs = ", ".join(f"{_quoted(k)} = {_quoted(v)}" for k, v in properties.items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
 def append_rows(df: DataFrame, ref: str, fmt: str = "parquet") -> None:
     writer = df.write.format(fmt).mode("append")
     if is_path(ref):

@@ -85,7 +85,11 @@ def test_refresh_into_bucketed_catalog_tables(spark, refreshed, tmp_path):
     spark.sql("create database if not exists demand")
     names = {f: f"demand.{f}" for f in s.Tables.__dataclass_fields__}
     tables = s.Tables(**{**names, "models": str(tmp_path / "models")})
-    assert refresh(spark, csv, tables, buckets=4)["features"] == 240
+    assert refresh(spark, csv, tables, buckets=4, tags={"owner": "o'neil"})["features"] == 240
+    properties = dict(map(tuple, spark.sql(f"show tblproperties {tables.features}").collect()))
+    assert properties["primary_key"] == "primary_key"
+    assert properties["tag.owner"] == "o'neil"
+    assert spark.catalog.getTable(tables.features).description == "Features for demand prediction"
     assert sum(build_dataset(spark, tables).split.sizes) == 240
 
 
