@@ -375,6 +375,11 @@ WHERE newest = 1""",
          AS predicted_demand
 FROM split WHERE split = 'test'""",
     "overwrite_roundtrip": _with(*BASE) + "SELECT * FROM gold",
+    "tree_known_means": _with(_silver("p_type", "r_name"), _gold(), FEATURES, KEYED, _split())
+    + """SELECT primary_key, total_demand,
+       avg(CASE WHEN split = 'train' THEN total_demand END) OVER (PARTITION BY product_name)
+         AS predicted_demand
+FROM split""",
     "tree_score_reload": _with(*SPLIT)
     + """SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_same
 FROM split GROUP BY split""",

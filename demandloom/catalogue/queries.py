@@ -352,25 +352,26 @@ def quality_gate(spark, sf_dir):
 
 def _decisions(data: Dataset) -> DataFrame:
     """The forecasters in both roles, and the rolling mean without a champion."""
-    scores = _naive_metrics(data, "test")
     scenarios = {
         "rolling_challenges": {"last_value": s.CHAMPION, "rolling_mean": s.CHALLENGER},
         "last_value_challenges": {"rolling_mean": s.CHAMPION, "last_value": s.CHALLENGER},
         "no_champion": {"rolling_mean": s.CHALLENGER},
         "no_challenger": {"rolling_mean": s.CHAMPION},
     }
-    rows = []
-    for name, roles in scenarios.items():
-        role = reduce(
-            lambda case, item: case.when(F.col("model") == item[0], item[1]),
-            roles.items(),
-            F.when(F.lit(False), F.lit(None)),
-        )
-        decided = lifecycle.promotion_decision(scores.withColumn("role", role))
-        rows.append(decided.withColumn("scenario", F.lit(name)))
-    return reduce(DataFrame.unionByName, rows).select(
-        "scenario", "champion_r2", "challenger_r2", "metric_r2_passed", "status"
+    roles = F.array(
+        *[
+            F.struct(
+                F.lit(scenario).alias("scenario"),
+                F.lit(model).alias("of_model"),
+                F.lit(role).alias("role"),
+            )
+            for scenario, members in scenarios.items()
+            for model, role in members.items()
+        ]
     )
+    scores = _naive_metrics(data, "test").select("model", "r2", F.inline(roles))
+    decided = lifecycle.promotion_decision(scores.where("model = of_model"), by=["scenario"])
+    return decided.drop("champion_present", "challenger_present")
 
 
 @query
@@ -432,6 +433,17 @@ def tree_fit_score(spark, sf_dir):
     )
 
 
+@query
+def tree_known_means(spark, sf_dir):
+    """A tree deep enough to tell every category apart must predict the category's train mean."""
+    data = _dataset(spark, sf_dir, "p_type", "r_name")
+    train = data.part("train")
+    vocabulary = encode.fit_vocabulary(train, ["product_name"])
+    spec = s.TreeSpec(max_depth=len(vocabulary["product_name"]), min_leaf=1)
+    model = trees.fit_tree(train, s.TARGET, vocabulary, [], spec)
+    return trees.score(model, data.rows).select(s.KEY, s.TARGET, "predicted_demand")
+
+
 @query
 def tree_score_reload(spark, sf_dir):
     """Rows per split that the saved and reloaded pipeline scores as the fitted one does."""

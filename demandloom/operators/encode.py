@@ -5,7 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import (
+    OneHotEncoder,
+    SQLTransformer,
+    StringIndexerModel,
+    VectorAssembler,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,11 +89,25 @@ def one_hot_wide(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return df.withColumns(flags) if flags else df
 
 
+# Below every real value, so that a threshold can set missing values apart.
+MISSING = "-1e300"
+
+
+def known_numbers(numeric: Sequence[str]) -> SQLTransformer:
+    """A stage adding ``<column>_known``: the number, or ``MISSING`` for NULL and NaN."""
+    filled = ", ".join(
+        f"coalesce(nanvl(cast(`{c}` AS double), cast(NULL AS double)), {MISSING}D) AS `{c}_known`"
+        for c in numeric
+    )
+    return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
+
+
 def encoding_stages(vocabulary: Vocabulary, numeric: Sequence[str]) -> list:
     """Index, one-hot and assemble: numeric columns first, then one slot per category.
 
     ``keep`` puts unseen and NULL values on an extra last index and ``dropLast``
-    encodes exactly that index as the zero vector.
+    encodes exactly that index as the zero vector. A missing number goes to the
+    low side of every threshold, and a threshold may set missing ones apart.
     """
     columns = list(vocabulary)
     indexed = [f"{c}_index" for c in columns]
@@ -101,8 +120,11 @@ def encoding_stages(vocabulary: Vocabulary, numeric: Sequence[str]) -> list:
         for c, out in zip(columns, indexed, strict=True)
     ]
     one_hot = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True)
-    assembler = VectorAssembler(inputCols=[*numeric, *encoded], outputCol="features")
-    return [*indexers, one_hot, assembler]
+    known = [known_numbers(numeric)] if numeric else []
+    assembler = VectorAssembler(
+        inputCols=[*[f"{c}_known" for c in numeric], *encoded], outputCol="features"
+    )
+    return [*indexers, one_hot, *known, assembler]
 
 
 def fit_encoder(df: DataFrame, vocabulary: Vocabulary, numeric: Sequence[str]) -> PipelineModel:

@@ -103,8 +103,9 @@ def promotion_decision(
     metric: str = "r2",
     champion: str = "Champion",
     challenger: str = "Challenger",
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """One row deciding between the two roles.
+    """One row (per ``by`` group) deciding between the two roles.
 
     ``promoted`` if the challenger is strictly better or there is no champion,
     ``kept`` if not, ``no_challenger`` if there is none. A champion that is there
@@ -118,7 +119,7 @@ def promotion_decision(
     def present(name: str) -> Column:
         return F.coalesce(F.max(F.col(role) == name), F.lit(False))
 
-    row = scores.agg(
+    row = scores.groupBy(*by).agg(
         of(champion).alias("champion_r2"),
         of(challenger).alias("challenger_r2"),
         present(champion).alias("champion_present"),

@@ -2,7 +2,8 @@ import pytest
 from conftest import rows
 
 from demandloom.operators import encode
-from demandloom.operators.trees import load_model, save_model
+from demandloom.operators.trees import fit_tree, load_model, save_model, score
+from demandloom.settings import TreeSpec
 
 SCHEMA = "product_name string, destination_city string, ordered_quantity int, unit_price double"
 DATA = [
@@ -86,3 +87,14 @@ def test_design_matrix_is_numeric_first(spark):
     encoder = encode.fit_encoder(df, vocabulary, ["unit_price", "ordered_quantity"])
     vector = encoder.transform(df).first()["features"]
     assert list(vector.toArray()) == [20.0, 200.0, 0.0, 1.0, 1.0]
+
+
+def test_missing_numbers_train_and_score(spark, tmp_path):
+    data = [("A", float(i % 5) if i % 3 else None, 1.0 if i % 3 else 9.0) for i in range(90)]
+    data += [("A", float("nan"), 9.0)]
+    df = spark.createDataFrame(data, "c string, x double, y double")
+    model = fit_tree(df, "y", {"c": ["A"]}, ["x"], TreeSpec(max_depth=3, min_leaf=2))
+    reloaded = load_model(save_model(model, str(tmp_path / "tree")))
+    scored = score(reloaded, df)
+    assert scored.columns == ["c", "x", "y", "predicted_demand"]
+    assert scored.where("predicted_demand <> y").count() == 0
