@@ -7,6 +7,8 @@ inventory = part size times quantity.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -131,10 +133,21 @@ def keyed_slim(
 
 
 def written_keyed(
-    spark: SparkSession, sf_dir: str, product: str = "p_brand", place: str = "n_name"
+    spark: SparkSession,
+    sf_dir: str,
+    product: str = "p_brand",
+    place: str = "n_name",
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Keyed features with label in a written table, for plans that read them more than once."""
-    return materialize(keyed_slim(spark, sf_dir, product, place), "keyed")
+    """Keyed features with label, or some ``columns`` of them, in a written table.
+
+    For plans that read them more than once. What computes the other columns is
+    pruned from the plan.
+    """
+    keyed_df = keyed_slim(spark, sf_dir, product, place)
+    if columns:
+        keyed_df = keyed_df.select(*dict.fromkeys(columns))
+    return materialize(keyed_df, "keyed")
 
 
 def bronze_wide(spark: SparkSession, sf_dir: str) -> DataFrame:

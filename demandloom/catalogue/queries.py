@@ -232,8 +232,9 @@ def training_frame(spark, sf_dir):
     return keyed.training_frame(_looked_up(spark, sf_dir), s.TIME, s.KEY)
 
 
-def _dataset(spark, sf_dir, product="p_brand", place="n_name") -> Dataset:
-    return split_dataset(i.written_keyed(spark, sf_dir, product, place))
+def _dataset(spark, sf_dir, product="p_brand", place="n_name", columns=None) -> Dataset:
+    columns = [*ORDER, *columns] if columns is not None else None
+    return split_dataset(i.written_keyed(spark, sf_dir, product, place, columns))
 
 
 @query
@@ -244,13 +245,13 @@ def chrono_rank(spark, sf_dir):
 
 @query
 def chrono_split(spark, sf_dir):
-    data = _dataset(spark, sf_dir)
+    data = _dataset(spark, sf_dir, columns=[])
     return data.split.label(data.rows).select(s.KEY, s.TIME, "split")
 
 
 @query
 def split_sizes(spark, sf_dir):
-    data = _dataset(spark, sf_dir)
+    data = _dataset(spark, sf_dir, columns=[])
     return data.split.label(data.rows).groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
@@ -258,8 +259,9 @@ def split_sizes(spark, sf_dir):
 def null_profile(spark, sf_dir):
     """Before the cold start is filled, so that there are NULLs to count."""
     unfilled = keyed.with_key(i.features_slim(spark, sf_dir), s.KEY, s.TIME, s.SERIES)
-    data = split_dataset(materialize(unfilled, "unfilled"))
-    return chrono.split_profile(data.split.label(data.rows), [s.TARGET, *s.COLD_START])
+    profiled = [s.TARGET, *s.COLD_START]
+    data = split_dataset(materialize(unfilled.select(*ORDER, *profiled), "unfilled"))
+    return chrono.split_profile(data.split.label(data.rows), profiled)
 
 
 # Encoding
@@ -267,7 +269,9 @@ def null_profile(spark, sf_dir):
 
 @query
 def category_vocab(spark, sf_dir):
-    return encode.category_vocab(_dataset(spark, sf_dir).part("train"), s.CATEGORICAL)
+    return encode.category_vocab(
+        _dataset(spark, sf_dir, columns=[]).part("train"), s.CATEGORICAL
+    )
 
 
 @query
@@ -295,6 +299,10 @@ def one_hot_unseen(spark, sf_dir):
 # Metrics and lifecycle
 
 
+def _naive_dataset(spark, sf_dir) -> Dataset:
+    return _dataset(spark, sf_dir, columns=[s.TARGET, *NAIVE.values()])
+
+
 def _naive_metrics(data: Dataset, split: str | None = None, models=NAIVE) -> DataFrame:
     rows = data.split.label(data.rows) if split is None else data.part(split)
     by = ["model"] if split else ["model", "split"]
@@ -317,24 +325,24 @@ def _naive_runs(data: Dataset) -> DataFrame:
 
 @query
 def regression_metrics(spark, sf_dir):
-    return _naive_metrics(_dataset(spark, sf_dir))
+    return _naive_metrics(_naive_dataset(spark, sf_dir))
 
 
 @query
 def run_metrics(spark, sf_dir):
-    return _naive_runs(_dataset(spark, sf_dir))
+    return _naive_runs(_naive_dataset(spark, sf_dir))
 
 
 @query
 def best_run(spark, sf_dir):
-    runs = _naive_runs(_dataset(spark, sf_dir))
+    runs = _naive_runs(_naive_dataset(spark, sf_dir))
     return lifecycle.best_run(runs, s.SELECTION_METRIC, "naive", recency=())
 
 
 @query
 def quality_gate(spark, sf_dir):
     """Every naive forecaster on the test split against three thresholds, one registry each."""
-    scores = _naive_metrics(_dataset(spark, sf_dir), "test").select(
+    scores = _naive_metrics(_naive_dataset(spark, sf_dir), "test").select(
         F.col("model").alias("run_id"),
         F.col("r2").alias("test_r2"),
         F.explode(F.array(*[F.lit(g) for g in GATES])).alias("gate"),
@@ -376,7 +384,7 @@ def _decisions(data: Dataset) -> DataFrame:
 
 @query
 def champion_challenger(spark, sf_dir):
-    return _decisions(_dataset(spark, sf_dir))
+    return _decisions(_naive_dataset(spark, sf_dir))
 
 
 @query
@@ -436,7 +444,7 @@ def tree_fit_score(spark, sf_dir):
 @query
 def tree_known_means(spark, sf_dir):
     """A tree deep enough to tell every category apart must predict the category's train mean."""
-    data = _dataset(spark, sf_dir, "p_type", "r_name")
+    data = _dataset(spark, sf_dir, "p_type", "r_name", [s.TARGET])
     train = data.part("train")
     vocabulary = encode.fit_vocabulary(train, ["product_name"])
     spec = s.TreeSpec(max_depth=len(vocabulary["product_name"]), min_leaf=1)

@@ -21,6 +21,7 @@ def main(argv: list[str] | None = None) -> dict:
     parser.add_argument("job", choices=["refresh", "train", "predict"])
     parser.add_argument("--root", required=True, help="folder of all tables, on shared storage")
     parser.add_argument("--csv", help="transaction feed (refresh)")
+    parser.add_argument("--lean", action="store_true", help="refresh without the inner layers")
     parser.add_argument("--threshold", type=float, default=s.TEST_R2_THRESHOLD)
     parser.add_argument("--master", help="only for local runs")
     args = parser.parse_args(argv)
@@ -31,7 +32,7 @@ def main(argv: list[str] | None = None) -> dict:
     if args.job == "refresh":
         if not args.csv:
             parser.error("refresh needs --csv")
-        result = refresh(spark, args.csv, tables)
+        result = refresh(spark, args.csv, tables, lean=args.lean)
     else:
         data = build_dataset(spark, tables)
         book = ModelBook(spark, tables.models)

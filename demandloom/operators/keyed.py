@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.keys import composite_key, zero_filled
@@ -37,13 +37,15 @@ def key_audit(df: DataFrame, key: Sequence[str]) -> DataFrame:
         empty = empty | F.col(c).isNull() | (F.col(c).cast("string") == "")
     per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     repeated = F.col("_n") > 1
+
+    def total(value) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
+
     return per_key.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
-        F.coalesce(F.sum(F.when(empty, F.col("_n"))), F.lit(0)).cast("bigint").alias("n_empty_keys"),
-        F.coalesce(F.sum(F.when(repeated, 1)), F.lit(0)).cast("bigint").alias("n_repeated_keys"),
-        F.coalesce(F.sum(F.when(repeated, F.col("_n"))), F.lit(0))
-        .cast("bigint")
-        .alias("n_rows_repeated"),
+        total("_n").alias("n_rows"),
+        total(F.when(empty, F.col("_n"))).alias("n_empty_keys"),
+        total(F.when(repeated, 1)).alias("n_repeated_keys"),
+        total(F.when(repeated, F.col("_n"))).alias("n_rows_repeated"),
     )
 
 

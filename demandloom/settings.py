@@ -52,6 +52,15 @@ MEASURES = (
     ("total_inventory", "sum", "available_inventory"),
     ("transaction_count", "count", None),
 )
+# Feed columns that reach the facts.
+USED = (
+    "transaction_date",
+    "product_name",
+    "destination_city",
+    "demand_quantity",
+    "unit_price_usd",
+    "available_inventory",
+)
 CHAMPION = "Champion"
 CHALLENGER = "Challenger"
 TEST_R2_THRESHOLD = 0.90

@@ -10,11 +10,12 @@ from demandloom import jobs
 from demandloom import settings as s
 from demandloom.plans.dataset import build_dataset
 from demandloom.plans.modelbook import ModelBook
-from demandloom.plans.refresh import refresh
+from demandloom.plans.refresh import keyed_features, lean_silver, refresh, silver
 from demandloom.plans.select import select
 from demandloom.plans.serve import serve
 from demandloom.plans.train import train
-from demandloom.sources.schemas import TRANSACTIONS_DDL
+from demandloom.sources.files import read_csv
+from demandloom.sources.schemas import TRANSACTIONS_DDL, transactions_schema
 from demandloom.sources.tables import read_table
 
 NAMES = [line.split()[0] for line in TRANSACTIONS_DDL.strip().splitlines()]
@@ -80,6 +81,36 @@ def test_two_refreshes_give_identical_tables(spark, refreshed, tmp_path):
         assert rows(one) == rows(two)
 
 
+def test_lean_refresh_gives_the_same_tables(spark, refreshed, tmp_path):
+    csv, _, tables, _ = refreshed
+    lean = s.Tables.under(str(tmp_path / "lean"))
+    assert refresh(spark, csv, lean, lean=True) == {"features": 240, "labels": 240}
+    for layer in ("features", "labels"):
+        one, two = (read_table(spark, getattr(t, layer)) for t in (tables, lean))
+        assert rows(one) == rows(two)
+    assert not (tmp_path / "lean" / "bronze").exists()
+
+
+def test_lean_and_full_agree_on_conflicting_rows(spark):
+    schema = transactions_schema()
+    names = schema.fieldNames()
+    conflicting = [
+        {"transaction_id": "t", "demand_quantity": d, "unit_price_usd": p, "supplier_name": n}
+        for d, p, n in [(3.0, 1.0, "a"), (2.0, 5.0, "z"), (2.0, 4.0, "y"), (None, 9.0, "b")]
+    ]
+    df = spark.createDataFrame([tuple(r.get(n) for n in names) for r in conflicting], schema)
+    full, lean = silver(df), lean_silver(df)
+    assert rows(full.select(*lean.columns)) == rows(lean)
+    assert lean.count() == 1
+
+
+def test_lean_refresh_parses_only_seven_columns(spark, refreshed):
+    csv, *_ = refreshed
+    df = keyed_features(lean_silver(read_csv(spark, csv, transactions_schema())))
+    scan = df._jdf.queryExecution().sparkPlan().collectLeaves().apply(0)
+    assert set(scan.requiredSchema().fieldNames()) == {s.SOURCE_KEY, *s.USED}
+
+
 def test_refresh_into_bucketed_catalog_tables(spark, refreshed, tmp_path):
     csv, *_ = refreshed
     spark.sql("create database if not exists demand")
@@ -185,7 +216,9 @@ def test_vocabulary_comes_from_the_train_split_only(spark, refreshed, tmp_path):
     rows_ = build_dataset(spark, tables).rows
     late = rows_.withColumn(
         "destination_city",
-        F.when(F.col("transaction_date") > "2026-02-26", "Late").otherwise(F.col("destination_city")),
+        F.when(F.col("transaction_date") > "2026-02-26", "Late").otherwise(
+            F.col("destination_city")
+        ),
     )
     data, book = split_dataset(materialize(late, "late")), book_at(spark, tmp_path)
     train(data, book, OPEN, SMALL_TREE)
