@@ -7,7 +7,7 @@ than once write it first; everything else is one lazy plan.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,6 +36,7 @@ GRAIN = [s.TIME, *s.SERIES]
 
 
 def query(run: Query) -> Query:
+    @wraps(run)
     def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
         return run(prepare(spark), sf_dir)
 

@@ -49,10 +49,13 @@ def key_audit(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
-def require_key(df: DataFrame, key: Sequence[str]) -> DataFrame:
-    """``df`` itself if ``key`` is unique and never empty; an error with the counts if not."""
+def require_key(df: DataFrame, key: Sequence[str], allow_empty: bool = False) -> DataFrame:
+    """``df`` itself if ``key`` is unique and never empty; an error with the counts if not.
+
+    ``allow_empty`` accepts the empty text, which a composite key of NULL parts is.
+    """
     audit = key_audit(df, key).first().asDict()
-    if audit["n_empty_keys"] or audit["n_repeated_keys"]:
+    if audit["n_repeated_keys"] or (audit["n_empty_keys"] and not allow_empty):
         raise ValueError(f"{', '.join(key)} is not a key: {audit}")
     return df
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from demandloom.operators.encode import Vocabulary, encoding_stages, require_columns
 from demandloom.settings import TreeSpec
@@ -25,6 +26,7 @@ def fit_tree(
     The fit reads ``train`` several times (thresholds, then the binned rows,
     which the learner caches), so pass a written table. Node ids are cached per
     row rather than re-derived by walking the growing tree, and checkpointed.
+    A row without a label has nothing to teach and is left out of the fit.
     """
     spec = spec or TreeSpec()
     require_columns(train, [label, *vocabulary, *numeric])
@@ -41,7 +43,9 @@ def fit_tree(
         cacheNodeIds=True,
         checkpointInterval=10,
     )
-    used = train.select(label, *dict.fromkeys([*vocabulary, *numeric]))
+    used = train.select(label, *dict.fromkeys([*vocabulary, *numeric])).where(
+        F.col(label).isNotNull()
+    )
     return Pipeline(stages=[*encoding_stages(vocabulary, numeric), tree]).fit(used)
 
 

@@ -81,12 +81,12 @@ def publish_features(
     buckets: int | None = None,
     tags: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Write the keyed feature table, after its key is found unique and never empty.
+    """Write the keyed feature table, after its key is found unique.
 
-    The key is a projection of the features, so the audit scans three columns. A
+    A fact without date, product and city has the empty key and is kept. The key is a projection of the features, so the audit scans three columns. A
     catalog table also gets key, description and tags as properties.
     """
-    require_key(x.select(s.KEY), [s.KEY])
+    require_key(x.select(s.KEY), [s.KEY], allow_empty=True)
     table = write_table(x, ref, fmt, **_bucketing(buckets))
     if not is_path(ref):
         describe_table(x.sparkSession, ref, [s.KEY], "Features for demand prediction", tags)

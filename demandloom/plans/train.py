@@ -19,12 +19,13 @@ def train(
     book: ModelBook,
     lifecycle: s.Lifecycle | None = None,
     spec: s.TreeSpec | None = None,
+    max_categories: int = 100_000,
 ) -> str:
     """Returns the id of the recorded run. The vocabulary comes from the train split only."""
     lifecycle, spec = lifecycle or s.Lifecycle(), spec or s.TreeSpec()
     started = datetime.now(timezone.utc)
     train_rows = data.part("train")
-    vocabulary = fit_vocabulary(train_rows, s.CATEGORICAL)
+    vocabulary = fit_vocabulary(train_rows, s.CATEGORICAL, max_categories)
     model = fit_tree(train_rows, s.TARGET, vocabulary, s.NUMERIC, spec, PREDICTION)
     validated = regression_metrics(score(model, data.part("validation")), s.TARGET, PREDICTION)
     tags = {

@@ -31,6 +31,11 @@ def test_ten_days_split_six_two_two(spark):
     assert ids(split.take(df, "test")) == [9, 10]
 
 
+def test_dates_as_text(spark):
+    df = days(spark, 10, "string")
+    assert ids(chrono.fit_chrono_split(df, ["d", "id"]).take(df, "test")) == [9, 10]
+
+
 def test_known_sizes():
     assert chrono.split_sizes(74900) == (47936, 11984, 14980)
     for n in range(0, 200):

@@ -31,6 +31,13 @@ def test_audit_finds_collisions_and_empty_keys(spark):
         keyed.require_key(df, [s.KEY])
 
 
+def test_the_empty_key_can_be_accepted(spark):
+    df = frame(spark, ("2026-01-05", "a", "b"), (None, None, None))
+    with pytest.raises(ValueError, match="not a key"):
+        keyed.require_key(df, [s.KEY])
+    assert keyed.require_key(df, [s.KEY], allow_empty=True) is df
+
+
 def test_audit_of_good_and_of_no_rows(spark):
     df = frame(spark, ("2026-01-05", "a", "c"), ("2026-01-06", "a", "c"))
     assert tuple(keyed.key_audit(df, [s.KEY]).first()) == (2, 0, 0, 0)

@@ -104,6 +104,23 @@ def test_lean_and_full_agree_on_conflicting_rows(spark):
     assert lean.count() == 1
 
 
+def test_rows_without_date_product_or_city_are_kept(spark, refreshed, tmp_path):
+    csv, *_ = refreshed
+    blank = "," * (len(NAMES) - 1)
+    dirty = tmp_path / "dirty.csv"
+    with open(csv) as feed_file:
+        text = feed_file.read()
+    dirty.write_text(text + "x1" + blank + "\nx2" + blank + "\nx3,not-a-date" + blank[1:] + "\n")
+    tables, book = s.Tables.under(str(tmp_path)), book_at(spark, tmp_path)
+    assert refresh(spark, str(dirty), tables, lean=True)["features"] == 241
+    unknown = read_table(spark, tables.features).where("primary_key = ''").first()
+    assert (unknown["transaction_count"], unknown["avg_unit_price"]) == (3, None)
+    labels = read_table(spark, tables.labels).where("primary_key = ''").first()
+    assert labels["total_demand"] is None
+    train(build_dataset(spark, tables), book, OPEN, SMALL_TREE)
+    assert book.runs().first()["validation_r2"] > 0.5
+
+
 def test_lean_refresh_parses_only_seven_columns(spark, refreshed):
     csv, *_ = refreshed
     df = keyed_features(lean_silver(read_csv(spark, csv, transactions_schema())))
