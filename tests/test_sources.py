@@ -145,3 +145,27 @@ def test_materialize_round_trip(spark):
     back = session_module.materialize(df, "round-trip")
     assert back.schema.fieldNames() == ["id", "s"]
     assert rows(back, "id") == [(i,) for i in range(7)]
+
+
+class _Session:
+    """As much of a session as ``shared_dir`` looks at, without spark.checkpoint.dir."""
+
+    def __init__(self, master, current=None):
+        self.master, self.current = master, current
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.current
+
+    def setCheckpointDir(self, path):
+        self.current = path
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session_module.shared_dir(_Session("yarn"))
+    assert session_module.shared_dir(_Session("yarn", "hdfs:///c/")) == "hdfs:///c"
+    assert session_module.shared_dir(_Session("local[2]")).split("/")[-1].startswith("demandloom-")
