@@ -29,10 +29,11 @@ def place_in_order(df: DataFrame, order: Sequence[str], parts: int | None = None
     each, ``_pos`` the rows inside one from 0. Ranges are cut on all of
     ``order``, so a series or a date that holds a third of the rows is spread
     over many of them; only rows equal in all of ``order`` stay together.
-    Writing fixes the cut: a repeated task cannot see another one.
+    Writing fixes the cut: a repeated task cannot see another one. Without
+    ``parts`` the adaptive planner sizes the ranges, so small data gets few.
     """
-    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(*([parts] if parts else []), *order)
+    ordered = ranged.sortWithinPartitions(*order)
     placed = materialize(ordered.withColumn("_id", F.monotonically_increasing_id()), "placed")
     # Upper bits of the id: partition. Lower 33 bits: position inside it.
     return placed.withColumns(

@@ -77,9 +77,6 @@ def hot_series_features(
     of a series than one range or the tails of its ranges. ``order`` must be
     total within a series.
     """
-    if parts is None:
-        # Several parts per task of the final exchange, so that hashing them evens out.
-        parts = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     reach = max([*(lags or {}), rolling_rows if rolling else 0])
     carried = list(dict.fromkeys([*order, target]))
     placed = place_in_order(df, [*series, *order], parts).drop("_pos")
@@ -105,8 +102,17 @@ def hot_series_features(
         )
     )
     rows = placed.withColumn("_is_halo", F.lit(False)).unionByName(halos, allowMissingColumns=True)
+    # Ranges of the part number keep the parts apart, where hashing could put several hot
+    # ones on one task. They also satisfy the window, which adds no exchange of its own.
     featured = series_features(
-        rows, target, [*series, "_part"], order, lags, rolling, rolling_rows, exact
+        rows.repartitionByRange("_part"),
+        target,
+        [*series, "_part"],
+        order,
+        lags,
+        rolling,
+        rolling_rows,
+        exact,
     )
     return featured.where(~F.col("_is_halo")).drop("_part", "_is_halo")
 

@@ -108,3 +108,11 @@ def test_hot_series_with_one_instant_for_all(spark):
     assert out.where("v7 is null").count() == 7
     assert out.count() == 500
     assert out.columns == ["kind", "t", "id", "v", "v7"]
+
+
+def test_hot_series_rows_are_exchanged_once_after_placing(spark):
+    df = events(spark, 50, CASES["one series"], seed=1)
+    plan = plan_of(hot_series_features(df, "v", ["kind"], ["t", "id"], {1: "v1"}, parts=4))
+    windows = plan[: plan.index("Union")]
+    assert windows.count("Exchange") == 1
+    assert "Exchange rangepartitioning(_part" in windows
