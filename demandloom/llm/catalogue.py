@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from demandloom.llm import simhash
+from demandloom.llm import classifier, rules, sharding, simhash
 
 QUERIES = {
+    "op1_rule_ensemble": classifier.op1,
+    "op3_isolation_forest_rules": rules.op3,
+    "op5_histogram_sort_shards": sharding.op5,
     "op9_simhash_pigeonring": simhash.op9,
 }
 
