@@ -34,8 +34,7 @@ MARGINS = {
     "over_symbols": _beyond(_per("n_symbols", "n_words"), 0.1),
     "over_upper": _beyond(RATIOS["upper"], 0.3),
     "over_shouts": _beyond(RATIOS["shouts"], 0.2),
-    "over_dup_lines": _beyond(RATIOS["dup_lines"], 0.3),
-    "over_repeats": _beyond(RATIOS["repeats"], 0.2),
+    "over_dup_lines": _beyond(RATIOS["dup_lines"], 0.5),
     "over_length": f"{_beyond(RATIOS['word_length'], 10)} + {_beyond('3 - ' + RATIOS['word_length'], 0)}",
     "under_variety": _beyond("0.3 - " + RATIOS["variety"], 0),
 }
