@@ -44,18 +44,13 @@ def map_rows(df: DataFrame, make: Callable[[dict], Iterator[dict] | dict], schem
             if batch.num_rows:
                 yield pa.RecordBatch.from_pydict(make(batch.to_pydict()), schema=arrow)
 
-    arrow = arrow_schema(df, schema)
+    arrow = arrow_schema(schema)
     return df.mapInArrow(run, schema)
 
 
-def arrow_schema(df: DataFrame, schema: str) -> pa.Schema:
+def arrow_schema(schema: str) -> pa.Schema:
+    """The Arrow form of a DDL schema; on the driver only."""
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
     return to_arrow_schema(StructType.fromDDL(schema))
-
-
-def partitions(df: DataFrame) -> int:
-    """Shuffle partitions of the session, at least the cores it has."""
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
