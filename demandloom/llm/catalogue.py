@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from demandloom.llm import classifier, rules, sharding, simhash
+from demandloom.llm import bpe, classifier, packing, rules, sharding, simhash
 
 QUERIES = {
     "op1_rule_ensemble": classifier.op1,
     "op3_isolation_forest_rules": rules.op3,
     "op5_histogram_sort_shards": sharding.op5,
+    "op8_ordered_packing": packing.op8,
     "op9_simhash_pigeonring": simhash.op9,
+    "op10_recursive_bpe": bpe.op10,
 }
 
 ORACLE: dict[str, str] = {}
