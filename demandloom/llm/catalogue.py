@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from demandloom.llm import bpe, classifier, packing, rules, sharding, simhash
+from demandloom.llm import bpe, classifier, licenses, packing, rules, sharding, simhash
 
 QUERIES = {
     "op1_rule_ensemble": classifier.op1,
     "op3_isolation_forest_rules": rules.op3,
     "op5_histogram_sort_shards": sharding.op5,
+    "op7_license_diagonals": licenses.op7,
     "op8_ordered_packing": packing.op8,
     "op9_simhash_pigeonring": simhash.op9,
     "op10_recursive_bpe": bpe.op10,
