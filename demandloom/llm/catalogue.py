@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from demandloom.llm import ann, bpe, classifier, licenses, packing, rules, sharding, simhash
+from demandloom.llm import ann, bpe, classifier, licenses, packing, rules, sharding, simhash, suffixes
 
 QUERIES = {
     "op1_rule_ensemble": classifier.op1,
     "op2_collision_counting": ann.op2,
     "op3_isolation_forest_rules": rules.op3,
+    "op4_columnwise_suffixes": suffixes.op4,
     "op5_histogram_sort_shards": sharding.op5,
     "op7_license_diagonals": licenses.op7,
     "op8_ordered_packing": packing.op8,
