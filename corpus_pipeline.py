@@ -8,12 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from demandloom.llm import simhash
+from demandloom.llm import classifier, packing, rules, simhash, suffixes
 from demandloom.llm.common import documents
 from demandloom.session import materialize
 
 STAGES = [
+    ("quality rules", rules.keep_clean),
+    ("quality classifier", classifier.keep_good),
     ("simhash near-dedup", simhash.keep_one),
+    ("suffix-array dedup", suffixes.drop_repeats),
+    ("packing", packing.packed),
 ]
 
 # No stage sequence of this kind is expressible in SQL: two stages are fitted models.
