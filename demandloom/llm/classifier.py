@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import documents, table
+from demandloom.llm.common import documents, least_hashed, table
 from demandloom.llm.features import LOG_WORDS, RATIOS
 from demandloom.llm.textstats import with_counts
 from demandloom.session import materialize
@@ -108,10 +108,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
         .groupBy(F.col("doc_id").cast("long").alias("doc_id"))
         .agg(F.min("quality").alias("low"), F.max("quality").alias("high"))
         .where("low = high and low in (0, 1)")
-        .select(F.col("doc_id").alias("_id"), F.col("low").cast("double").alias("label"))
-        .orderBy(F.xxhash64("_id"), "_id")
-        .limit(sample)
+        .select(
+            F.col("doc_id").alias("_id"),
+            F.col("low").cast("double").alias("label"),
+            F.xxhash64("doc_id").alias("_hash"),
+        )
     )
+    usable = least_hashed(materialize(usable, "labels"), "_hash", sample, "_id").drop("_hash")
     usable = materialize(usable, "label-sample")
     # The sample has at most 20,000 rows of 16 bytes, by its limit.
     chosen = docs.select("doc_id", "text").join(

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import documents, table
+from demandloom.llm.common import documents, least_hashed, table
 from demandloom.llm.features import MARGINS
 from demandloom.llm.textstats import with_counts
 from demandloom.session import materialize
@@ -78,9 +78,9 @@ def fit_forest(
     neither order nor partitioning matters. The bound is a property of the method:
     a tree sees ``subsample`` rows.
     """
-    texts = stats.select("text_hash", *columns).distinct()
-    least = texts.orderBy("text_hash", *columns).limit(trees * subsample).drop("text_hash")
-    rows = sorted(tuple(r) for r in least.collect())
+    texts = materialize(stats.select("text_hash", *columns).distinct(), "distinct-texts")
+    least = least_hashed(texts, "text_hash", trees * subsample, *columns)
+    rows = sorted(tuple(r) for r in least.drop("text_hash").collect())
     rng = random.Random(seed)
     rng.shuffle(rows)
     share = max(min(subsample, len(rows)), 1)
