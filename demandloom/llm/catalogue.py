@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from demandloom.llm import ann, bpe, classifier, licenses, packing, rules, sharding, simhash, suffixes
+from demandloom.llm import ann, bpe, classifier, licenses, packing, pages, rules, sharding, simhash, suffixes
 
 QUERIES = {
     "op1_rule_ensemble": classifier.op1,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_isolation_forest_rules": rules.op3,
     "op4_columnwise_suffixes": suffixes.op4,
     "op5_histogram_sort_shards": sharding.op5,
+    "op6_host_suffix_pages": pages.op6,
     "op7_license_diagonals": licenses.op7,
     "op8_ordered_packing": packing.op8,
     "op9_simhash_pigeonring": simhash.op9,

@@ -156,7 +156,7 @@ def shard_by_bytes(
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
     h = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("text"))
     row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOW + 1).cast("long"))
-    added = ("size", "text_crc32", "_h", "_id", "shard", "slot")
+    added = ("size", "text_crc32", "_h", "_id", "_range", "shard", "slot")
     named = docs.select(
         *(c for c in docs.columns if c.lower() not in added),
         size,
