@@ -1,0 +1,103 @@
+import numpy as np
+import pytest
+from demandloom.llm import ann
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def brute(vectors, queries, top):
+    """``{query: [(id, score)]}`` by exact inner product; ties to the smaller id."""
+    usable = [
+        (i, np.array(v, dtype=float))
+        for i, v in vectors
+        if i is not None and v and None not in v and np.isfinite(v).all() and any(v)
+    ]
+    found = {}
+    for q, x in usable:
+        if q in queries:
+            scores = [(-float((x * y).sum()), i) for i, y in usable if i != q and len(y) == len(x)]
+            found[q] = [(i, -s) for s, i in sorted(scores)[:top]]
+    return found
+
+
+def search(spark, vectors, top, queries=lambda i: i % 20 == 0, **given):
+    frame = spark.createDataFrame([(i, v, 0) for i, v in vectors], SCHEMA)
+    asked = [i for i, _ in vectors if i is not None and queries(i)]
+    rows = ann.nearest(frame, frame.where(frame.vec_id.isin(asked)), top, **given).collect()
+    found = {}
+    for r in sorted(rows, key=lambda r: (r["query_id"], r["rank"])):
+        found.setdefault(r["query_id"], []).append((r["vec_id"], r["score"]))
+        assert r["rank"] == len(found[r["query_id"]])
+    return found, brute(vectors, set(asked), top)
+
+
+def test_recall_on_given_embeddings(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    vectors = [(r["vec_id"], r["embedding"]) for r in frame.collect()]
+    found, want = search(spark, vectors, 20, block_rows=700, block_queries=60)
+    assert found.keys() == want.keys()
+    hits = sum(len({i for i, _ in want[q]} & {i for i, _ in found[q]}) for q in want)
+    assert hits >= 0.9 * sum(map(len, want.values()))
+    scores = {(q, i): s for q, line in want.items() for i, s in line}
+    for q, line in found.items():
+        assert [s for _, s in line] == sorted((s for _, s in line), reverse=True)
+        assert all(scores.get((q, i), s) == pytest.approx(s, abs=1e-12) for i, s in line)
+
+
+def test_windows_grow_until_enough_collide():
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((3000, 16))
+    index = ann.Index(np.arange(3000), x)
+    few = index.candidates(x[0], verified=0.02, least=1)
+    many = index.candidates(x[0], verified=0.5, least=1)
+    assert 60 <= len(few) < len(many) and 1500 <= len(many) and 0 in few
+    assert len(index.candidates(x[0], least=5000)) == 3000
+
+
+def test_norms_count(spark):
+    """The longest vectors have the largest products, however far off they point."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((400, 8)) * rng.uniform(0.1, 5, (400, 1))
+    found, want = search(spark, [(i, row.tolist()) for i, row in enumerate(x)], 5)
+    hits = sum(len({i for i, _ in want[q]} & {i for i, _ in found[q]}) for q in want)
+    assert hits >= 0.9 * 5 * len(want)
+
+
+def test_ties_and_copies(spark):
+    vectors = [(i, [1.0, 2.0, 0.1]) for i in range(90)] + [(100, [0.5, 0.5, 0.5])]
+    found, _ = search(spark, vectors, 3, block_rows=30)
+    assert [i for i, _ in found[0]] == [1, 2, 3]
+    assert [i for i, _ in found[20]] == [0, 1, 2]
+    assert [i for i, _ in found[100]] == [0, 1, 2]
+
+
+def test_odd_vectors_take_no_part(spark):
+    nan, inf = float("nan"), float("inf")
+    vectors = [
+        (0, [1.0, 0.0]),
+        (1, [0.5, 0.5]),
+        (2, None),
+        (3, [None, 1.0]),
+        (4, [nan, 1.0]),
+        (5, [inf, 1.0]),
+        (6, [0.0, 0.0]),
+        (7, [1.0, 2.0, 3.0]),
+        (8, []),
+        (None, [9.0, 9.0]),
+        (20, [-inf, 0.0]),
+        (40, [1.0, 1.0, 1.0]),
+        (60, [2.0, 2.0]),
+        (60, [2.0, 2.0]),
+    ]
+    found, want = search(spark, vectors, 20)
+    assert found == {
+        0: [(60, 2.0), (60, 2.0), (1, 0.5)],
+        40: [(7, 6.0)],
+        60: [(0, 2.0), (1, 2.0)],
+    }
+    assert found[40] == want[40]
+
+
+def test_empty(spark):
+    assert search(spark, [], 3)[0] == {}
+    assert search(spark, [(20, [1.0])], 3)[0] == {}
