@@ -1,7 +1,7 @@
 import corpus_pipeline
 from demandloom.llm import bpe, catalogue, packing, suffixes
 from demandloom.session import materialize
-from tests.llm.test_suffixes import brute
+from .test_suffixes import brute
 from tokenizers import Tokenizer
 
 SF = "/root/testdata/sf0.001"
