@@ -67,3 +67,15 @@ def least_hashed(df: DataFrame, hash_column: str, bound: int, *ties: str) -> Dat
     if share < 1.0:
         df = df.where(F.col(hash_column) <= F.lit(int(-(1 << 63) + share * (1 << 64)) - 1))
     return df.orderBy(hash_column, *ties).limit(bound)
+
+
+def per_worker(key: tuple, make: Callable):
+    """``make()`` once per Python worker, which Spark keeps from task to task."""
+    import sys
+    import types
+
+    home = sys.modules.setdefault("_kept_by_worker", types.ModuleType("_kept_by_worker"))
+    kept = vars(home).setdefault("objects", {})
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
