@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 from collections import deque
 
 import public_tokenizers
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.llm.common import arrow_schema, documents
+from demandloom.llm.common import arrow_schema, documents, per_worker
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
@@ -20,8 +21,8 @@ HARD_CUT = 64
 STRETCH = 512
 # Tokens planned together; what does not fill its last window opens the next block.
 BLOCK = 1 << 20
-# Distinct words whose ids a task remembers.
-REMEMBERED = 400_000
+# Distinct words whose ids a Python worker remembers: about 250 MB.
+REMEMBERED = 1_000_000
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
@@ -97,15 +98,19 @@ class WordIds(dict):
         self.flat, self.ends, self.closes = self.forget()
 
     def __missing__(self, chunk: str) -> int:
-        ids = self.encode(chunk)  # may number its closing marks first
-        number = len(self)
+        if chunk.isalpha() and chunk.isascii():
+            ids, closes = [t.id for t in self.model.tokenize(chunk)], False
+        else:
+            ids = self.encode(chunk)  # may number its closing marks first
+            closes = chunk.rstrip("\"')]»”’")[-1:] in (".", "!", "?", "…")
+        self[chunk] = number = len(self)
         self.flat.extend(ids)
         self.ends.append(len(self.flat))
-        self.closes.append(chunk.rstrip("\"')]»”’")[-1:] in (".", "!", "?", "…"))
-        self[chunk] = number
+        self.closes.append(closes)
         return number
 
     def encode(self, chunk: str) -> list[int]:
+        """Ids of a chunk whose letters A-Z are lowered."""
         from unicodedata import is_normalized
 
         if not chunk:
@@ -214,7 +219,7 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, end_
         from pyspark import TaskContext
 
         stream = Stream(TaskContext.get().partitionId() << 32, end_id, window)
-        words = WordIds(tokenizer)
+        words = per_worker(("word ids", tokenizer), lambda: WordIds(tokenizer))
         number_of = words.__getitem__
 
         def rows(last):
@@ -229,9 +234,7 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, end_
             words.trim(REMEMBERED)
             chunked = []
             for text in batch.column("text").to_pylist():
-                # A-Z lowered and blanks made one kind: the tokenizer does both anyway.
-                low = (text or "").encode().lower().translate(_BLANKS).decode()
-                chunked.append(np.array(list(map(number_of, low.split(" "))), dtype=np.int64))
+                chunked.append(np.array(list(map(number_of, chunks_of(text or ""))), dtype=np.int64))
             flat = np.array(words.flat, dtype="<u4")
             ends = np.array(words.ends, dtype=np.int64)
             closes = np.array(words.closes, dtype=bool)
@@ -254,6 +257,22 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, window: int = WINDOW, end_
 _BLANKS = bytes.maketrans(b"\t\n\r", b"   ")
 
 
+# A point or comma before a blank that does not follow a plain or Latin-1 letter.
+_ODD = re.compile(rb"(?<![a-z])(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])[.,] ")
+
+
+def chunks_of(text: str) -> list[str]:
+    """Parts of a text between which the tokenizer parts it too.
+
+    A-Z are lowered and blanks made one kind, as the tokenizer does. A point or comma at
+    the end of a word is a part by itself, unless the text has others too.
+    """
+    data = text.encode().lower().translate(_BLANKS)
+    if not _ODD.search(data):
+        data = data.replace(b". ", b" . ").replace(b", ", b" , ")
+    return data.decode().split(" ")
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
     return digests(pack(documents(spark, sf_dir)))
 
