@@ -11,9 +11,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def finite(value: Column) -> Column:
+    """The value as a double; NULL for NaN and the infinities, which Spark orders above all."""
+    number = value.cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
+# Hundredths of anything below are at most 1e18: nine of them fit a bigint sum.
+LARGEST = 1e16
+
+
 def hundredths(value: Column) -> Column:
-    """The value as a bigint count of hundredths."""
-    return F.round(value * F.lit(100)).cast("bigint")
+    """The value as a bigint count of hundredths; an error from ``LARGEST`` on."""
+    too_large = F.raise_error(F.lit(f"{LARGEST:g} or more has no exact hundredths")).cast("bigint")
+    counted = F.round(value * F.lit(100)).cast("bigint")
+    return F.when(F.abs(value) >= LARGEST, too_large).otherwise(counted)
 
 
 def from_hundredths(count: Column) -> Column:
@@ -31,6 +43,22 @@ def mean_of_hundredths(total: Column, n: Column) -> Column:
     return F.when(n > 0, from_hundredths(signed))
 
 
+def exact_sum(whole: Column) -> Column:
+    """Aggregate: exact sum of a bigint column as decimal(38,0), NULL without rows.
+
+    Three limbs of 21 bits, the top one signed, each summed as bigint: no wrapping for
+    4e12 rows, whether the session checks overflows or not.
+    """
+    mask = F.lit((1 << 21) - 1)
+    total = F.sum(F.shiftright(whole, 42)).cast("decimal(19,0)") * F.lit(1 << 42).cast(
+        "decimal(19,0)"
+    )
+    for shift in (0, 21):
+        limb = F.sum(F.shiftright(whole, shift).bitwiseAND(mask)).cast("decimal(19,0)")
+        total = total + limb * F.lit(1 << shift).cast("decimal(19,0)")
+    return total.cast("decimal(38,0)")
+
+
 def sum_of_squares(whole: Column) -> Column:
     """Aggregate: exact sum of squares of a bigint column, as decimal(38,0).
 

@@ -19,7 +19,8 @@ from demandloom.functions.keys import after, up_to
 from demandloom.session import materialize
 
 SPLITS = ("train", "validation", "test")
-SMALL = 4096
+# Order tuples that the driver may fetch at the end of a search.
+FETCH = 4096
 
 
 def place_in_order(df: DataFrame, order: Sequence[str], parts: int | None = None) -> DataFrame:
@@ -155,7 +156,7 @@ def fit_chrono_split(
                     start = F.lit(value).cast("date")
                     column = F.col(order[0])
                     inside = df.where((column >= start) & (column < F.date_add(start, 1)))
-                return nth_row(inside, order, position - before, n)
+                return nth_row(inside, order, position - before)
             before += n
         raise AssertionError(position)
 
@@ -166,15 +167,13 @@ def fit_chrono_split(
     )
 
 
-def nth_row(
-    df: DataFrame, order: Sequence[str], position: int, size: int | None = None
-) -> tuple[str | None, ...]:
+def nth_row(df: DataFrame, order: Sequence[str], position: int) -> tuple[str | None, ...]:
     """Order values, as text, of the row at 1-based ``position`` in ascending ``order``.
 
     Narrows by fences: distinct order tuples are range-partitioned, one count
     and the end points per partition come back, and the search goes on inside
-    the partition that holds the position, until few tuples are left. ``size``,
-    the row count if known, skips that for a small input.
+    the partition that holds the position, until it is counted to have at most
+    ``FETCH`` of them; those are fetched.
 
     Raises if rows beyond ``position`` share its order values, since no
     comparison could then tell them apart.
@@ -197,7 +196,8 @@ def nth_row(
     as_text = F.struct(*[F.col(c).cast("string").alias(c) for c in order])
     tuple_of = F.struct(*order)
     left = position
-    while size is None or size > SMALL:
+    tuples = None
+    while tuples is None or tuples > FETCH:
         fences = (
             weighted.repartitionByRange(parts, *order)
             .groupBy(F.spark_partition_id().alias("p"))
@@ -220,8 +220,8 @@ def nth_row(
             up_to(order, literals(last))
             & (after(order, literals(first)) | _equals(order, literals(first)))
         )
-        size = fence["tuples"]
-    for row in weighted.orderBy(*order).select(as_text.alias("t"), "_n").limit(SMALL).collect():
+        tuples = fence["tuples"]
+    for row in weighted.orderBy(*order).select(as_text.alias("t"), "_n").collect():
         if left <= row["_n"]:
             if left < row["_n"]:
                 raise ValueError(

@@ -8,6 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
     OneHotEncoder,
     SQLTransformer,
+    StringIndexer,
     StringIndexerModel,
     VectorAssembler,
 )
@@ -60,28 +61,44 @@ def category_vocab(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def fit_vocabulary(
-    df: DataFrame, columns: Sequence[str], limit: int = 100_000
+    df: DataFrame, columns: Sequence[str], limit: int | None = None
 ) -> dict[str, list[str]]:
-    """Sorted values per column, on the driver.
+    """Sorted values per column, on the driver: one column of the wide form for each.
 
-    The vocabulary is part of the fitted model and travels to every task, so it
-    has to be small: more than ``limit`` values in total is an error, never a
-    shortened vocabulary.
+    Use ``category_vocab`` for the table and ``fit_encoder`` or ``fit_tree`` with column
+    names for a model; neither needs this list. With a ``limit``, more values than
+    that are an error, never a shortened vocabulary.
     """
-    rows = category_values(df, columns).select("column", "value").limit(limit + 1).collect()
-    if len(rows) > limit:
+    values = category_values(df, columns).select("column", "value")
+    rows = (values if limit is None else values.limit(limit + 1)).collect()
+    if limit is not None and len(rows) > limit:
         raise ValueError(f"more than {limit} categories in {', '.join(columns)}")
     return {c: sorted(r["value"] for r in rows if r["column"] == c) for c in columns}
 
 
 def one_hot_names(vocabulary: Vocabulary) -> list[str]:
-    """``<column>_<value>`` per category, in vocabulary order."""
+    """``<column>_<value>`` per category, in vocabulary order, to be read with ``quoted``."""
     return [f"{c}_{value}" for c, values in vocabulary.items() for value in values]
 
 
+def quoted(names: Sequence[str]) -> list[Column]:
+    """Columns by exact name, whatever it holds: a point is part of it, not an access."""
+    return [F.col("`" + name.replace("`", "``") + "`") for name in names]
+
+
 def one_hot_wide(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """One 0/1 column per category; all zeros for an unseen or NULL value."""
+    """One 0/1 column per category; all zeros for an unseen or NULL value.
+
+    Two categories of one name, as ``a`` with ``b_c`` and ``a_b`` with ``c``, or a name that
+    a column of ``df`` has, are an error. Names differ if their lower-case forms do,
+    as in the session's own resolution.
+    """
     require_columns(df, list(vocabulary))
+    taken = {c.lower() for c in df.columns}
+    for name in one_hot_names(vocabulary):
+        if name.lower() in taken:
+            raise ValueError(f"column name {name} is taken twice")
+        taken.add(name.lower())
     flags: dict[str, Column] = {}
     for c, values in vocabulary.items():
         for value in values:
@@ -102,10 +119,11 @@ def known_numbers(numeric: Sequence[str]) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__")
 
 
-def encoding_stages(vocabulary: Vocabulary, numeric: Sequence[str]) -> list:
+def encoding_stages(vocabulary: Vocabulary | Sequence[str], numeric: Sequence[str]) -> list:
     """Index, one-hot and assemble: numeric columns first, then one slot per category.
 
-    ``keep`` puts unseen and NULL values on an extra last index and ``dropLast``
+    With column names only, the fit finds the categories, in sorted order, however
+    many. ``keep`` puts unseen and NULL values on an extra last index and ``dropLast``
     encodes exactly that index as the zero vector. A missing number goes to the
     low side of every threshold, and a threshold may set missing ones apart.
     """
@@ -117,6 +135,10 @@ def encoding_stages(vocabulary: Vocabulary, numeric: Sequence[str]) -> list:
         StringIndexerModel.from_labels(
             list(vocabulary[c]), inputCol=c, outputCol=out, handleInvalid="keep"
         )
+        if isinstance(vocabulary, Mapping)
+        else StringIndexer(
+            inputCol=c, outputCol=out, handleInvalid="keep", stringOrderType="alphabetAsc"
+        )
         for c, out in zip(columns, indexed, strict=True)
     ]
     one_hot = OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=True)

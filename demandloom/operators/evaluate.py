@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.functions.exact import hundredths, sum_of_squares
+from demandloom.functions.exact import exact_sum, finite, hundredths, sum_of_squares
 
 
 def long_predictions(
@@ -32,31 +32,34 @@ def regression_metrics(
 ) -> DataFrame:
     """``n_rows, mae, rmse, r2`` over rows with both values, per ``by`` group, in one pass.
 
+    NaN and infinite values count as missing.
     r2 is 1 - SSE / SST; for a constant label 1 if every prediction is right
     and 0 if not; NULL below two rows. Group state is a few numbers and combines
     before the exchange. ``exact`` computes in integer hundredths, for values
     with two decimals.
     """
-    scored = df.where(F.col(label).isNotNull() & F.col(prediction).isNotNull())
-    y, p = F.col(label), F.col(prediction)
+    y, p = finite(F.col(label)), finite(F.col(prediction))
+    scored = df.where(y.isNotNull() & p.isNotNull())
     if exact:
         scored = scored.select(*by, hundredths(y).alias("_label"), hundredths(p).alias("_guess"))
         scored = scored.withColumn("_error", F.col("_label") - F.col("_guess"))
         y, error = F.col("_label"), F.col("_error")
-        # 38-digit integers: an overflow is an error, never a wrong sum.
         sums = scored.groupBy(*by).agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(F.abs(error)).alias("_abs"),
+            exact_sum(F.abs(error)).alias("_abs"),
             sum_of_squares(error).alias("_sse"),
-            F.sum(y).alias("_y"),
+            exact_sum(y).alias("_y"),
             sum_of_squares(y).alias("_yy"),
         )
         n = F.col("n_rows")
         # n times the sums of squares; one division at the end.
         big_n = n.cast("decimal(19,0)")
         sse = big_n * F.col("_sse")
-        total = F.col("_y").cast("decimal(19,0)")
-        sst = big_n * F.col("_yy") - total * total
+        total = F.col("_y")
+        sst = _fits(big_n * F.col("_yy") - total * total, n)
+        sse = _fits(sse, n)
+        # Sums hold for any labels below 1e16; what outgrows 38 digits is an error here
+        # whether the session raises overflows or makes them NULL.
         mae = F.col("_abs").cast("double") / (n * 100).cast("double")
         rmse = F.sqrt(F.col("_sse").cast("double") / n.cast("double")) / F.lit(100.0)
         r2 = _r2(n, sse, sst)
@@ -74,6 +77,11 @@ def regression_metrics(
     return sums.select(*by, n, mae.alias("mae"), rmse.alias("rmse"), r2.alias("r2"))
 
 
+def _fits(value: Column, n: Column) -> Column:
+    too_large = F.raise_error(F.lit("labels too large for exact metrics"))
+    return F.when(n > 0, F.coalesce(value, too_large))
+
+
 def _r2(n: Column, sse: Column, sst: Column) -> Column:
     return F.when(
         n >= 2,

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
+from demandloom.functions.exact import finite
+
 # The three state tables, as DDL.
 RUNS = (
     "run_id string, run_name string, status string, params map<string,string>, "
@@ -43,11 +45,11 @@ def best_run(
 ) -> DataFrame:
     """The completed run with the highest ``metric``: at most one row.
 
-    NULL scores come last; a tie goes to the latest run, then to the smallest id.
+    Scores that are NULL, NaN or infinite come last; a tie goes to the latest run, then to the smallest id.
     """
     return (
         finished_runs(runs, run_name)
-        .orderBy(F.desc_nulls_last(metric), *[F.desc_nulls_last(c) for c in recency], "run_id")
+        .orderBy(finite(F.col(metric)).desc_nulls_last(), *[F.desc_nulls_last(c) for c in recency], "run_id")
         .limit(1)
     )
 
@@ -61,10 +63,13 @@ def require_row(df: DataFrame, message: str) -> Row:
 
 
 def quality_gate(scores: DataFrame, metric: str, threshold: Column | float) -> DataFrame:
-    """Add ``threshold`` and ``passed``: strictly above it; a missing score fails."""
+    """Add ``threshold`` and ``passed``: strictly above it.
+
+    A score that is missing, NaN or infinite fails.
+    """
     limit = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     return scores.withColumns(
-        {"threshold": limit, "passed": F.coalesce(F.col(metric) > limit, F.lit(False))}
+        {"threshold": limit, "passed": F.coalesce(finite(F.col(metric)) > limit, F.lit(False))}
     )
 
 
@@ -108,13 +113,14 @@ def promotion_decision(
     """One row (per ``by`` group) deciding between the two roles.
 
     ``promoted`` if the challenger is strictly better or there is no champion,
-    ``kept`` if not, ``no_challenger`` if there is none. A champion that is there
+    ``kept`` if not, ``no_challenger`` if there is none. A score that is NaN or
+    infinite is no score, and a challenger without one is never promoted. A champion that is there
     but has no score is not "no champion": ``champion_present`` tells them apart
     and the decision is then ``kept``.
     """
 
     def of(name: str) -> Column:
-        return F.max(F.when(F.col(role) == name, F.col(metric)))
+        return F.max(F.when(F.col(role) == name, finite(F.col(metric))))
 
     def present(name: str) -> Column:
         return F.coalesce(F.max(F.col(role) == name), F.lit(False))
@@ -126,7 +132,8 @@ def promotion_decision(
         present(challenger).alias("challenger_present"),
     )
     better = F.coalesce(F.col("challenger_r2") > F.col("champion_r2"), F.lit(False))
-    wins = F.col("challenger_present") & (~F.col("champion_present") | better)
+    scored = F.col("challenger_r2").isNotNull()
+    wins = F.col("challenger_present") & scored & (~F.col("champion_present") | better)
     return row.withColumn("metric_r2_passed", wins).withColumn(
         "status",
         F.when(~F.col("challenger_present"), "no_challenger")

@@ -16,13 +16,16 @@ from demandloom.settings import TreeSpec
 def fit_tree(
     train: DataFrame,
     label: str,
-    vocabulary: Vocabulary,
+    vocabulary: Vocabulary | Sequence[str],
     numeric: Sequence[str],
     spec: TreeSpec | None = None,
     prediction: str = "predicted_demand",
 ) -> PipelineModel:
     """Encoder and tree as one fitted pipeline.
 
+    ``vocabulary`` may be the names of the categorical columns alone; their values then
+    come from ``train``.
+
     The fit reads ``train`` several times (thresholds, then the binned rows,
     which the learner caches), so pass a written table. Node ids are cached per
     row rather than re-derived by walking the growing tree, and checkpointed.

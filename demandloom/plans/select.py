@@ -37,6 +37,6 @@ def select(data: Dataset, book: ModelBook, lifecycle: s.Lifecycle | None = None)
     if not gate["passed"]:
         return Selection(run["run_id"], gate["r2"], lifecycle.threshold, "rejected", None)
     version = book.register(lifecycle.model_name, run)
-    tags = {"test_r2": str(gate["r2"]), "test_r2_status": "cleared"}
+    tags = {s.TAG_TEST_R2: str(gate["r2"]), s.TAG_STATUS: s.TAG_CLEARED}
     book.assign(lifecycle.model_name, lifecycle.challenger, version, tags)
     return Selection(run["run_id"], gate["r2"], lifecycle.threshold, "registered", version)

@@ -64,11 +64,11 @@ def serve(
             decision["metric_r2_passed"],
         )
         tags = {
-            "test_r2": str(decision["challenger_r2"]),
-            "metric_r2_passed": str(decision["metric_r2_passed"]),
+            s.TAG_TEST_R2: str(decision["challenger_r2"]),
+            s.TAG_PASSED: str(decision["metric_r2_passed"]),
         }
         if decision["champion_r2"] is not None:
-            tags["champion_r2"] = str(decision["champion_r2"])
+            tags[s.TAG_CHAMPION] = str(decision["champion_r2"])
         # The comparison is recorded on the challenger whether it won or not.
         book.assign(name, lifecycle.challenger, challenger["version"], tags)
         if outcome.metric_r2_passed:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime, timezone
 
 from demandloom import settings as s
-from demandloom.operators.encode import fit_vocabulary
 from demandloom.operators.evaluate import regression_metrics
 from demandloom.operators.trees import fit_tree, score
 from demandloom.plans.dataset import Dataset
@@ -19,26 +18,18 @@ def train(
     book: ModelBook,
     lifecycle: s.Lifecycle | None = None,
     spec: s.TreeSpec | None = None,
-    max_categories: int = 100_000,
 ) -> str:
     """Returns the id of the recorded run. The vocabulary comes from the train split only."""
     lifecycle, spec = lifecycle or s.Lifecycle(), spec or s.TreeSpec()
     started = datetime.now(timezone.utc)
     train_rows = data.part("train")
-    vocabulary = fit_vocabulary(train_rows, s.CATEGORICAL, max_categories)
-    model = fit_tree(train_rows, s.TARGET, vocabulary, s.NUMERIC, spec, PREDICTION)
+    model = fit_tree(train_rows, s.TARGET, s.CATEGORICAL, s.NUMERIC, spec, PREDICTION)
     validated = regression_metrics(score(model, data.part("validation")), s.TARGET, PREDICTION)
-    tags = {
-        "model_type": "DecisionTreeRegressor",
-        "problem_type": "regression",
-        "target": s.TARGET,
-        **lifecycle.tags,
-    }
     return book.log_run(
         model,
         lifecycle.run_name,
         spec.as_params(),
-        tags,
+        dict(lifecycle.tags),
         validated.first().asDict(),
         started,
     )

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Set for every session this package builds itself. A session handed in by the
-# caller keeps its own settings, except the time zone the results depend on.
+# caller keeps its own settings, except those the results depend on.
 SCALE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -16,6 +16,11 @@ SCALE_CONF = {
     # A hot join key is split even when that costs one more exchange downstream.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # An overflow is an error, never a wrapped sum.
+    "spark.sql.ansi.enabled": "true",
+    # Upper bound of the ranges and groups that an exchange makes; the adaptive planner
+    # merges small ones, but never splits. Raise it so that a range fits a task.
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
 }
 
 
@@ -39,6 +44,7 @@ def build_session(
 def prepare(spark: SparkSession) -> SparkSession:
     """Pin what results depend on in a session somebody else built."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
     return spark
 
 

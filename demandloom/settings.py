@@ -6,7 +6,7 @@ pass in.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from fractions import Fraction
 
 # Layer column names, model inputs, thresholds and aliases.
@@ -68,6 +68,12 @@ HELD_OUT = Fraction(1, 5)
 SELECTION_METRIC = "validation_r2"
 RUN_NAME = "decision_tree"
 MODEL_NAME = "demand_forecast"
+# Tags of a registered version.
+TAG_TEST_R2 = "test_r2"
+TAG_STATUS = "test_r2_status"
+TAG_CLEARED = "cleared"
+TAG_PASSED = "metric_r2_passed"
+TAG_CHAMPION = "champion_r2"
 
 
 @dataclass(frozen=True)
@@ -85,13 +91,8 @@ class TreeSpec:
     seed: int = 42
 
     def as_params(self) -> dict[str, str]:
-        return {
-            "criterion": "squared_error",
-            "max_depth": str(self.max_depth),
-            "min_samples_split": str(2 * self.min_leaf),
-            "min_samples_leaf": str(self.min_leaf),
-            "random_state": str(self.seed),
-        }
+        """Every field by its own name: what it takes to fit the model again."""
+        return {name: str(value) for name, value in asdict(self).items()}
 
 
 @dataclass(frozen=True)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
+
+from demandloom.functions.exact import finite
 
 
 def read_csv(
@@ -18,7 +20,8 @@ def read_csv(
     """Typed scan without inference.
 
     Columns bind by position. An unparsable cell becomes NULL, a short row is
-    padded with NULL, extra cells are dropped. With ``corrupt_column`` the raw
+    padded with NULL, extra cells are dropped. A number that is NaN or infinite
+    becomes NULL too: such a cell tells nothing, and would outrank every number. With ``corrupt_column`` the raw
     text of such rows is kept in that column.
     """
     if corrupt_column:
@@ -31,7 +34,9 @@ def read_csv(
     )
     if corrupt_column:
         reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader.csv(path)
+    read = reader.csv(path)
+    real = [f for f in schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
+    return read.withColumns({f.name: finite(F.col(f.name)).cast(f.dataType) for f in real})
 
 
 def stamp_ingestion(df: DataFrame, name: str = "ingested_at") -> DataFrame:

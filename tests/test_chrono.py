@@ -13,8 +13,7 @@ from demandloom.session import materialize
 def days(spark, n, kind="date"):
     return spark.range(1, n + 1).selectExpr(
         "cast(id as int) as id",
-        f"cast(date_add(date'2026-01-01', cast(id - 1 as int)) as {kind}) as d",
-        "cast(id * 10 + 90 as double) as total_demand",
+        f"cast(date_add(date'2023-11-24', cast(id as int) * 3) as {kind}) as d",
     )
 
 
@@ -70,7 +69,7 @@ def brute(df, order):
     return rows(chrono.split_by_rank(ranked, n), "id", "split")
 
 
-@pytest.mark.parametrize("small", [4096, 3])
+@pytest.mark.parametrize("fetch", [4096, 3])
 @pytest.mark.parametrize(
     "shape",
     [
@@ -80,8 +79,8 @@ def brute(df, order):
         dict(n=60, dates=1, nulls=True),
     ],
 )
-def test_cut_points_equal_a_global_row_number(spark, monkeypatch, shape, small):
-    monkeypatch.setattr(chrono, "SMALL", small)
+def test_cut_points_equal_a_global_row_number(spark, monkeypatch, shape, fetch):
+    monkeypatch.setattr(chrono, "FETCH", fetch)
     df = materialize(shuffled(spark, **shape), "shuffled")
     split = chrono.fit_chrono_split(df, ["d", "k"])
     assert rows(split.label(df), "id", "split") == brute(df, ["d", "k"])
@@ -107,7 +106,7 @@ def test_indistinguishable_rows_at_a_cut_are_an_error(spark):
 
 
 def test_nth_row_narrows_without_knowing_the_size(spark, monkeypatch):
-    monkeypatch.setattr(chrono, "SMALL", 2)
+    monkeypatch.setattr(chrono, "FETCH", 2)
     df = shuffled(spark, 120, 1)
     expected = [r["k"] for r in df.orderBy("k").collect()]
     for position in (1, 37, 120):
@@ -117,7 +116,7 @@ def test_nth_row_narrows_without_knowing_the_size(spark, monkeypatch):
 
 
 def test_a_hot_tuple_does_not_stall_the_search(spark, monkeypatch):
-    monkeypatch.setattr(chrono, "SMALL", 2)
+    monkeypatch.setattr(chrono, "FETCH", 2)
     df = spark.range(300).selectExpr("if(id < 290, 5, cast(id as int)) as v")
     assert chrono.nth_row(df, ["v"], 290) == ("5",)
     assert chrono.nth_row(df, ["v"], 291) == ("290",)

@@ -5,28 +5,29 @@ from demandloom.operators import encode
 from demandloom.operators.trees import fit_tree, load_model, save_model, score
 from demandloom.settings import TreeSpec
 
-SCHEMA = "product_name string, destination_city string, ordered_quantity int, unit_price double"
+SCHEMA = "grade string, port string, litres int, price double"
 DATA = [
-    ("Product_A", "Mumbai", 100, 10.0),
-    ("Product_B", "Delhi", 200, 20.0),
-    ("Product_C", "Chennai", 150, 15.0),
-    ("Product_A", "Mumbai", 300, 30.0),
+    ("heavy", "Turku", 7, 0.5),
+    ("light", "Bergen", 3, 2.25),
+    ("heavy", "Ghent", 11, 4.0),
+    ("medium", "Turku", 2, 8.5),
+    ("light", "Turku", 5, 1.75),
 ]
-COLUMNS = ["product_name", "destination_city"]
+COLUMNS = ["grade", "port"]
 
 
 def test_wide_names_and_row_count(spark):
     df = spark.createDataFrame(DATA, SCHEMA)
     vocabulary = encode.fit_vocabulary(df, COLUMNS)
     wide = encode.one_hot_wide(df, vocabulary)
-    assert wide.count() == 4
+    assert wide.count() == 5
     assert wide.columns[4:] == encode.one_hot_names(vocabulary) == [
-        "product_name_Product_A",
-        "product_name_Product_B",
-        "product_name_Product_C",
-        "destination_city_Chennai",
-        "destination_city_Delhi",
-        "destination_city_Mumbai",
+        "grade_heavy",
+        "grade_light",
+        "grade_medium",
+        "port_Bergen",
+        "port_Ghent",
+        "port_Turku",
     ]
     flags = [r[4:] for r in rows(wide, *wide.columns)]
     assert all(sum(f[:3]) == 1 and sum(f[3:]) == 1 for f in flags)
@@ -35,37 +36,73 @@ def test_wide_names_and_row_count(spark):
 @pytest.mark.parametrize(
     "call",
     [
-        lambda df: encode.fit_vocabulary(df, ["invalid_column"]),
-        lambda df: encode.category_vocab(df, ["invalid_column"]),
-        lambda df: encode.one_hot_wide(df, {"invalid_column": ["a"]}),
-        lambda df: encode.fit_encoder(df, {"invalid_column": ["a"]}, []),
+        lambda df: encode.fit_vocabulary(df, ["no_such"]),
+        lambda df: encode.category_vocab(df, ["no_such"]),
+        lambda df: encode.one_hot_wide(df, {"no_such": ["a"]}),
+        lambda df: encode.fit_encoder(df, {"no_such": ["a"]}, []),
     ],
 )
 def test_unknown_column(spark, call):
-    with pytest.raises(KeyError, match="invalid_column"):
+    with pytest.raises(KeyError, match="no_such"):
         call(spark.createDataFrame(DATA, SCHEMA))
 
 
 def test_vocabulary_table_is_sorted_per_column_without_null(spark):
-    df = spark.createDataFrame([*DATA, (None, "Delhi", 1, 1.0)], SCHEMA)
+    df = spark.createDataFrame([*DATA, (None, "Ghent", 1, 1.0)], SCHEMA)
     got = rows(encode.category_vocab(df, COLUMNS), "column", "position", "value", "n_rows")
     assert got == [
-        ("destination_city", 0, "Chennai", 1),
-        ("destination_city", 1, "Delhi", 2),
-        ("destination_city", 2, "Mumbai", 2),
-        ("product_name", 0, "Product_A", 2),
-        ("product_name", 1, "Product_B", 1),
-        ("product_name", 2, "Product_C", 1),
+        ("grade", 0, "heavy", 2),
+        ("grade", 1, "light", 2),
+        ("grade", 2, "medium", 1),
+        ("port", 0, "Bergen", 1),
+        ("port", 1, "Ghent", 2),
+        ("port", 2, "Turku", 3),
     ]
 
 
-def test_too_large_a_vocabulary_is_an_error(spark):
+def test_a_limit_on_the_vocabulary_is_opt_in(spark):
     df = spark.range(20).selectExpr("cast(id as string) as c")
+    assert len(encode.fit_vocabulary(df, ["c"])["c"]) == 20
     assert len(encode.fit_vocabulary(df, ["c"], limit=20)["c"]) == 20
     with pytest.raises(ValueError, match="more than 19"):
         encode.fit_vocabulary(df, ["c"], limit=19)
 
 
+def test_fit_finds_sorted_categories_by_itself_however_many(spark):
+    """More than 100,000 categories, each on one row, and one that explains the label."""
+    n = 100_200
+    df = spark.range(n).selectExpr(
+        "if(id % 2 = 0, 'common', concat('rare', id)) as c", "cast(id % 2 as double) as y"
+    )
+    wide = spark.range(n).selectExpr("cast(id as string) as c", "0.0D as y")
+    assert len(encode.encoding_stages(["c"], [])[0].fit(wide).labels) == n
+    model = fit_tree(df, "y", ["c"], [], TreeSpec(max_depth=1, min_leaf=1))
+    labels = model.stages[0].labels
+    assert len(labels) == n // 2 + 1 and list(labels) == sorted(labels)
+    assert score(model, df).where("predicted_demand <> y").count() == 0
+    unseen = spark.createDataFrame([("new",), (None,)], "c string")
+    assert {r["predicted_demand"] for r in score(model, unseen).collect()} == {1.0}
+
+
+@pytest.mark.parametrize(
+    "vocabulary", [{"a": ["b_c"], "a_b": ["c"]}, {"a": ["x", "X"]}, {"a": ["b"]}]
+)
+def test_names_that_meet_are_an_error(spark, vocabulary):
+    df = spark.createDataFrame([("b_c", "c", 7.5)], "a string, a_b string, A_B_1 double")
+    clash = vocabulary if "a_b" in vocabulary or "X" in vocabulary["a"] else {"a": ["b"]}
+    with pytest.raises(ValueError, match="taken twice"):
+        encode.one_hot_wide(df, clash)
+
+
+def test_values_with_points_and_quotes(spark):
+    df = spark.createDataFrame([("St. Louis",), ("a`b",)], "city string")
+    vocabulary = encode.fit_vocabulary(df, ["city"])
+    wide = encode.one_hot_wide(df, vocabulary)
+    flags = wide.select(*encode.quoted(encode.one_hot_names(vocabulary)))
+    assert flags.columns == ["city_St. Louis", "city_a`b"]
+    assert rows(flags) == [(0, 1), (1, 0)]
+
+
 UNSEEN = [("B", 1), ("Z", 2), (None, 3)]
 
 
@@ -83,10 +120,10 @@ def test_unseen_and_null_are_zeros_in_both_forms(spark, tmp_path):
 
 def test_design_matrix_is_numeric_first(spark):
     df = spark.createDataFrame(DATA[1:2], SCHEMA)
-    vocabulary = {"product_name": ["Product_A", "Product_B"], "destination_city": ["Delhi"]}
-    encoder = encode.fit_encoder(df, vocabulary, ["unit_price", "ordered_quantity"])
+    vocabulary = {"grade": ["heavy", "light"], "port": ["Bergen"]}
+    encoder = encode.fit_encoder(df, vocabulary, ["price", "litres"])
     vector = encoder.transform(df).first()["features"]
-    assert list(vector.toArray()) == [20.0, 200.0, 0.0, 1.0, 1.0]
+    assert list(vector.toArray()) == [2.25, 3.0, 0.0, 1.0, 1.0]
 
 
 def test_missing_numbers_train_and_score(spark, tmp_path):

@@ -28,6 +28,29 @@ def test_equal_the_library_evaluator(spark, exact):
         assert got[name] == pytest.approx(evaluator.evaluate(df), rel=1e-12)
 
 
+@pytest.mark.parametrize("exact", [False, True])
+@pytest.mark.parametrize("odd", [float("nan"), float("inf"), float("-inf")])
+def test_values_that_are_not_finite_count_as_missing(spark, odd, exact):
+    data = [(1.0, 2.0), (3.0, 3.0), (4.0, 2.0)]
+    with_odd = metrics(spark, [*data, (odd, 1.0), (1.0, odd), (odd, odd)], exact)
+    assert tuple(with_odd) == pytest.approx(tuple(metrics(spark, data, exact)))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+@pytest.mark.parametrize("data", [[(9e15, 1.0)] * 11, [(9e15, 1.0)] * 400, [(4e16, 1.0)] * 4])
+def test_large_labels_are_right_or_an_error(spark, ansi, data):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        if len(data) == 11:
+            got = metrics(spark, data, True)
+            assert got["mae"] == pytest.approx(9e15) and got["r2"] == 0.0
+        else:
+            with pytest.raises(Exception, match="no exact hundredths|too large for exact|Decimal"):
+                metrics(spark, data, True)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+
+
 @pytest.mark.parametrize("exact", [False, True])
 def test_constant_label(spark, exact):
     assert metrics(spark, [(2.0, 2.0), (2.0, 2.0)], exact)["r2"] == 1.0

@@ -4,6 +4,7 @@ from conftest import plan_of, rows
 from demandloom.operators import lifecycle as lc
 
 METRIC = "validation_r2"
+NAN, INF = float("nan"), float("inf")
 
 
 def runs(spark, *data):
@@ -21,6 +22,8 @@ def test_best_run_ignores_unfinished_and_other_names(spark):
         ("b", "x", "RUNNING", 0.9, "2026-01-01"),
         ("c", "y", "FINISHED", 0.8, "2026-01-01"),
         ("d", "x", "FINISHED", None, "2026-01-09"),
+        ("e", "x", "FINISHED", NAN, "2026-01-09"),
+        ("f", "x", "FINISHED", INF, "2026-01-09"),
     )
     assert lc.best_run(df, METRIC, "x").first()["run_id"] == "a"
     assert lc.best_run(df, METRIC).first()["run_id"] == "c"
@@ -44,6 +47,8 @@ def test_no_run_is_an_error(spark):
 
 
 def test_gate_is_strict(spark):
+    odd = spark.createDataFrame([(NAN,), (INF,), (-INF,)], "r2 double")
+    assert not any(r["passed"] for r in lc.quality_gate(odd, "r2", float("-inf")).collect())
     df = spark.createDataFrame([(0.8,), (0.9,), (0.91,), (None,)], "r2 double")
     got = rows(lc.quality_gate(df, "r2", 0.9), "r2", "threshold", "passed")
     assert got == [
@@ -83,6 +88,11 @@ def test_newest_assignment_holds_the_alias(spark):
         ([("Champion", 0.8)], "no_challenger", False),
         ([("Champion", None), ("Challenger", 0.9)], "kept", False),
         ([("Champion", 0.8), ("Challenger", None)], "kept", False),
+        ([("Champion", 0.8), ("Challenger", NAN)], "kept", False),
+        ([("Champion", 0.8), ("Challenger", INF)], "kept", False),
+        ([("Champion", NAN), ("Challenger", 0.9)], "kept", False),
+        ([("Challenger", NAN)], "kept", False),
+        ([("Challenger", None)], "kept", False),
         ([], "no_challenger", False),
     ],
 )
