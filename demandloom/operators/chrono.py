@@ -31,7 +31,8 @@ def place_in_order(df: DataFrame, order: Sequence[str], parts: int | None = None
     ``order``, so a series or a date that holds a third of the rows is spread
     over many of them; only rows equal in all of ``order`` stay together.
     Writing fixes the cut: a repeated task cannot see another one. Without
-    ``parts`` the adaptive planner sizes the ranges, so small data gets few.
+    ``parts`` there are as many as the session's shuffle partitions, which the
+    adaptive planner merges on small data but never splits.
     """
     ranged = df.repartitionByRange(*([parts] if parts else []), *order)
     ordered = ranged.sortWithinPartitions(*order)

@@ -72,35 +72,16 @@ def hot_series_features(
     Rows are placed in ``(series, order)`` and cut into ranges of about equal
     size; the part of a series in one range is a window partition of its own.
     It is preceded by a halo: the rows, as many as the longest lag or frame,
-    that come before it in the series. Halos are taken from the last rows of
-    every part, limited to that many before the exchange, so no task holds more
-    of a series than one range or the tails of its ranges. ``order`` must be
-    total within a series.
+    that come before it in the series. Halos are taken from the tails of the parts
+    before, limited to that many rows before the exchange. Which tail goes where
+    is worked out on one number per part, so no task holds more of a series than
+    one range, or the sizes of its tails. ``order`` must be total within a series.
     """
     reach = max([*(lags or {}), rolling_rows if rolling else 0])
     carried = list(dict.fromkeys([*order, target]))
     placed = place_in_order(df, [*series, *order], parts).drop("_pos")
 
-    newest_first = Window.partitionBy(*series, "_part").orderBy(*[F.desc(c) for c in order])
-    tails = (
-        placed.select(*dict.fromkeys([*series, "_part", *carried]))
-        .withColumn("_back", F.row_number().over(newest_first))
-        .where(F.col("_back") <= reach)
-        .drop("_back")
-    )
-    along = Window.partitionBy(*series).orderBy(*order)
-    preceding = F.collect_list(F.struct(*carried)).over(along.rowsBetween(-reach, -1))
-    halos = (
-        tails.withColumns({"_before": F.lag("_part").over(along), "_halo": preceding})
-        .where(F.col("_before") < F.col("_part"))
-        .select(*series, "_part", F.explode("_halo").alias("_row"))
-        .select(
-            *[c for c in series if c not in carried],
-            "_part",
-            *[F.col("_row")[c].alias(c) for c in carried],
-            F.lit(True).alias("_is_halo"),
-        )
-    )
+    halos = _halos(placed.select(*dict.fromkeys([*series, "_part", *carried])), series, order, reach)
     rows = placed.withColumn("_is_halo", F.lit(False)).unionByName(halos, allowMissingColumns=True)
     # Ranges of the part number keep the parts apart, where hashing could put several hot
     # ones on one task. They also satisfy the window, which adds no exchange of its own.
@@ -117,6 +98,47 @@ def hot_series_features(
     return featured.where(~F.col("_is_halo")).drop("_part", "_is_halo")
 
 
+def _halos(
+    rows: DataFrame, series: Sequence[str], order: Sequence[str], reach: int
+) -> DataFrame:
+    """For each part of a series the last ``reach`` rows before it, marked ``_is_halo``.
+
+    Tail rows of a series count on from part to part: row ``t`` is in the halo of the
+    parts that begin after it and less than ``reach`` rows later. Where tails are
+    full that is the next part alone; short parts reach further.
+    """
+    newest_first = Window.partitionBy(*series, "_part").orderBy(*[F.desc(c) for c in order])
+    tails = rows.withColumn("_back", F.row_number().over(newest_first)).where(
+        F.col("_back") <= reach
+    )
+    along = Window.partitionBy(*series).orderBy("_part").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    near = Window.partitionBy(*series).orderBy("_start").rangeBetween(1, max(2 * reach - 1, 1))
+    parts = (
+        tails.groupBy(*series, "_part")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_start", F.coalesce(F.sum("_n").over(along), F.lit(0)).cast("bigint"))
+        .withColumn("_to", F.collect_list(F.struct("_part", "_start")).over(near))
+    )
+    renamed = parts.select(
+        *[F.col(c).alias(f"_of_{c}") for c in series],
+        F.col("_part").alias("_of_part"),
+        F.explode("_to").alias("_to"),
+        (F.col("_start") + F.col("_n")).alias("_end"),
+    )
+    same = F.col("_part") == F.col("_of_part")
+    for c in series:
+        same = same & F.col(c).eqNullSafe(F.col(f"_of_{c}"))
+    ahead = F.col("_to._start") - (F.col("_end") - F.col("_back") + 1)
+    return (
+        tails.join(renamed, same)
+        .where(ahead < reach)
+        .withColumn("_part", F.col("_to._part"))
+        .select(*rows.columns, F.lit(True).alias("_is_halo"))
+    )
+
+
 def with_calendar(df: DataFrame, time: str) -> DataFrame:
     """Add ``month`` and ``day_of_week``."""
     return df.withColumns(calendar(time))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,10 +19,10 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # An overflow is an error, never a wrapped sum.
     "spark.sql.ansi.enabled": "true",
-    # Upper bound of the ranges and groups that an exchange makes; the adaptive planner
-    # merges small ones, but never splits. Raise it so that a range fits a task.
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000",
 }
+# Ranges and groups that an exchange makes at most. The adaptive planner merges small
+# ones but splits none, so this has to grow with the data: rows over it fit one task.
+EXCHANGE_PARTITIONS = "2000"
 
 
 def build_session(
@@ -34,8 +35,8 @@ def build_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
-    if shuffle_partitions:
-        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    parts = str(shuffle_partitions or EXCHANGE_PARTITIONS)
+    builder = builder.config("spark.sql.shuffle.partitions", parts)
     for key, value in {**SCALE_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -51,8 +52,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder that driver and executors both see, from ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a
-    cluster an unset folder is an error, since a machine-local one would be lost
+    Only a session in one process without that setting gets a temporary folder; on
+    a cluster an unset folder is an error, since a machine-local one would be lost
     with its executor.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -62,7 +63,7 @@ def shared_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="demandloom-"))
     return context.getCheckpointDir().rstrip("/")
