@@ -1,4 +1,4 @@
-"""Command line for spark-submit: ``refresh``, ``train`` and ``predict`` over shared storage."""
+"""Command line for spark-submit: ``refresh``, ``train`` and ``predict``."""
 
 from __future__ import annotations
 
@@ -16,32 +16,65 @@ from demandloom.plans.train import train
 from demandloom.session import build_session
 
 
+def _pair(text: str) -> tuple[str, str]:
+    key, separator, value = text.partition("=")
+    if not separator:
+        raise argparse.ArgumentTypeError(f"{text!r} is not key=value")
+    return key, value
+
+
 def main(argv: list[str] | None = None) -> dict:
     parser = argparse.ArgumentParser(prog="demandloom")
     parser.add_argument("job", choices=["refresh", "train", "predict"])
-    parser.add_argument("--root", required=True, help="folder of all tables, on shared storage")
+    parser.add_argument("--root", help="folder of all tables and models, on shared storage")
+    parser.add_argument("--database", help="catalog database of the tables instead of --root")
+    parser.add_argument("--artifacts", help="folder of models and data sets (with --database)")
+    parser.add_argument("--fmt", default="parquet", help="table format")
     parser.add_argument("--csv", help="transaction feed (refresh)")
     parser.add_argument("--lean", action="store_true", help="refresh without the inner layers")
+    parser.add_argument("--exact", action="store_true", help="sums and metrics in hundredths")
+    parser.add_argument("--buckets", type=int, help="buckets on the key (with --database)")
+    parser.add_argument("--tag", type=_pair, action="append", default=[], metavar="KEY=VALUE")
+    parser.add_argument("--description", help="of the feature table (with --database)")
     parser.add_argument("--threshold", type=float, default=s.TEST_R2_THRESHOLD)
     parser.add_argument("--master", help="only for local runs")
     args = parser.parse_args(argv)
+    if bool(args.root) == bool(args.database):
+        parser.error("give either --root or --database")
+    if args.database and args.job != "refresh" and not args.artifacts:
+        parser.error("--database needs --artifacts for models and data sets")
+    if args.job == "refresh" and not args.csv:
+        parser.error("refresh needs --csv")
 
     spark = build_session(master=args.master)
-    tables = s.Tables.under(args.root)
-    lifecycle = s.Lifecycle(threshold=args.threshold)
+    tables = s.Tables.under(args.root) if args.root else s.Tables.in_database(args.database)
+    lifecycle = s.Lifecycle(threshold=args.threshold, tags=dict(args.tag))
     if args.job == "refresh":
-        if not args.csv:
-            parser.error("refresh needs --csv")
-        result = refresh(spark, args.csv, tables, lean=args.lean)
+        result = refresh(
+            spark,
+            args.csv,
+            tables,
+            args.fmt,
+            args.buckets,
+            dict(args.tag),
+            args.lean,
+            args.exact,
+            args.description,
+        )
     else:
-        data = build_dataset(spark, tables)
-        book = ModelBook(spark, tables.models)
+        book = ModelBook(spark, tables.models, args.artifacts, args.fmt)
         if args.job == "train":
-            result = {"run_id": train(data, book, lifecycle)}
+            data = build_dataset(spark, tables, args.fmt, book.new_dataset_path())
+            result = {"run_id": train(data, book, lifecycle, exact=args.exact)}
+            book.keep_dataset(data)
         else:
-            selection = select(data, book, lifecycle)
-            outcome = serve(data, book, tables, lifecycle)
-            result = {"selection": asdict(selection), "outcome": asdict(outcome)}
+            # The rows and cut points of the training run, whatever was refreshed since.
+            with book.dataset() as data:
+                selection = select(data, book, lifecycle, args.exact)
+                # A rejected candidate sets off no comparison of an older challenger.
+                registered = selection.status == "registered"
+                outcome = serve(data, book, tables, lifecycle, args.fmt, registered, args.exact)
+                result = {"selection": asdict(selection), "outcome": asdict(outcome)}
     print(json.dumps(result))
     return result
 

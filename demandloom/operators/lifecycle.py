@@ -102,6 +102,20 @@ def current_aliases(
     return log.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def current_tags(
+    log: DataFrame,
+    by: Sequence[str] = ("model_name", "version"),
+    newest: Sequence[str] = ("assigned_at",),
+) -> DataFrame:
+    """Per version the tags of all its assignments; of one tag the newest value."""
+    order = F.struct(*newest)
+    entries = log.select(*by, order.alias("_at"), F.explode("tags").alias("key", "value"))
+    latest = entries.groupBy(*by, "key").agg(F.max_by("value", "_at").alias("value"))
+    return latest.groupBy(*by).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("tags")
+    )
+
+
 def promotion_decision(
     scores: DataFrame,
     role: str = "role",

@@ -1,31 +1,74 @@
-"""The split training set, built once per run and shared by train, select and serve."""
+"""The split training set: written once per training run and read again to predict."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from demandloom import settings as s
 from demandloom.operators.chrono import ChronoSplit, fit_chrono_split
+from demandloom.operators.encode import require_columns
 from demandloom.operators.keyed import lookup_features
-from demandloom.session import materialize
-from demandloom.sources.tables import read_table
+from demandloom.operators.trees import score
+from demandloom.session import scratch_path
+from demandloom.sources.tables import read_table, remove_path
 
 # The key alone can collide; with the series columns the order is total.
 ORDER = (s.TIME, s.KEY, *s.SERIES)
 
 
-@dataclass(frozen=True)
+@dataclass
 class Dataset:
-    """Joined rows in a written table, and the cut points of the chronological split."""
+    """Joined rows in a written table, and the cut points of the chronological split.
+
+    ``path`` is the folder of the rows if this object owns it; ``close``, or leaving a
+    ``with`` block, deletes it and what was scored on it.
+    """
 
     rows: DataFrame
     split: ChronoSplit
+    path: str | None = None
+    _scored: dict[str, str] = field(default_factory=dict)
+    _test: DataFrame | None = None
+    _scratch: list[str] = field(default_factory=list)
 
     def part(self, name: str) -> DataFrame:
         return self.split.take(self.rows, name)
 
+    def scored(self, models: dict[str, object]) -> tuple[DataFrame, dict[str, str]]:
+        """The test rows with one prediction column per model, and which is whose.
+
+        ``models`` maps a name that stays the model's own, as its path, to the model.
+        Rows are read and scored once and written; a model asked for again costs
+        nothing, a new one one more pass that keeps the columns there are.
+        """
+        new = {name: model for name, model in models.items() if name not in self._scored}
+        if new:
+            frame = self.part("test") if self._test is None else self._test
+            for name, model in new.items():
+                column = f"prediction_{len(self._scored)}"
+                renamed = model.copy({model.stages[-1].predictionCol: column})
+                frame = score(renamed, frame, column)
+                self._scored[name] = column
+            folder = scratch_path(frame.sparkSession, "scored")
+            frame.write.parquet(folder)
+            self._scratch.append(folder)
+            self._test = frame.sparkSession.read.schema(frame.schema).parquet(folder)
+        return self._test, {name: self._scored[name] for name in models}
+
+    def close(self) -> None:
+        spark = self.rows.sparkSession
+        for folder in (*self._scratch, *([self.path] if self.path else [])):
+            remove_path(spark, folder)
+        self._scratch, self._scored, self._test = [], {}, None
+
+    def __enter__(self) -> "Dataset":
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
 
 def training_set(spark: SparkSession, tables: s.Tables, fmt: str = "parquet") -> DataFrame:
     """Labels with their features."""
@@ -34,9 +77,59 @@ def training_set(spark: SparkSession, tables: s.Tables, fmt: str = "parquet") ->
     )
 
 
-def build_dataset(spark: SparkSession, tables: s.Tables, fmt: str = "parquet") -> Dataset:
-    return split_dataset(materialize(training_set(spark, tables, fmt), "training-set"))
+def build_dataset(
+    spark: SparkSession, tables: s.Tables, fmt: str = "parquet", path: str | None = None
+) -> Dataset:
+    """The joined rows written to ``path``, a scratch folder by default, and their split."""
+    path = path or scratch_path(spark, "training-set")
+    joined = training_set(spark, tables, fmt)
+    joined.write.parquet(path)
+    data = split_dataset(spark.read.schema(joined.schema).parquet(path))
+    data.path = path
+    return data
 
 
 def split_dataset(written: DataFrame) -> Dataset:
+    require_columns(written, ORDER)
     return Dataset(written, fit_chrono_split(written, ORDER, s.HELD_OUT))
+
+
+# The record of a written data set: what it takes to open it again, cut points included.
+RECORD = (
+    "path string, order array<string>, types array<string>, sizes array<bigint>, "
+    "train_last array<string>, validation_last array<string>, schema string, "
+    "created_at timestamp"
+)
+
+
+def as_record(data: Dataset) -> dict:
+    split = data.split
+    return {
+        "path": data.path,
+        "order": list(split.order),
+        "types": list(split.types),
+        "sizes": list(split.sizes),
+        "train_last": split.train_last and list(split.train_last),
+        "validation_last": split.validation_last and list(split.validation_last),
+        "schema": data.rows.schema.json(),
+    }
+
+
+def from_record(spark: SparkSession, record: Row) -> Dataset:
+    """The rows and cut points as they were when recorded, without another look at the tables."""
+    import json
+
+    from pyspark.sql.types import StructType
+
+    def last(values):
+        return None if values is None else tuple(values)
+
+    split = ChronoSplit(
+        tuple(record["order"]),
+        tuple(record["types"]),
+        tuple(record["sizes"]),
+        last(record["train_last"]),
+        last(record["validation_last"]),
+    )
+    schema = StructType.fromJson(json.loads(record["schema"]))
+    return Dataset(spark.read.schema(schema).parquet(record["path"]), split)

@@ -12,7 +12,8 @@ from pyspark.sql.types import StructType
 
 from demandloom.operators import lifecycle as lc
 from demandloom.operators.trees import load_model, save_model
-from demandloom.sources.tables import append_rows, read_or_empty
+from demandloom.plans.dataset import RECORD, Dataset, as_record, from_record
+from demandloom.sources.tables import append_rows, is_path, read_or_empty, remove_path
 
 
 def _now() -> datetime:
@@ -21,18 +22,36 @@ def _now() -> datetime:
 
 @dataclass(frozen=True)
 class ModelBook:
-    """Reads and appends the lifecycle tables below ``root`` (shared storage)."""
+    """Reads and appends the lifecycle tables.
+
+    ``root`` is a folder on shared storage, or the beginning of catalog names, as
+    ``db.models`` for ``db.models_model_runs``; ``artifacts`` is the folder of models
+    and data sets, by default below a ``root`` that is a folder.
+    """
 
     spark: SparkSession
     root: str
+    artifacts: str | None = None
+    fmt: str = "parquet"
+
+    def __post_init__(self):
+        if not is_path(self.root) and not self.artifacts:
+            raise ValueError("catalog tables need a folder for the models: artifacts")
+
+    def _ref(self, name: str) -> str:
+        return f"{self.root}/{name}" if is_path(self.root) else f"{self.root}_{name}"
+
+    def folder(self, name: str) -> str:
+        return f"{self.artifacts or self.root + '/artifacts'}/{name}"
 
     def _append(self, name: str, ddl: str, row: dict) -> None:
         schema = StructType.fromDDL(ddl)
         values = [tuple(row[f] for f in schema.fieldNames())]
-        append_rows(self.spark.createDataFrame(values, schema).coalesce(1), f"{self.root}/{name}")
+        rows = self.spark.createDataFrame(values, schema).coalesce(1)
+        append_rows(rows, self._ref(name), self.fmt)
 
     def _read(self, name: str, ddl: str) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.root}/{name}", ddl)
+        return read_or_empty(self.spark, self._ref(name), ddl, self.fmt)
 
     def runs(self) -> DataFrame:
         return self._read("model_runs", lc.RUNS)
@@ -54,7 +73,7 @@ class ModelBook:
     ) -> str:
         """Save encoder and tree, then append the finished run. Returns the run id."""
         run_id = uuid.uuid4().hex
-        path = save_model(model, f"{self.root}/artifacts/{run_id}")
+        path = save_model(model, self.folder(run_id))
         self._append(
             "model_runs",
             lc.RUNS,
@@ -96,15 +115,45 @@ class ModelBook:
             },
         )
 
-    def holder(self, model_name: str, alias: str) -> Row | None:
-        """The version row behind an alias now, or None if the alias was never assigned."""
+    def new_dataset_path(self) -> str:
+        return self.folder(f"datasets/{uuid.uuid4().hex}")
+
+    def keep_dataset(self, data: Dataset) -> None:
+        """Record ``data`` as the one to predict on; the folder of the last one goes."""
+        before = self._latest_dataset()
+        self._append("data_sets", RECORD, {**as_record(data), "created_at": _now()})
+        if before is not None and before["path"] != data.path:
+            remove_path(self.spark, before["path"])
+
+    def dataset(self) -> Dataset:
+        """The data set recorded last, with the cut points the models were trained on."""
+        record = self._latest_dataset()
+        if record is None:
+            raise ValueError("no recorded data set: train first")
+        return from_record(self.spark, record)
+
+    def _latest_dataset(self) -> Row | None:
+        return self._read("data_sets", RECORD).orderBy("created_at", ascending=False).first()
+
+    def tags(self, model_name: str) -> DataFrame:
+        """``version, tags``: of each version the newest value of every tag it was ever given."""
+        return lc.current_tags(self._of(self.aliases(), model_name), ["version"])
+
+    def holder(self, model_name: str, alias: str, registered: bool = True) -> Row | None:
+        """The version row behind an alias now, or None if the alias was never assigned.
+
+        An alias of a version that is not there is an error, unless ``registered`` is off.
+        """
         current = lc.current_aliases(self._of(self.aliases(), model_name))
         assigned = current.where(current["alias"] == alias).first()
         if assigned is None:
             return None
         versions = self._of(self.versions(), model_name)
+        found = versions.where(versions["version"] == assigned["version"])
+        if not registered:
+            return found.first()
         return lc.require_row(
-            versions.where(versions["version"] == assigned["version"]),
+            found,
             f"{alias} points at version {assigned['version']}, which is not registered",
         )
 
@@ -112,6 +161,11 @@ class ModelBook:
     def _of(df: DataFrame, model_name: str) -> DataFrame:
         return df.where(df["model_name"] == model_name)
 
+    def exists(self, row: Row) -> bool:
+        """Whether the model of a row is still in its folder."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(row["model_path"])
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
+
     def load(self, row: Row) -> PipelineModel:
         """The model of a run or version row."""
         return load_model(row["model_path"])

@@ -80,16 +80,18 @@ def publish_features(
     fmt: str = "parquet",
     buckets: int | None = None,
     tags: dict[str, str] | None = None,
+    description: str | None = None,
 ) -> DataFrame:
     """Write the keyed feature table, after its key is found unique.
 
-    A fact without date, product and city has the empty key and is kept. The key is a projection of the features, so the audit scans three columns. A
-    catalog table also gets key, description and tags as properties.
+    A fact without date, product and city has the empty key and is kept. The key is a
+    projection of the features, so the audit scans three columns. A catalog table also
+    gets key, description and tags as properties.
     """
     require_key(x.select(s.KEY), [s.KEY], allow_empty=True)
     table = write_table(x, ref, fmt, **_bucketing(buckets))
     if not is_path(ref):
-        describe_table(x.sparkSession, ref, [s.KEY], "Features for demand prediction", tags)
+        describe_table(x.sparkSession, ref, [s.KEY], description, tags)
     return table
 
 
@@ -101,26 +103,35 @@ def refresh(
     buckets: int | None = None,
     tags: dict[str, str] | None = None,
     lean: bool = False,
+    exact: bool = False,
+    description: str | None = None,
 ) -> dict[str, int]:
     """Rebuild the tables; returns rows per layer written.
 
+    Before anything is overwritten the keys of the coming facts are audited, on the
+    three key columns of the feed: two facts of one key, as a NULL product and a NULL
+    city can make them, are an error that leaves every table as it was.
+
     Each layer is written once and read back by the next. Row counts come from
     the written tables, not from a second scan of the source. ``lean`` goes from
     the feed to the features in one plan, without bronze, silver and gold
     tables, and gives the same features and labels. ``buckets`` stores those two
-    bucketed on the key (catalog names only).
+    bucketed on the key (catalog names only). ``exact`` sums in integer hundredths.
     """
     layers = {}
+    feed = read_csv(spark, csv_path, transactions_schema())
+    facts_to_come = lean_silver(feed).select(s.TIME, *s.SERIES).distinct()
+    require_key(with_key(facts_to_come, s.KEY, s.TIME, s.SERIES), [s.KEY], allow_empty=True)
     if lean:
-        facts = gold(lean_silver(read_csv(spark, csv_path, transactions_schema())))
+        facts = gold(lean_silver(feed), exact)
     else:
         layers = {"bronze": tables.bronze, "silver": tables.silver, "gold": tables.gold}
         bronze_t = write_table(bronze(spark, csv_path), tables.bronze, fmt)
         silver_t = write_table(silver(bronze_t), tables.silver, fmt)
-        facts = write_table(gold(silver_t), tables.gold, fmt)
-    features_t = write_table(gold_features(facts), tables.gold_features, fmt)
+        facts = write_table(gold(silver_t, exact), tables.gold, fmt)
+    features_t = write_table(gold_features(facts, exact), tables.gold_features, fmt)
     x, y = split_xy(keyed(features_t), s.FEATURES, s.LABELS)
-    publish_features(x, tables.features, fmt, buckets, tags)
+    publish_features(x, tables.features, fmt, buckets, tags, description)
     write_table(y, tables.labels, fmt, **_bucketing(buckets))
     layers.update(features=tables.features, labels=tables.labels)
     return {name: row_count(read_table(spark, ref, fmt)) for name, ref in layers.items()}

@@ -7,10 +7,8 @@ from dataclasses import dataclass
 from demandloom import settings as s
 from demandloom.operators.evaluate import regression_metrics
 from demandloom.operators.lifecycle import best_run, quality_gate, require_row
-from demandloom.operators.trees import score
 from demandloom.plans.dataset import Dataset
 from demandloom.plans.modelbook import ModelBook
-from demandloom.plans.train import PREDICTION
 
 
 @dataclass(frozen=True)
@@ -24,15 +22,27 @@ class Selection:
     version: int | None
 
 
-def select(data: Dataset, book: ModelBook, lifecycle: s.Lifecycle | None = None) -> Selection:
+def _champion(book: ModelBook, lifecycle: s.Lifecycle) -> dict:
+    """The champion is going to be compared on the same rows, so it is scored with the candidate.
+
+    One that cannot be loaded is left to ``serve``, which makes it an error.
+    """
+    row = book.holder(lifecycle.model_name, lifecycle.champion, registered=False)
+    return {row["model_path"]: book.load(row)} if row is not None and book.exists(row) else {}
+
+
+def select(
+    data: Dataset, book: ModelBook, lifecycle: s.Lifecycle | None = None, exact: bool = False
+) -> Selection:
     lifecycle = lifecycle or s.Lifecycle()
     run = require_row(
         best_run(book.runs(), lifecycle.metric, lifecycle.run_name),
         f"no finished run named {lifecycle.run_name}",
     )
-    scored = score(book.load(run), data.part("test"))
+    path = run["model_path"]
+    scored, columns = data.scored({path: book.load(run), **_champion(book, lifecycle)})
     gate = quality_gate(
-        regression_metrics(scored, s.TARGET, PREDICTION), "r2", lifecycle.threshold
+        regression_metrics(scored, s.TARGET, columns[path], exact=exact), "r2", lifecycle.threshold
     ).first()
     if not gate["passed"]:
         return Selection(run["run_id"], gate["r2"], lifecycle.threshold, "rejected", None)

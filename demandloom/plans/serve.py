@@ -3,19 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from demandloom import settings as s
-from demandloom.operators.evaluate import regression_metrics
+from demandloom.operators.evaluate import long_predictions, regression_metrics
 from demandloom.operators.lifecycle import promotion_decision
 from demandloom.operators.publish import prediction_table
-from demandloom.operators.trees import score
 from demandloom.plans.dataset import Dataset
 from demandloom.plans.modelbook import ModelBook
-from demandloom.plans.train import PREDICTION
 from demandloom.sources.tables import write_table
 
 PUBLISHED = tuple(c for c in s.FEATURES)
@@ -23,7 +19,7 @@ PUBLISHED = tuple(c for c in s.FEATURES)
 
 @dataclass(frozen=True)
 class Outcome:
-    """``status`` is ``promoted``, ``kept`` or ``no_challenger``."""
+    """``status`` is ``promoted``, ``kept``, ``no_challenger`` or ``not_compared``."""
 
     status: str
     challenger_version: int | None
@@ -38,23 +34,32 @@ def serve(
     tables: s.Tables,
     lifecycle: s.Lifecycle | None = None,
     fmt: str = "parquet",
+    compare: bool = True,
+    exact: bool = False,
 ) -> Outcome:
     """Compare, promote and write the champion's predictions for the test split.
 
+    Without ``compare``, as after a rejected candidate, an older challenger is left
+    alone and the champion only predicts. All models are scored in one pass over the
+    test rows; what ``select`` has scored on ``data`` is not scored again.
+
     Only a missing champion lets a challenger in without comparison; a champion
     that cannot be loaded or scored is an error. Nothing is published while there
     is no champion.
     """
     lifecycle = lifecycle or s.Lifecycle()
     name = lifecycle.model_name
-    test = data.part("test")
-    holders = {
-        alias: book.holder(name, alias) for alias in (lifecycle.champion, lifecycle.challenger)
-    }
-    models = {alias: book.load(row) for alias, row in holders.items() if row is not None}
-    outcome = Outcome("no_challenger", None, None, None, False)
-    if lifecycle.challenger in models:
-        decision = _compare(test, models, lifecycle)
+    aliases = (lifecycle.champion, lifecycle.challenger) if compare else (lifecycle.champion,)
+    holders = {alias: book.holder(name, alias) for alias in aliases}
+    paths = {alias: row["model_path"] for alias, row in holders.items() if row is not None}
+    outcome = Outcome("no_challenger" if compare else "not_compared", None, None, None, False)
+    if not paths:
+        return outcome
+    models = {row["model_path"]: book.load(row) for row in holders.values() if row is not None}
+    scored, columns = data.scored(models)
+    predicted = {alias: columns[path] for alias, path in paths.items()}
+    if lifecycle.challenger in predicted:
+        decision = _compare(scored, predicted, lifecycle, exact)
         challenger = holders[lifecycle.challenger]
         outcome = Outcome(
             decision["status"],
@@ -73,23 +78,17 @@ def serve(
         book.assign(name, lifecycle.challenger, challenger["version"], tags)
         if outcome.metric_r2_passed:
             book.assign(name, lifecycle.champion, challenger["version"], tags)
-            models[lifecycle.champion] = models[lifecycle.challenger]
-    if lifecycle.champion in models:
-        scored = score(models[lifecycle.champion], test)
-        published = prediction_table(scored, PUBLISHED, s.TARGET, PREDICTION)
+            predicted[lifecycle.champion] = predicted[lifecycle.challenger]
+    if lifecycle.champion in predicted:
+        published = prediction_table(scored, PUBLISHED, s.TARGET, predicted[lifecycle.champion])
         write_table(published, tables.predictions, fmt)
     return outcome
 
 
-def _compare(test: DataFrame, models: dict, lifecycle: s.Lifecycle):
-    """Both models' metrics over the same rows and the decision, as one job."""
-    scored = [
-        score(model, test).select(F.lit(role).alias("role"), s.TARGET, PREDICTION)
-        for role, model in models.items()
-    ]
-    metrics = regression_metrics(
-        reduce(DataFrame.unionByName, scored), s.TARGET, PREDICTION, by=["role"]
-    )
+def _compare(scored: DataFrame, predicted: dict[str, str], lifecycle: s.Lifecycle, exact: bool):
+    """All models' metrics over the same rows and the decision, as one job."""
+    rows = long_predictions(scored, s.TARGET, predicted).withColumnRenamed("model", "role")
+    metrics = regression_metrics(rows, "label", "prediction", by=["role"], exact=exact)
     return promotion_decision(
         metrics, champion=lifecycle.champion, challenger=lifecycle.challenger
     ).first()

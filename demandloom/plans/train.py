@@ -18,13 +18,16 @@ def train(
     book: ModelBook,
     lifecycle: s.Lifecycle | None = None,
     spec: s.TreeSpec | None = None,
+    exact: bool = False,
 ) -> str:
     """Returns the id of the recorded run. The vocabulary comes from the train split only."""
     lifecycle, spec = lifecycle or s.Lifecycle(), spec or s.TreeSpec()
     started = datetime.now(timezone.utc)
     train_rows = data.part("train")
     model = fit_tree(train_rows, s.TARGET, s.CATEGORICAL, s.NUMERIC, spec, PREDICTION)
-    validated = regression_metrics(score(model, data.part("validation")), s.TARGET, PREDICTION)
+    validated = regression_metrics(
+        score(model, data.part("validation")), s.TARGET, PREDICTION, exact=exact
+    )
     return book.log_run(
         model,
         lifecycle.run_name,

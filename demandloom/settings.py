@@ -123,6 +123,12 @@ class Tables:
         )
 
 
+    @classmethod
+    def in_database(cls, database: str) -> "Tables":
+        """Catalog tables of one database, named after their layers."""
+        return cls(**{name: f"{database}.{name}" for name in cls.__dataclass_fields__})
+
+
 @dataclass(frozen=True)
 class Lifecycle:
     """Names and thresholds of the model lifecycle."""

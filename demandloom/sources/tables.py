@@ -103,3 +103,10 @@ def read_or_empty(
 def row_count(table: DataFrame) -> int:
     """Rows of a written table. Parquet answers from file footers, without a data scan."""
     return table.count()
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that this library wrote; False if it was not there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.delete(hadoop_path, True)

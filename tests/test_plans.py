@@ -133,11 +133,14 @@ def test_refresh_into_bucketed_catalog_tables(spark, refreshed, tmp_path):
     spark.sql("create database if not exists demand")
     names = {f: f"demand.{f}" for f in s.Tables.__dataclass_fields__}
     tables = s.Tables(**{**names, "models": str(tmp_path / "models")})
-    assert refresh(spark, csv, tables, buckets=4, tags={"owner": "o'neil"})["features"] == 240
+    counts = refresh(
+        spark, csv, tables, buckets=4, tags={"owner": "o'neil"}, description="Made for a test"
+    )
+    assert counts["features"] == 240
     properties = dict(map(tuple, spark.sql(f"show tblproperties {tables.features}").collect()))
     assert properties["primary_key"] == "primary_key"
     assert properties["tag.owner"] == "o'neil"
-    assert spark.catalog.getTable(tables.features).description == "Features for demand prediction"
+    assert spark.catalog.getTable(tables.features).description == "Made for a test"
     assert sum(build_dataset(spark, tables).split.sizes) == 240
 
 
@@ -154,7 +157,8 @@ def test_train_select_serve(spark, refreshed, tmp_path):
     first = train(data, book, s.Lifecycle(tags={"team": "demand"}), SMALL_TREE)
     run = book.runs().first()
     assert run["run_id"] == first and run["status"] == "FINISHED"
-    assert run["params"]["max_depth"] == "4" and run["tags"]["team"] == "demand"
+    assert run["params"] == {"max_depth": "4", "min_leaf": "3", "max_bins": "32", "seed": "42"}
+    assert run["tags"] == {"team": "demand"}
     assert run["validation_r2"] > 0.5 and run["validation_rmse"] >= run["validation_mae"] > 0
 
     # A gate nobody passes: no version, no challenger, nothing published.
@@ -221,6 +225,9 @@ def test_better_challenger_replaces_champion(spark, refreshed, tmp_path):
     }
     assert tags["Champion"]["metric_r2_passed"] == "True"
     assert math.isclose(float(tags["Challenger"]["champion_r2"]), outcome.champion_r2)
+    current = {r["version"]: r["tags"] for r in book.tags(OPEN.model_name).collect()}
+    assert current[2]["test_r2_status"] == "cleared"
+    assert current[2]["metric_r2_passed"] == "True"
 
 
 def test_vocabulary_comes_from_the_train_split_only(spark, refreshed, tmp_path):
@@ -254,3 +261,134 @@ def test_jobs(spark, refreshed, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out.splitlines()[-1]) == result
     with pytest.raises(SystemExit):
         jobs.main(["refresh", "--root", root])
+
+
+def test_test_rows_are_read_and_scored_once(spark, refreshed, tmp_path, monkeypatch):
+    from demandloom.plans import dataset
+
+    *_, tables, _ = refreshed
+    tables = replace(tables, predictions=str(tmp_path / "predictions"))
+    book = book_at(spark, tmp_path)
+    passes = []
+    kept = dataset.ChronoSplit.take
+
+    def take(self, df, split):
+        passes.append(split)
+        return kept(self, df, split)
+
+    monkeypatch.setattr(dataset.ChronoSplit, "take", take)
+    folder = str(tmp_path / "set")
+    with build_dataset(spark, tables, path=folder) as data:
+        train(data, book, OPEN, s.TreeSpec(max_depth=0, min_leaf=3))
+        select(data, book, OPEN)
+        serve(data, book, tables, OPEN)
+        train(data, book, OPEN, SMALL_TREE)
+    assert not (tmp_path / "set").exists()
+    with build_dataset(spark, tables) as data:
+        passes.clear()
+        select(data, book, OPEN)
+        outcome = serve(data, book, tables, OPEN)
+        assert passes == ["test"] and len(data._scratch) == 1
+    assert outcome.status == "promoted" and outcome.champion_r2 is not None
+    assert read_table(spark, tables.predictions).count() == 48
+
+
+def test_a_refresh_between_train_and_predict_moves_nothing(spark, refreshed, tmp_path, capsys):
+    csv, *_ = refreshed
+    root = str(tmp_path / "root")
+    jobs.main(["refresh", "--root", root, "--csv", csv, "--lean"])
+    jobs.main(["train", "--root", root])
+    longer = tmp_path / "longer.csv"
+    with open(csv) as feed_file:
+        lines = feed_file.read().splitlines()
+    more = [line.replace("2026-0", "2027-0").replace("t", "u", 1) for line in lines[1:]]
+    longer.write_text("\n".join([*lines, *more]) + "\n")
+    assert jobs.main(["refresh", "--root", root, "--csv", str(longer), "--lean"])["labels"] == 480
+    jobs.main(["predict", "--root", root, "--threshold=-1e9"])
+    predictions = read_table(spark, s.Tables.under(root).predictions)
+    assert predictions.count() == 48
+    assert predictions.where("transaction_date >= '2027-01-01'").count() == 0
+
+
+def test_rejected_candidate_sets_off_no_comparison(spark, refreshed, tmp_path, capsys):
+    csv, *_ = refreshed
+    root = str(tmp_path / "root")
+    jobs.main(["refresh", "--root", root, "--csv", csv, "--lean"])
+    jobs.main(["train", "--root", root])
+    book = ModelBook(spark, s.Tables.under(root).models)
+    data = book.dataset()
+    assert select(data, book, OPEN).status == "registered"
+    result = jobs.main(["predict", "--root", root, "--threshold=2"])
+    assert result["selection"]["status"] == "rejected"
+    assert result["outcome"]["status"] == "not_compared"
+    assert book.holder(OPEN.model_name, OPEN.champion) is None
+
+
+def test_jobs_on_catalog_tables(spark, refreshed, tmp_path, capsys):
+    csv, *_ = refreshed
+    spark.sql("create database if not exists jobs_demand")
+    at = ["--database", "jobs_demand", "--artifacts", str(tmp_path / "artifacts")]
+    counts = jobs.main(
+        ["refresh", "--database", "jobs_demand", "--csv", csv, "--lean", "--exact"]
+        + ["--buckets", "4", "--tag", "owner=team", "--description", "Daily demand"]
+    )
+    assert counts == {"features": 240, "labels": 240}
+    table = spark.catalog.getTable("jobs_demand.features")
+    assert table.description == "Daily demand"
+    properties = dict(map(tuple, spark.sql("show tblproperties jobs_demand.features").collect()))
+    assert properties["tag.owner"] == "team" and properties["primary_key"] == "primary_key"
+    jobs.main(["train", *at])
+    assert jobs.main(["predict", *at, "--threshold=-1e9"])["outcome"]["status"] == "promoted"
+    assert spark.table("jobs_demand.models_model_runs").count() == 1
+    assert spark.table("jobs_demand.predictions").count() == 48
+    for wrong in (["train"], ["train", "--database", "x"], ["train", "--root", "r", *at]):
+        with pytest.raises(SystemExit):
+            jobs.main(wrong)
+    with pytest.raises(ValueError, match="artifacts"):
+        ModelBook(spark, "db.models")
+
+
+def test_colliding_keys_leave_every_table_as_it_was(spark, refreshed, tmp_path):
+    csv, *_ = refreshed
+    tables = s.Tables.under(str(tmp_path / "tables"))
+    refresh(spark, csv, tables)
+    before = {f: rows(read_table(spark, getattr(tables, f))) for f in ("silver", "features")}
+    with open(csv) as feed_file:
+        lines = feed_file.read().splitlines()
+
+    def line(**cells):
+        return ",".join(cells.get(n, "") for n in NAMES)
+
+    day = "2026-01-05"
+    colliding = [
+        line(transaction_id="c1", transaction_date=day, product_name="X"),
+        line(transaction_id="c2", transaction_date=day, destination_city="X"),
+    ]
+    bad = tmp_path / "bad.csv"
+    bad.write_text("\n".join([*lines, *colliding]) + "\n")
+    for lean in (False, True):
+        with pytest.raises(ValueError, match="is not a key"):
+            refresh(spark, str(bad), tables, lean=lean)
+    for layer, content in before.items():
+        assert rows(read_table(spark, getattr(tables, layer))) == content
+
+
+def test_cells_that_are_no_finite_number_are_missing(spark, refreshed, tmp_path):
+    """One such label in the test period must not open the gate."""
+    csv, *_ = refreshed
+    with open(csv) as feed_file:
+        lines = feed_file.read().splitlines()
+    at = NAMES.index("demand_quantity")
+    for i, odd in ((-1, "NaN"), (-2, "Infinity"), (-9, "-Infinity"), (5, "NaN")):
+        cells = lines[i].split(",")
+        cells[at] = odd
+        lines[i] = ",".join(cells)
+    odd_feed = tmp_path / "odd.csv"
+    odd_feed.write_text("\n".join(lines) + "\n")
+    tables, book = s.Tables.under(str(tmp_path)), book_at(spark, tmp_path)
+    refresh(spark, str(odd_feed), tables, lean=True)
+    labels = read_table(spark, tables.labels)
+    assert labels.where("isnan(total_demand) or abs(total_demand) = double('inf')").count() == 0
+    data = build_dataset(spark, tables)
+    train(data, book, OPEN, s.TreeSpec(max_depth=0, min_leaf=3))
+    assert select(data, book, s.Lifecycle(threshold=0.9)).status == "rejected"
