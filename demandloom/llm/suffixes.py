@@ -214,21 +214,32 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def anchor_grams(texts: DataFrame, length: int) -> DataFrame:
-    """``(_a, _b, gram)`` for each anchor of each text."""
+    """``(_a, _b, gram, places)`` for each different anchor gram of each text."""
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         for batch in batches:
             data, bounds = texts_of(batch, "_bytes")
             text, _, _, _, gram = anchors(data, bounds, length)
+            order = np.lexsort((gram, text))
+            text, gram = text[order], gram[order]
+            new = np.ones(len(text), dtype=bool)
+            new[1:] = (text[1:] != text[:-1]) | (gram[1:] != gram[:-1])
+            first = np.flatnonzero(new)
+            owner = pa.array(text[first])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_a").take(pa.array(text)), batch.column("_b").take(pa.array(text)),
-                 pa.array(gram.view("int64"))],
+                [
+                    batch.column("_a").take(owner),
+                    batch.column("_b").take(owner),
+                    pa.array(gram[first].view("int64")),
+                    pa.array(np.diff(first, append=len(text))),
+                ],
                 schema=schema,
             )
 
-    layout = "_a long, _b long, gram long"
+    layout = "_a long, _b long, gram long, places long"
     schema = arrow_schema(layout)
     return texts.select("_a", "_b", "_bytes").mapInArrow(run, layout)
 
@@ -373,7 +384,11 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``(_a, _b, spans)``: per text with repeats the byte spans that they cover, not merged."""
     long_enough = texts.where(F.octet_length("_bytes") >= length).select("_a", "_b", "_bytes")
     grams = materialize(anchor_grams(long_enough, length), "anchor-grams")
-    often = grams.groupBy("gram").count().where("count > 1").select("gram")
+    # Written, so that both sides of the join are exchanges and a hot gram can be split.
+    often = materialize(
+        grams.groupBy("gram").agg(F.sum("places").alias("n")).where("n > 1").select("gram"),
+        "frequent-grams",
+    )
     wanted = grams.join(often, "gram").groupBy("_a", "_b").agg(F.collect_set("gram").alias("grams"))
     once = long_enough.join(wanted.hint("shuffle_hash"), ["_a", "_b"])
     rows = _write(rows_of(once, length), "anchor-rows")
