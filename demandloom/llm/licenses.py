@@ -10,7 +10,8 @@ from demandloom.llm.common import documents
 from demandloom.session import materialize
 
 WORD_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-WORD_UPPER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# No word; stands after the last word of a text, so that a gram starts at every word.
+END = "\0"
 K = 2
 
 # Base phrases and their labels.
@@ -42,7 +43,6 @@ DRIFT = 2
 
 KEY = ("_doc", "_hash")
 PHRASE = ("phrase", "label", "base", "words")
-RESULT = ("n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
 def words(text: Column) -> Column:
@@ -56,22 +56,21 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(low, WORD_GAP), "")
 
 
-def n_words(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD_UPPER)).cast("long")
-
-
 def grams(ws: Column, k: int) -> Column:
-    """Every run of ``k`` words, in order."""
-    starts = F.slice(ws, 1, F.greatest(F.size(ws) - (k - 1), F.lit(0)))
-    found = starts
+    """The ``k`` words from each word on, ``END`` for those beyond the last, and from the end."""
+    ended = F.concat(ws, F.array_repeat(F.lit(END), k))
+    count = F.size(ws) + 1
+    found = F.slice(ended, 1, count)
     for j in range(1, k):
-        shifted = F.slice(ws, j + 1, F.greatest(F.size(ws) - (k - 1), F.lit(0)))
-        found = F.zip_with(found, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+        found = F.zip_with(found, F.slice(ended, j + 1, count), lambda a, b: F.concat(a, F.lit(" "), b))
     return found
 
 
 def template_grams(spark: SparkSession, base: dict, further: dict, k: int) -> DataFrame:
-    """Template positions: one row per phrase and ``k``-gram, a few hundred in all."""
+    """Template positions: one row per phrase and ``k``-gram, a few hundred in all.
+
+    The row without a phrase meets the end of every text.
+    """
     phrases = [(p, label, p in base) for p, label in {**further, **base}.items()]
     short = [p for p, _, _ in phrases if len(p.split()) < k]
     if short:
@@ -81,52 +80,66 @@ def template_grams(spark: SparkSession, base: dict, further: dict, k: int) -> Da
         for phrase, label, is_base in phrases
         for at in range(len(phrase.split()) - k + 1)
     ]
+    rows.append((None, None, None, None, None, " ".join([END] * k)))
     listed = spark.createDataFrame(
         rows, "phrase string, label string, base boolean, words int, at int, template_gram string"
     )
     return listed.withColumn("hash", F.xxhash64("template_gram"))
 
 
-def spans(texts: DataFrame, base=BASE, further=TEMPLATES, k: int = K) -> DataFrame:
-    """``(_doc, _hash, phrase, label, base, first, agreement)`` of every verified place.
+def matches(docs: DataFrame, base: dict, further: dict, k: int) -> DataFrame:
+    """Places where a rolling ``k``-gram of a text is that of a template, and text ends.
 
-    The rolling ``k``-gram hashes of all texts are joined to the template positions of
-    equal hash; where the words agree too, that is a vote for the diagonal, position in
-    the text minus position in the template. Diagonals at most ``DRIFT`` apart become
-    one span, as an inserted or lost word shifts the rest. A span stands if the votes
-    cover ``AGREEMENT`` of the words of its template. The words of a base phrase stand
-    on one diagonal, so there every diagonal is a span and has to be covered whole.
+    All grams of all texts are joined to the template positions by their hash; the
+    words are compared where the hashes agree. ``pos`` is the place in the text, in
+    words; the line without a phrase, one per row of ``docs``, has the number of words.
     """
     # A parameter of the scan, not data: some hundred rows.
-    positions = F.broadcast(template_grams(texts.sparkSession, base, further, k))
-    votes = (
-        texts.select("_doc", "_hash", F.posexplode(grams(words(F.col("text")), k)).alias("pos", "gram"))
+    positions = F.broadcast(template_grams(docs.sparkSession, base, further, k))
+    return (
+        docs.select(
+            F.col("doc_id").alias("_doc"),
+            F.xxhash64("text").alias("_hash"),
+            F.posexplode(grams(words(F.col("text")), k)).alias("pos", "gram"),
+        )
         .withColumn("hash", F.xxhash64("gram"))
         .join(positions, "hash")
         .where(F.col("gram") == F.col("template_gram"))
-        .select(*KEY, *PHRASE, "at", (F.col("pos") - F.col("at")).alias("diagonal"))
+        .select(*KEY, *PHRASE, "at", "pos")
     )
-    by_diagonal = votes.groupBy(*KEY, *PHRASE, "diagonal").agg(F.collect_set("at").alias("met"))
+
+
+def spans(met: DataFrame, k: int) -> DataFrame:
+    """``(_doc, _hash, phrase, label, base, first, agreement)`` of every verified place.
+
+    A match votes for the diagonal, position in the text minus position in the
+    template. Diagonals at most ``DRIFT`` apart become one span, as an inserted or lost
+    word shifts the rest. A span stands if the words of its votes, which are the very
+    words of the template, cover ``AGREEMENT`` of it. The words of a base phrase stand on
+    one diagonal, so there every diagonal is a span and has to be covered whole.
+    """
+    diagonal = (F.col("pos") - F.col("at")).alias("diagonal")
+    votes = met.groupBy(*KEY, *PHRASE, diagonal).agg(F.collect_set("at").alias("met"))
     along = Window.partitionBy(*KEY, "phrase").orderBy("diagonal")
     apart = F.col("diagonal") - F.lag("diagonal").over(along)
     opens = F.when(F.col("base") | apart.isNull() | (apart > DRIFT), 1).otherwise(0)
-    covered = F.size(
-        F.array_distinct(
-            F.flatten(F.transform(F.flatten(F.collect_list("met")), lambda i: F.sequence(i, i + k - 1)))
-        )
-    )
+    places = F.flatten(F.collect_list("met"))
+    covered = F.flatten(F.transform(places, lambda i: F.sequence(i, i + k - 1)))
     return (
-        by_diagonal.withColumn("opens", opens)
+        votes.withColumn("opens", opens)
         .withColumn("span", F.sum("opens").over(along))
         .groupBy(*KEY, *PHRASE, "span")
-        .agg(F.min("diagonal").cast("long").alias("first"), covered.alias("covered"))
+        .agg(
+            F.min("diagonal").cast("long").alias("first"),
+            F.size(F.array_distinct(covered)).alias("covered"),
+        )
         .withColumn("agreement", F.col("covered") / F.col("words"))
         .where(F.col("agreement") >= F.when(F.col("base"), 1.0).otherwise(AGREEMENT))
         .select(*KEY, "phrase", "label", "base", "first", "agreement")
     )
 
 
-def license_scan(docs: DataFrame) -> DataFrame:
+def license_scan(docs: DataFrame, base=BASE, further=TEMPLATES, k: int = K) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``n_words`` and what ``spans`` found in its text.
 
     ``n_base``, ``first_word`` and ``last_word`` count base phrases only; ``labels`` adds
@@ -134,22 +147,22 @@ def license_scan(docs: DataFrame) -> DataFrame:
     NULL or empty text has no word, no label and score 0. Rows equal in ``doc_id`` and
     text share their result; other columns are not read.
     """
-    texts = docs.select(
-        F.col("doc_id").alias("_doc"), F.xxhash64("text").alias("_hash"), "text"
-    )
-    found = materialize(spans(texts), "license-spans")
-    base = F.col("base")
+    met = materialize(matches(docs, base, further, k), "license-matches")
+    is_base = F.col("base")
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    by_text = found.groupBy(*KEY).agg(
-        F.count_if(base).alias("n_base"),
-        F.min(F.when(base, F.col("first"))).alias("first_word"),
-        F.max(F.when(base, F.col("first"))).alias("last_word"),
-        joined(F.when(base, F.col("label"))).alias("base_labels"),
-        joined("label").alias("labels"),
-        F.max("agreement").alias("score"),
+    by_text = (
+        spans(met.where("phrase is not null"), k)
+        .groupBy(F.col("_doc").alias("_d"), F.col("_hash").alias("_h"))
+        .agg(
+            F.count_if(is_base).alias("n_base"),
+            F.min(F.when(is_base, F.col("first"))).alias("first_word"),
+            F.max(F.when(is_base, F.col("first"))).alias("last_word"),
+            joined(F.when(is_base, F.col("label"))).alias("base_labels"),
+            joined("label").alias("labels"),
+            F.max("agreement").alias("score"),
+        )
     )
-    rows = texts.select(*KEY, n_words(F.col("text")).alias("n_words"))
-    by_text = by_text.select(F.col("_doc").alias("_d"), F.col("_hash").alias("_h"), *RESULT)
+    rows = met.where("phrase is null").select(*KEY, F.col("pos").cast("long").alias("n_words"))
     same = F.col("_doc").eqNullSafe(F.col("_d")) & (F.col("_hash") == F.col("_h"))
     return rows.join(by_text, same, "left").select(
         F.col("_doc").alias("doc_id"),
