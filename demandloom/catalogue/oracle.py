@@ -222,7 +222,72 @@ FROM metrics WHERE split = 'validation'"""
 WINNER = """(SELECT r2 FROM metrics WHERE split = 'test' AND model = 'rolling_mean')
             > (SELECT r2 FROM metrics WHERE split = 'test' AND model = 'last_value')"""
 
+# The feed's own order of the rows of one id: by the columns that reach the facts.
+SILVER_OF_FEED = """silver AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY transaction_id
+                                 ORDER BY transaction_date, product_name, destination_city,
+                                          demand_quantity, unit_price_usd, available_inventory)
+              AS line_rank
+    FROM bronze) WHERE line_rank = 1)"""
+
+REFRESHED = _with(BRONZE_WIDE, SILVER_OF_FEED, _gold(), FEATURES, KEYED) + (
+    f"SELECT total_demand, {FEATURE_COLUMNS} FROM keyed"
+)
+
+
+def _none_off(names: tuple[str, ...], source: str) -> list[str]:
+    return [
+        f"SELECT CAST(count(*) AS BIGINT) AS n_rows, '{n}' AS measure, CAST(0 AS BIGINT) AS n_off "
+        f"FROM {source}"
+        for n in names
+    ]
+
+
+# Every way to cut two columns of few values in two, at least 15 train rows a side.
+STUMP = """train AS (SELECT * FROM split WHERE split = 'train'),
+cells AS (
+  SELECT 'month' AS f, month AS v, total_demand AS y FROM train
+  UNION ALL SELECT 'day_of_week', day_of_week, total_demand FROM train),
+cuts AS (
+  SELECT DISTINCT a.f, a.v, count(*) FILTER (b.v <= a.v) AS n_low,
+         count(*) FILTER (b.v > a.v) AS n_high, sum(b.y) FILTER (b.v <= a.v) AS y_low,
+         sum(b.y) FILTER (b.v > a.v) AS y_high
+  FROM (SELECT DISTINCT f, v FROM cells) a JOIN cells b ON a.f = b.f GROUP BY a.f, a.v),
+best AS (
+  SELECT *, y_low / n_low AS low, y_high / n_high AS high FROM cuts
+  WHERE n_low >= 15 AND n_high >= 15
+  ORDER BY y_low * y_low / n_low + y_high * y_high / n_high DESC LIMIT 1)"""
+
 ORACLE: dict[str, str] = {
+    "refresh_features": REFRESHED,
+    "refresh_features_lean": REFRESHED,
+    "default_rounding": _with(*SCORED)
+    + "\nUNION ALL\n".join(
+        [
+            *_none_off(
+                ("total_demand", "avg_unit_price", "total_inventory", "rolling_7_day_avg"), "gold"
+            ),
+            *_none_off(("mae", "rmse", "r2"), "metrics"),
+        ]
+    ),
+    "tree_leaves": _with(*SPLIT)
+    + """SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_small,
+       CAST(0 AS BIGINT) AS n_off, true AS has_splits
+FROM split WHERE split = 'train'""",
+    "tree_stump": _with(*SPLIT, STUMP)
+    + """SELECT month, day_of_week, CAST(count(*) AS BIGINT) AS n_rows,
+       max(CASE WHEN CASE WHEN f = 'month' THEN month ELSE day_of_week END <= v
+                THEN low ELSE high END) AS predicted_demand
+FROM split, best GROUP BY month, day_of_week""",
+    "run_record": _with(*SCORED)
+    + """SELECT 'stump' AS run_name, 'FINISHED' AS status, '1' AS max_depth, '128' AS max_bins,
+       'demand' AS team, mae AS validation_mae, rmse AS validation_rmse, r2 AS validation_r2
+FROM metrics WHERE split = 'validation' AND model = 'rolling_mean'""",
+    "alias_model_score": _with(*SPLIT)
+    + """SELECT split, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(*) AS BIGINT) AS n_same,
+       'cleared' AS kept_tag, 'second' AS new_tag, CAST(1 AS BIGINT) AS version
+FROM split GROUP BY split""",
     "csv_typed_scan": _with(BRONZE_WIDE) + "SELECT * FROM bronze",
     "csv_permissive_nulls": """
 SELECT l_orderkey || '-' || l_linenumber AS transaction_id,
@@ -248,13 +313,7 @@ FROM (SELECT l_orderkey || '-' || l_linenumber AS transaction_id, *,
 WHERE line_rank = 1""",
     "layer_row_counts": _with(
         BRONZE_SLIM,
-        """silver AS (
-  SELECT * FROM (
-    SELECT *, row_number() OVER (PARTITION BY transaction_id
-                                 ORDER BY transaction_date, product_name, destination_city,
-                                          demand_quantity, unit_price_usd, available_inventory)
-              AS line_rank
-    FROM bronze) WHERE line_rank = 1)""",
+        SILVER_OF_FEED,
         _gold(),
         FEATURES,
     )
@@ -343,14 +402,15 @@ LEFT JOIN priorities b ON b.o_orderpriority = e.o_orderpriority""",
     "run_metrics": _with(*SCORED) + RUNS,
     "best_run": _with(*SCORED) + RUNS + " ORDER BY r2 DESC NULLS LAST, model LIMIT 1",
     "quality_gate": _with(*SCORED)
-    + """SELECT model_name, run_id, test_r2, threshold, test_r2 > threshold AS passed,
+    + """SELECT model_name, run_id, test_r2, threshold, coalesce(test_r2 > threshold, false) AS passed,
        CASE WHEN test_r2 > threshold THEN
          CAST(row_number() OVER (PARTITION BY model_name, test_r2 > threshold ORDER BY run_id)
               AS BIGINT) END AS version
 FROM ("""
     + "\n  UNION ALL ".join(
         f"SELECT 'naive>{g}' AS model_name, model AS run_id, r2 AS test_r2, "
-        f"CAST({g} AS DOUBLE) AS threshold FROM metrics WHERE split = 'test'"
+        f"CAST({g} AS DOUBLE) AS threshold FROM metrics WHERE split = 'test'\n  UNION ALL "
+        f"SELECT 'naive>{g}', 'broken', CAST(NULL AS DOUBLE), CAST({g} AS DOUBLE)"
         for g in (-2.0, -0.5, 0.9)
     )
     + ")",
@@ -361,6 +421,9 @@ FROM ("""
             _scenario("last_value_challenges", "rolling_mean", "last_value"),
             _scenario("no_champion", None, "rolling_mean"),
             _scenario("no_challenger", "rolling_mean", None),
+            "SELECT 'broken_challenges', (SELECT r2 FROM metrics WHERE split = 'test' "
+            "AND model = 'rolling_mean'), CAST(NULL AS DOUBLE), false, 'kept'",
+            "SELECT 'broken_alone', CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), false, 'kept'",
         ]
     ),
     "alias_current": """

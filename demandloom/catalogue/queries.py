@@ -7,6 +7,7 @@ than once write it first; everything else is one lazy plan.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +17,17 @@ from pyspark.sql.types import StructType
 from demandloom import settings as s
 from demandloom.catalogue import inputs as i
 from demandloom.operators import chrono, encode, evaluate, keyed, lifecycle, panel, trees
+from demandloom.functions.exact import finite
 from demandloom.operators.publish import prediction_table as publish
 from demandloom.operators.refine import dedup_by_key as dedup
 from demandloom.operators.refine import drop_metadata as without_metadata
 from demandloom.plans.dataset import ORDER, Dataset, split_dataset
-from demandloom.plans.refresh import gold, gold_features
+from demandloom.plans.modelbook import ModelBook
+from demandloom.plans.refresh import gold, gold_features, refresh
 from demandloom.session import materialize, prepare, scratch_path
 from demandloom.sources.files import read_csv, stamp_ingestion
 from demandloom.sources.schemas import transactions_schema
-from demandloom.sources.tables import write_table
+from demandloom.sources.tables import read_table, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,6 +99,26 @@ def ingest_stamp(spark, sf_dir):
     )
 
 
+def _refreshed(spark, sf_dir, lean: bool) -> DataFrame:
+    """The feature table that a refresh writes from a CSV feed, with the label."""
+    root = scratch_path(spark, "refresh")
+    i.bronze_wide(spark, sf_dir).write.option("header", True).csv(f"{root}/feed")
+    tables = s.Tables.under(root)
+    refresh(spark, f"{root}/feed", tables, lean=lean, exact=True)
+    labels, features = (read_table(spark, t) for t in (tables.labels, tables.features))
+    return keyed.lookup_features(labels, features, s.KEY)
+
+
+@query
+def refresh_features(spark, sf_dir):
+    return _refreshed(spark, sf_dir, lean=False)
+
+
+@query
+def refresh_features_lean(spark, sf_dir):
+    return _refreshed(spark, sf_dir, lean=True)
+
+
 # Clean
 
 
@@ -175,6 +198,47 @@ def hot_series_features(spark, sf_dir):
     return featured.select("event_id", "event_type", "value_1", "value_7", "rolling_value")
 
 
+@query
+def default_rounding(spark, sf_dir):
+    """How often the default double arithmetic is off the exact one, per measure.
+
+    Sums, means and trailing means by more than a hundredth, metrics by more than a
+    billionth of their value.
+    """
+    silver = materialize(i.silver_slim(spark, sf_dir), "silver")
+    measures = [name for name, kind, _ in s.MEASURES if kind != "count"]
+
+    def facts(exact: bool) -> DataFrame:
+        return gold_features(gold(silver, exact), exact).select(*GRAIN, *measures, s.ROLLING)
+
+    names = [*measures, s.ROLLING]
+    default = facts(False).select(*GRAIN, *[F.col(n).alias(f"default_{n}") for n in names])
+    both = default.join(facts(True), GRAIN)
+
+    def off(name: str, most) -> F.Column:
+        apart = F.abs(F.col(f"default_{name}") - F.col(name)) > most
+        one_missing = F.col(f"default_{name}").isNull() != F.col(name).isNull()
+        return F.sum(F.coalesce(apart, one_missing).cast("bigint")).alias(name)
+
+    counted = both.agg(
+        F.count(F.lit(1)).alias("n_rows"), *[off(n, F.lit(0.01 + 1e-9)) for n in names]
+    )
+    data = _naive_dataset(spark, sf_dir)
+    scores = ["mae", "rmse", "r2"]
+    plain = _naive_metrics(data, exact=False)
+    plain = plain.select("model", "split", *[F.col(n).alias(f"default_{n}") for n in scores])
+    compared = plain.join(_naive_metrics(data), ["model", "split"])
+    metrics = compared.agg(
+        F.count(F.lit(1)).alias("n_rows"), *[off(n, F.abs(F.col(n)) * 1e-9) for n in scores]
+    )
+    listed = [
+        df.select("n_rows", F.expr(f"stack({len(of)}, {stacked}) as (measure, n_off)"))
+        for df, of in ((counted, names), (metrics, scores))
+        for stacked in [", ".join(f"'{n}', {n}" for n in of)]
+    ]
+    return reduce(DataFrame.unionByName, listed)
+
+
 @query
 def calendar_features(spark, sf_dir):
     facts = i.gold_slim(spark, sf_dir).select(*GRAIN)
@@ -304,12 +368,14 @@ def _naive_dataset(spark, sf_dir) -> Dataset:
     return _dataset(spark, sf_dir, columns=[s.TARGET, *NAIVE.values()])
 
 
-def _naive_metrics(data: Dataset, split: str | None = None, models=NAIVE) -> DataFrame:
+def _naive_metrics(
+    data: Dataset, split: str | None = None, models=NAIVE, exact: bool = True
+) -> DataFrame:
     rows = data.split.label(data.rows) if split is None else data.part(split)
     by = ["model"] if split else ["model", "split"]
     keep = [] if split else ["split"]
     predictions = evaluate.long_predictions(rows, s.TARGET, models, keep)
-    return evaluate.regression_metrics(predictions, "label", "prediction", by, exact=True)
+    return evaluate.regression_metrics(predictions, "label", "prediction", by, exact=exact)
 
 
 def _naive_runs(data: Dataset) -> DataFrame:
@@ -336,14 +402,28 @@ def run_metrics(spark, sf_dir):
 
 @query
 def best_run(spark, sf_dir):
+    """Among the forecasters and a run whose score is no number."""
     runs = _naive_runs(_naive_dataset(spark, sf_dir))
+    nan = F.lit(float("nan"))
+    broken = runs.limit(1).select(
+        F.lit("broken").alias("run_id"),
+        "run_name",
+        "status",
+        *[nan.alias(f"validation_{n}") for n in ("mae", "rmse", "r2")],
+    )
+    runs = runs.unionByName(broken)
     return lifecycle.best_run(runs, s.SELECTION_METRIC, "naive", recency=())
 
 
 @query
 def quality_gate(spark, sf_dir):
-    """Every naive forecaster on the test split against three thresholds, one registry each."""
-    scores = _naive_metrics(_naive_dataset(spark, sf_dir), "test").select(
+    """Every naive forecaster on the test split against three thresholds, one registry each.
+
+    A fourth one has a score that is no number; it is shown as NULL.
+    """
+    tested = _naive_metrics(_naive_dataset(spark, sf_dir), "test").select("model", "r2")
+    broken = spark.createDataFrame([("broken", float("nan"))], "model string, r2 double")
+    scores = tested.unionByName(broken).select(
         F.col("model").alias("run_id"),
         F.col("r2").alias("test_r2"),
         F.explode(F.array(*[F.lit(g) for g in GATES])).alias("gate"),
@@ -355,7 +435,12 @@ def quality_gate(spark, sf_dir):
         spark.createDataFrame([], lifecycle.VERSIONS),
     )
     return named.join(registered, ["model_name", "run_id"], "left").select(
-        "model_name", "run_id", "test_r2", "threshold", "passed", "version"
+        "model_name",
+        "run_id",
+        finite(F.col("test_r2")).alias("test_r2"),
+        "threshold",
+        "passed",
+        "version",
     )
 
 
@@ -366,6 +451,8 @@ def _decisions(data: Dataset) -> DataFrame:
         "last_value_challenges": {"rolling_mean": s.CHAMPION, "last_value": s.CHALLENGER},
         "no_champion": {"rolling_mean": s.CHALLENGER},
         "no_challenger": {"rolling_mean": s.CHAMPION},
+        "broken_challenges": {"rolling_mean": s.CHAMPION, "broken": s.CHALLENGER},
+        "broken_alone": {"broken": s.CHALLENGER},
     }
     roles = F.array(
         *[
@@ -378,7 +465,9 @@ def _decisions(data: Dataset) -> DataFrame:
             for model, role in members.items()
         ]
     )
-    scores = _naive_metrics(data, "test").select("model", "r2", F.inline(roles))
+    tested = _naive_metrics(data, "test").select("model", "r2")
+    broken = tested.limit(1).select(F.lit("broken").alias("model"), F.lit(float("nan")).alias("r2"))
+    scores = tested.unionByName(broken).select("model", "r2", F.inline(roles))
     decided = lifecycle.promotion_decision(scores.where("model = of_model"), by=["scenario"])
     return decided.drop("champion_present", "challenger_present")
 
@@ -408,9 +497,14 @@ def prediction_table(spark, sf_dir):
     scores = _naive_metrics(
         data, "test", {m: NAIVE[m] for m in ("last_value", "rolling_mean")}
     ).withColumn("role", roles)
-    promoted = lifecycle.promotion_decision(scores).first()["metric_r2_passed"]
-    winner = NAIVE["rolling_mean" if promoted else "last_value"]
-    scored = data.part("test").withColumn("_prediction", F.col(winner))
+    # One row, joined as it is.
+    decided = lifecycle.promotion_decision(scores).select("metric_r2_passed")
+    scored = data.part("test").join(F.broadcast(decided)).withColumn(
+        "_prediction",
+        F.when(F.col("metric_r2_passed"), F.col(NAIVE["rolling_mean"])).otherwise(
+            F.col(NAIVE["last_value"])
+        ),
+    )
     return publish(scored, s.FEATURES, s.TARGET, "_prediction", stamp=None)
 
 
@@ -429,9 +523,7 @@ def overwrite_roundtrip(spark, sf_dir):
 
 
 def _fit(data: Dataset):
-    train = data.part("train")
-    vocabulary = encode.fit_vocabulary(train, s.CATEGORICAL)
-    return trees.fit_tree(train, s.TARGET, vocabulary, s.NUMERIC)
+    return trees.fit_tree(data.part("train"), s.TARGET, s.CATEGORICAL, s.NUMERIC)
 
 
 @query
@@ -466,3 +558,104 @@ def tree_score_reload(spark, sf_dir):
         F.count(F.lit(1)).alias("n_rows"),
         F.sum((F.col("predicted_demand") == F.col("again")).cast("bigint")).alias("n_same"),
     )
+
+
+@query
+def tree_leaves(spark, sf_dir):
+    """Leaves of the full tree that break its rules, of which there must be none.
+
+    Each predicts the mean label of its train rows and has as many as asked for.
+    """
+    data = _dataset(spark, sf_dir)
+    spec = s.TreeSpec()
+    model = _fit(data)
+    model.stages[-1].setLeafCol("leaf")
+    leaves = (
+        model.transform(data.part("train"))
+        .groupBy("leaf")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.avg(s.TARGET).alias("mean"),
+            F.min("predicted_demand").alias("low"),
+            F.max("predicted_demand").alias("high"),
+        )
+    )
+    apart = F.greatest(F.abs(F.col("high") - F.col("mean")), F.abs(F.col("low") - F.col("mean")))
+    return leaves.agg(
+        F.sum("n").cast("bigint").alias("n_rows"),
+        F.count_if(F.col("n") < spec.min_leaf).alias("n_small"),
+        F.count_if(apart > 1e-6).alias("n_off"),
+        (F.count(F.lit(1)) > 1).alias("has_splits"),
+    )
+
+
+def _stump(data: Dataset):
+    spec = s.TreeSpec(max_depth=1)
+    return trees.fit_tree(data.part("train"), s.TARGET, {}, ["month", "day_of_week"], spec)
+
+
+@query
+def tree_stump(spark, sf_dir):
+    """One split on two columns of few values, where the thresholds are exact."""
+    data = _dataset(spark, sf_dir, columns=[s.TARGET, "month", "day_of_week"])
+    scored = trees.score(_stump(data), data.rows)
+    return scored.groupBy("month", "day_of_week").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("predicted_demand").alias("predicted_demand")
+    )
+
+
+def _book_with_a_run(spark, data: Dataset) -> tuple[ModelBook, object]:
+    """A run logged with the scores of the trailing mean, so that SQL can tell them."""
+    book = ModelBook(spark, scratch_path(spark, "book"))
+    model = _stump(data)
+    scores = _naive_metrics(data, "validation", {"rolling_mean": s.ROLLING}).first().asDict()
+    params = s.TreeSpec(max_depth=1).as_params()
+    book.log_run(model, "stump", params, {"team": "demand"}, scores, datetime.now(timezone.utc))
+    return book, model
+
+
+@query
+def run_record(spark, sf_dir):
+    """A recorded run without its id, path and time."""
+    columns = [s.TARGET, s.ROLLING, "month", "day_of_week"]
+    book, _ = _book_with_a_run(spark, _dataset(spark, sf_dir, columns=columns))
+    return book.runs().select(
+        "run_name",
+        "status",
+        F.col("params")["max_depth"].alias("max_depth"),
+        F.col("params")["max_bins"].alias("max_bins"),
+        F.col("tags")["team"].alias("team"),
+        "validation_mae",
+        "validation_rmse",
+        "validation_r2",
+    )
+
+
+@query
+def alias_model_score(spark, sf_dir):
+    """Run, version, alias, and back to a model: rows it scores as the fitted one does."""
+    columns = [s.TARGET, s.ROLLING, "month", "day_of_week"]
+    data = _dataset(spark, sf_dir, columns=columns)
+    book, model = _book_with_a_run(spark, data)
+    version = book.register("demand", book.runs().first())
+    book.assign("demand", s.CHALLENGER, version, {"test_r2_status": "cleared", "by": "first"})
+    book.assign("demand", s.CHALLENGER, version, {"by": "second"})
+    held = book.holder("demand", s.CHALLENGER)
+    loaded = book.load(held)
+    both = trees.score(
+        loaded.copy({loaded.stages[-1].predictionCol: "again"}),
+        trees.score(model, data.split.label(data.rows)),
+        "again",
+    )
+    tags = book.tags("demand").where(F.col("version") == held["version"]).select(
+        F.col("tags")["test_r2_status"].alias("kept_tag"), F.col("tags")["by"].alias("new_tag")
+    )
+    return (
+        both.groupBy("split")
+        .agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.sum((F.col("predicted_demand") == F.col("again")).cast("bigint")).alias("n_same"),
+        )
+        .join(F.broadcast(tags))
+        .withColumn("version", F.lit(held["version"]).cast("bigint"))
+    )
