@@ -17,11 +17,11 @@ PROJECTIONS = 48
 # share of a block that has to do so before the windows stop growing. The embeddings
 # measured (64 dimensions, neighbours at 0.35 to 0.45) need wide windows.
 COLLISIONS = 0.65
-VERIFIED = 0.4
+VERIFIED = 0.3
 # Small blocks verify this many, as shares of a few vectors say little.
 LEAST = 1000
 # First half-width in standard deviations of the projections, and its growth.
-RADIUS, GROWTH = 0.6, 1.12
+RADIUS, GROWTH = 0.7, 1.1
 SEED = 5
 
 
@@ -61,20 +61,20 @@ class Index:
         n, m = len(self.ids), len(self.sorted)
         needed = math.ceil(collisions * m)
         wanted = min(max(math.ceil(verified * n), least), n)
-        count = np.zeros(n, dtype=np.uint16)
+        count = np.zeros(n, dtype=np.int64)
         centre = query @ self.directions
-        low = [int(np.searchsorted(s, c)) for s, c in zip(self.sorted, centre, strict=True)]
+        low = [int(s.searchsorted(c)) for s, c in zip(self.sorted, centre, strict=True)]
         high = list(low)
         radius = RADIUS * self.spread
         while True:
+            added = []
             for j in range(m):
-                line = self.sorted[j]
-                left = int(line.searchsorted(centre[j] - radius))
-                right = int(line.searchsorted(centre[j] + radius, "right"))
-                left, right = min(left, low[j]), max(right, high[j])
-                count[self.order[j, left : low[j]]] += 1
-                count[self.order[j, high[j] : right]] += 1
+                line, order = self.sorted[j], self.order[j]
+                left = min(int(line.searchsorted(centre[j] - radius)), low[j])
+                right = max(int(line.searchsorted(centre[j] + radius, "right")), high[j])
+                added += order[left : low[j]], order[high[j] : right]
                 low[j], high[j] = left, right
+            count += np.bincount(np.concatenate(added), minlength=n)
             found = np.flatnonzero(count >= needed)
             if len(found) >= wanted:
                 return found
