@@ -31,6 +31,8 @@ GROUP_ROWS = 30_000
 CHUNK = 4 << 20
 # Distinct rows whose repeats a task counts before it sends them on.
 HELD_ROWS = 20_000
+# Rows of one key that a task may get; beyond, the key is made longer.
+HOT_ROWS = 2000
 PAD = 0xFF  # no byte of UTF-8
 
 
@@ -245,41 +247,69 @@ def anchor_grams(texts: DataFrame, length: int) -> DataFrame:
 
 
 ROWS = (
-    "gram long, d1 long, d2 long, offset int, bytes binary, copies long, "
-    "_a long, _b long, start long, size int"
+    "gram long, low int, high int, d1 long, d2 long, offset int, bytes binary, copies long, "
+    "_a long, _b long, start long"
 )
 
 
-def rows_of(texts: DataFrame, length: int) -> DataFrame:
-    """Rows at the anchors whose gram is in ``grams`` of its text, as ``ROWS``.
+class Lines:
+    """Output of a task that finds rows: a line per place, and one per distinct row.
 
-    One line per place (``_a`` to ``size``) and one per distinct row of a task (``gram``
-    to ``copies``), both with the row's digest ``d1, d2``: however often a row occurs,
-    a task sends its bytes once.
+    However often a row occurs, a task sends its bytes once, with the number of copies.
     """
 
-    def run(batches):
+    def __init__(self, schema):
+        self.schema = schema
+        self.held: dict[bytes, list] = {}
+
+    def hold(self, body: bytes, copies: int, *rest) -> bytes:
+        import xxhash
+
+        digest = xxhash.xxh3_128_digest(body)
+        if digest in self.held:
+            self.held[digest][-1] += copies
+        else:
+            self.held[digest] = [*rest, body, copies]
+        return digest
+
+    def places(self, digests: list[bytes], owners, starts):
         import numpy as np
         import pyarrow as pa
-        import xxhash
 
-        held: dict[bytes, list] = {}
+        if digests:
+            d = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
+            none = [pa.nulls(len(d), t) for t in self.schema.types[:8]]
+            none[3:5] = pa.array(d[:, 0]), pa.array(d[:, 1])
+            owned = [pa.array(x, pa.int64()) for x in (*owners, starts)]
+            yield pa.RecordBatch.from_arrays([*none, *owned], schema=self.schema)
+
+    def release(self, most: int = 0):
+        import numpy as np
+        import pyarrow as pa
+
+        if len(self.held) > most:
+            d = np.frombuffer(b"".join(self.held), dtype="<i8").reshape(-1, 2)
+            gram, low, high, offset, body, copies = zip(*self.held.values(), strict=True)
+            columns = [gram, low, high, d[:, 0], d[:, 1], offset, body, copies]
+            types = self.schema.types
+            arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=False)]
+            arrays += [pa.nulls(len(d), t) for t in types[8:]]
+            yield pa.RecordBatch.from_arrays(arrays, schema=self.schema)
+            self.held.clear()
 
-        def table(columns):
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, type=k) for c, k in zip(columns, schema.types, strict=True)],
-                schema=schema,
-            )
 
-        def release():
-            n = len(held)
-            if n:
-                d = np.frombuffer(b"".join(held), dtype="<i8").reshape(-1, 2)
-                gram, offset, body, copies = zip(*held.values(), strict=True)
-                none = [None] * n
-                yield table([gram, d[:, 0], d[:, 1], offset, body, copies, none, none, none, none])
-                held.clear()
+def rows_of(texts: DataFrame, length: int) -> DataFrame:
+    """Rows at the anchors whose gram is in ``grams`` of its text, as ``ROWS``.
 
+    A line per place: the row's digest ``d1, d2``, the text ``_a, _b`` and the first start.
+    A line per distinct row: its key ``gram``, the starts ``low`` to ``high`` it may have as
+    seen from the anchor, which lies at ``offset``, its bytes and copies.
+    """
+
+    def run(batches):
+        import numpy as np
+
+        lines = Lines(schema)
         for batch in batches:
             data, bounds = texts_of(batch, "_bytes")
             text, place, first, last, gram = anchors(data, bounds, length)
@@ -292,35 +322,68 @@ def rows_of(texts: DataFrame, length: int) -> DataFrame:
                 wanted[mine] = np.isin(gram[mine], grams.values.to_numpy())
             chosen = np.flatnonzero(wanted)
             raw = memoryview(data)
-            digests = []
-            for i in chosen:
-                body = bytes(raw[first[i] : last[i] + length])
-                digest = xxhash.xxh3_128_digest(body)
-                digests.append(digest)
-                if digest in held:
-                    held[digest][3] += 1
-                else:
-                    held[digest] = [int(gram[i]), int(place[i] - first[i]), body, 1]
-            n = len(chosen)
-            if n:
-                d = np.frombuffer(b"".join(digests), dtype="<i8").reshape(-1, 2)
-                owner = pa.array(text[chosen])
-                none = [None] * n
-                yield table(
-                    [none, d[:, 0], d[:, 1], none, none, none,
-                     batch.column("_a").take(owner), batch.column("_b").take(owner),
-                     first[chosen] - bounds[text[chosen]],
-                     (last[chosen] - first[chosen] + length).astype("int32")]
-                )
-            if len(held) >= HELD_ROWS:
-                yield from release()
-        yield from release()
+            digests = [
+                lines.hold(
+                    bytes(raw[first[i] : last[i] + length]),
+                    1,
+                    int(gram[i]),
+                    GRAM - length,
+                    0,
+                    int(place[i] - first[i]),
+                )
+                for i in chosen
+            ]
+            owner = text[chosen]
+            keys = (batch.column(c).to_numpy()[owner] for c in ("_a", "_b"))
+            yield from lines.places(digests, keys, first[chosen] - bounds[owner])
+            yield from lines.release(HELD_ROWS)
+        yield from lines.release()
 
     schema = arrow_schema(ROWS)
     return texts.select("_a", "_b", "_bytes", "grams").mapInArrow(run, ROWS)
 
 
-def repeated_rows(rows: DataFrame, length: int) -> DataFrame:
+def halves(rows: DataFrame, length: int) -> DataFrame:
+    """Each distinct row as two, in the form of ``rows_of``: its early and its late starts.
+
+    All strings of a half share more bytes than those of the row, from the last start to
+    ``length`` beyond the first, as counted from the anchor: they are its new key. Equal
+    strings start in the same half, and share that key. The place of a half is the
+    digest of its row and the start in it.
+    """
+
+    def run(batches):
+        import xxhash
+
+        lines = Lines(schema)
+        for batch in batches:
+            digests, starts, owner = [], [], []
+            columns = [batch.column(c).to_pylist() for c in ("low", "high", "offset", "bytes", "copies")]
+            for i, (low, high, offset, body, copies) in enumerate(zip(*columns, strict=True)):
+                middle = (low + high) // 2
+                for begin, end in ((low, middle), (middle + 1, high)):
+                    first = max(begin, -offset)
+                    last = min(end, len(body) - length - offset)
+                    if first > last:
+                        continue
+                    shared = body[end + offset : begin + length + offset]
+                    key = xxhash.xxh64_intdigest(shared, seed=end - GRAM + length)
+                    key -= (key >> 63) << 64
+                    part = body[first + offset : last + length + offset]
+                    digests.append(lines.hold(part, copies, key, begin, end, -first))
+                    starts.append(first + offset)
+                    owner.append(i)
+            keys = (batch.column(c).to_numpy()[owner] for c in ("d1", "d2"))
+            yield from lines.places(digests, keys, starts)
+            yield from lines.release(HELD_ROWS)
+        yield from lines.release()
+
+    schema = arrow_schema(ROWS)
+    columns = ("low", "high", "d1", "d2", "offset", "bytes", "copies")
+    return rows.select(*columns).mapInArrow(run, ROWS)
+
+
+def settled(rows: DataFrame, length: int) -> DataFrame:
     """``(d1, d2, first, last)``: starts in a distinct row at which its strings repeat.
 
     A row that occurs twice repeats as a whole, but still meets the others.
@@ -369,8 +432,43 @@ def repeated_rows(rows: DataFrame, length: int) -> DataFrame:
     layout = "d1 long, d2 long, first long, last long"
     schema = arrow_schema(layout)
     columns = ("gram", "d1", "d2", "offset", "bytes", "copies")
-    placed = rows.select(*columns).repartition("gram").sortWithinPartitions("gram")
-    return placed.mapInArrow(run, layout)
+    grouped = rows.select(*columns).repartition("gram").sortWithinPartitions("gram")
+    return grouped.mapInArrow(run, layout)
+
+
+def placed(rows: DataFrame, length: int) -> DataFrame:
+    """``(_a, _b, first, last)``: repeating starts of the owners of the places in ``rows``.
+
+    The rows of one key meet in one task. Where they are more than ``HOT_ROWS``, as around
+    a passage that very many texts have in contexts of their own, they are halved and
+    so parted by longer keys, again and again until no key has too many: at the latest
+    when a row has one start, since its key is then its whole string.
+    """
+    lines = rows.where("bytes is not null")
+    hot = (
+        lines.where("low < high")
+        .groupBy("gram")
+        .count()
+        .where(F.col("count") > HOT_ROWS)
+        .select("gram")
+    )
+    hot = materialize(hot, "hot-keys")
+    if hot.isEmpty():
+        repeats = settled(lines, length)
+    else:
+        parts = _write(halves(lines.join(hot, "gram", "left_semi"), length), "half-rows")
+        parted = placed(parts, length).select(
+            F.col("_a").alias("d1"), F.col("_b").alias("d2"), "first", "last"
+        )
+        cold = settled(lines.join(hot, "gram", "left_anti"), length)
+        repeats = cold.unionByName(parted)
+    places = rows.where("start is not null").select("d1", "d2", "_a", "_b", "start")
+    return places.join(repeats, ["d1", "d2"]).select(
+        "_a",
+        "_b",
+        (F.col("start") + F.col("first")).alias("first"),
+        (F.col("start") + F.col("last")).alias("last"),
+    )
 
 
 def _write(df: DataFrame, label: str) -> DataFrame:
@@ -392,15 +490,10 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     wanted = grams.join(often, "gram").groupBy("_a", "_b").agg(F.collect_set("gram").alias("grams"))
     once = long_enough.join(wanted.hint("shuffle_hash"), ["_a", "_b"])
     rows = _write(rows_of(once, length), "anchor-rows")
-    repeats = repeated_rows(rows.where("bytes is not null"), length)
-    places = rows.where("start is not null").select("d1", "d2", "_a", "_b", "start")
-    spans = places.join(repeats, ["d1", "d2"]).select(
+    spans = placed(rows, length).select(
         "_a",
         "_b",
-        F.struct(
-            (F.col("start") + F.col("first")).alias("from"),
-            (F.col("start") + F.col("last") + length).alias("to"),
-        ).alias("span"),
+        F.struct(F.col("first").alias("from"), (F.col("last") + length).alias("to")).alias("span"),
     )
     return spans.groupBy("_a", "_b").agg(F.collect_set("span").alias("spans"))
 

@@ -116,6 +116,22 @@ def test_small_chunks_and_groups_change_nothing(woven, monkeypatch):
     check(woven, 100)
 
 
+@pytest.mark.parametrize("hot", [3, 0])
+def test_hot_keys_are_parted_and_nothing_is_lost(spark, monkeypatch, hot):
+    """A passage of 90 bytes in many contexts, some of which agree for 100 bytes and more."""
+    monkeypatch.setattr(suffixes, "HOT_ROWS", hot)
+    monkeypatch.setattr(suffixes, "GROUP_ROWS", 1)
+    rng = random.Random(5)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(90))
+    texts = []
+    for i in range(30):
+        left = "".join(rng.choice("xyz") for _ in range(1 + i % 4))
+        right = "".join(rng.choice("xyz") for _ in range(40))
+        texts.append(f"{left}{passage}{right}")
+    texts += [texts[0][:-20], texts[1], "q" + passage + "x" * 12, "q" + passage + "x" * 9]
+    check(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), 100)
+
+
 def test_given_documents(corpus):
     check(corpus[1], suffixes.LENGTH)
 
