@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from demandloom.llm import ann, bpe, classifier, licenses, packing, pages, rules, sharding, simhash, suffixes
+from demandloom.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 QUERIES = {
     "op1_rule_ensemble": classifier.op1,
@@ -16,5 +19,3 @@ QUERIES = {
     "op9_simhash_pigeonring": simhash.op9,
     "op10_recursive_bpe": bpe.op10,
 }
-
-ORACLE: dict[str, str] = {}
