@@ -372,10 +372,8 @@ def _naive_metrics(
     data: Dataset, split: str | None = None, models=NAIVE, exact: bool = True
 ) -> DataFrame:
     rows = data.split.label(data.rows) if split is None else data.part(split)
-    by = ["model"] if split else ["model", "split"]
-    keep = [] if split else ["split"]
-    predictions = evaluate.long_predictions(rows, s.TARGET, models, keep)
-    return evaluate.regression_metrics(predictions, "label", "prediction", by, exact=exact)
+    by = [] if split else ["split"]
+    return evaluate.model_metrics(rows, s.TARGET, models, by, exact)
 
 
 def _naive_runs(data: Dataset) -> DataFrame:

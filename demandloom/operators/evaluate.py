@@ -32,49 +32,79 @@ def regression_metrics(
 ) -> DataFrame:
     """``n_rows, mae, rmse, r2`` over rows with both values, per ``by`` group, in one pass.
 
-    NaN and infinite values count as missing.
+    NaN and infinite values count as missing; a group without any row is left out.
     r2 is 1 - SSE / SST; for a constant label 1 if every prediction is right
     and 0 if not; NULL below two rows. Group state is a few numbers and combines
     before the exchange. ``exact`` computes in integer hundredths, for values
     with two decimals.
     """
-    y, p = finite(F.col(label)), finite(F.col(prediction))
-    scored = df.where(y.isNotNull() & p.isNotNull())
+    found = model_metrics(df, label, {"": prediction}, by, exact, "_model").drop("_model")
+    return found.where("n_rows > 0") if by else found
+
+
+def model_metrics(
+    df: DataFrame,
+    label: str,
+    predictions: Mapping[str, str],
+    by: Sequence[str] = (),
+    exact: bool = False,
+    name: str = "model",
+) -> DataFrame:
+    """The same for several prediction columns: one aggregate over the rows as they are.
+
+    One row per model and group; the few results are turned into rows, not the input.
+    A model without a scored row has ``n_rows`` 0 and no scores.
+    """
+    y = finite(F.col(label))
+    sums, scores = [], []
+    for i, (model, column) in enumerate(predictions.items()):
+        p = finite(F.col(column))
+        both = y.isNotNull() & p.isNotNull()
+        own, result = _metrics(F.when(both, y), F.when(both, p), f"_{i}", exact)
+        sums += own
+        scores.append(F.struct(F.lit(model).alias(name), *result))
+    return df.groupBy(*by).agg(*sums).select(*by, F.inline(F.array(*scores)))
+
+
+def _metrics(y: Column, p: Column, tag: str, exact: bool) -> tuple[list[Column], list[Column]]:
+    """Aggregates over rows, and the metrics as expressions over them."""
+
+    def of(name: str) -> Column:
+        return F.col(f"{tag}_{name}")
+
     if exact:
-        scored = scored.select(*by, hundredths(y).alias("_label"), hundredths(p).alias("_guess"))
-        scored = scored.withColumn("_error", F.col("_label") - F.col("_guess"))
-        y, error = F.col("_label"), F.col("_error")
-        sums = scored.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            exact_sum(F.abs(error)).alias("_abs"),
-            sum_of_squares(error).alias("_sse"),
-            exact_sum(y).alias("_y"),
-            sum_of_squares(y).alias("_yy"),
-        )
-        n = F.col("n_rows")
+        y, p = hundredths(y), hundredths(p)
+        error = y - p
+        parts = {
+            "n": F.count(y),
+            "abs": exact_sum(F.abs(error)),
+            "sse": sum_of_squares(error),
+            "y": exact_sum(y),
+            "yy": sum_of_squares(y),
+        }
+        n = of("n")
         # n times the sums of squares; one division at the end.
         big_n = n.cast("decimal(19,0)")
-        sse = big_n * F.col("_sse")
-        total = F.col("_y")
-        sst = _fits(big_n * F.col("_yy") - total * total, n)
-        sse = _fits(sse, n)
         # Sums hold for any labels below 1e16; what outgrows 38 digits is an error here
         # whether the session raises overflows or makes them NULL.
-        mae = F.col("_abs").cast("double") / (n * 100).cast("double")
-        rmse = F.sqrt(F.col("_sse").cast("double") / n.cast("double")) / F.lit(100.0)
-        r2 = _r2(n, sse, sst)
+        sse = _fits(big_n * of("sse"), n)
+        sst = _fits(big_n * of("yy") - of("y") * of("y"), n)
+        mae = of("abs").cast("double") / (n * 100).cast("double")
+        rmse = F.sqrt(of("sse").cast("double") / n.cast("double")) / F.lit(100.0)
+        mae, rmse = (F.when(n > 0, x) for x in (mae, rmse))
     else:
         error = y - p
-        sums = scored.groupBy(*by).agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.avg(F.abs(error)).alias("_abs"),
-            F.avg(error * error).alias("_sse"),
-            F.var_pop(y).alias("_var"),
-        )
-        n = F.col("n_rows")
-        mae, rmse = F.col("_abs"), F.sqrt("_sse")
-        r2 = _r2(n, F.col("_sse"), F.col("_var"))
-    return sums.select(*by, n, mae.alias("mae"), rmse.alias("rmse"), r2.alias("r2"))
+        parts = {
+            "n": F.count(y),
+            "abs": F.avg(F.abs(error)),
+            "sse": F.avg(error * error),
+            "var": F.var_pop(y),
+        }
+        n, sse, sst = of("n"), of("sse"), of("var")
+        mae, rmse = of("abs"), F.sqrt(of("sse"))
+    sums = [part.alias(f"{tag}_{name}") for name, part in parts.items()]
+    r2 = _r2(n, sse, sst)
+    return sums, [n.alias("n_rows"), mae.alias("mae"), rmse.alias("rmse"), r2.alias("r2")]
 
 
 def _fits(value: Column, n: Column) -> Column:

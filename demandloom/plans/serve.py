@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from demandloom import settings as s
-from demandloom.operators.evaluate import long_predictions, regression_metrics
+from demandloom.operators.evaluate import model_metrics
 from demandloom.operators.lifecycle import promotion_decision
 from demandloom.operators.publish import prediction_table
 from demandloom.plans.dataset import Dataset
@@ -87,8 +87,8 @@ def serve(
 
 def _compare(scored: DataFrame, predicted: dict[str, str], lifecycle: s.Lifecycle, exact: bool):
     """All models' metrics over the same rows and the decision, as one job."""
-    rows = long_predictions(scored, s.TARGET, predicted).withColumnRenamed("model", "role")
-    metrics = regression_metrics(rows, "label", "prediction", by=["role"], exact=exact)
+    metrics = model_metrics(scored, s.TARGET, predicted, exact=exact)
+    metrics = metrics.withColumnRenamed("model", "role")
     return promotion_decision(
         metrics, champion=lifecycle.champion, challenger=lifecycle.challenger
     ).first()

@@ -10,6 +10,7 @@ from demandloom.functions.exact import sum_of_squares
 from demandloom.operators import evaluate
 
 SCHEMA = "y double, p double"
+NAN = float("nan")
 
 
 def metrics(spark, data, exact):
@@ -81,6 +82,22 @@ def test_groups_and_long_form(spark):
     ]
 
 
+@pytest.mark.parametrize("exact", [False, True])
+def test_wide_form_equals_the_long_one_and_keeps_models_without_scores(spark, exact):
+    df = spark.createDataFrame(
+        [("test", 1.0, 1.0, 2.0, None), ("test", 3.0, None, 5.0, NAN), ("train", 1.5, 0.0, 1.0, None)],
+        "split string, y double, a double, b double, c double",
+    )
+    models = {"A": "a", "B": "b", "C": "c"}
+    long = evaluate.long_predictions(df, "y", models, ["split"])
+    want = evaluate.regression_metrics(long, "label", "prediction", ["model", "split"], exact)
+    got = evaluate.model_metrics(df, "y", models, ["split"], exact)
+    names = ("model", "split", "n_rows", "mae", "rmse", "r2")
+    assert rows(got.where("n_rows > 0"), *names) == rows(want, *names)
+    none = rows(got.where("n_rows = 0"), *names)
+    assert none == [("C", split, 0, None, None, None) for split in ("test", "train")]
+
+
 def test_squares_of_any_size_sum_exactly(spark):
     values = [0, 1, -3, 2**21, -(2**31) + 1, 2**31, -(2**31), 10**12, 2**53 + 1]
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v bigint")
