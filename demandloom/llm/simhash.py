@@ -91,7 +91,8 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     third = [F.when(F.col("start") == i, F.bit_count(_segment(differ, i + 2))) for i in range(SEGMENTS)]
     second = [F.when(F.col("start") == i, F.bit_count(_segment(differ, i + 1))) for i in range(SEGMENTS)]
     return (
-        probe.join(index, ["start", "key"])
+        # The planner knows the sizes before the keys are exploded, and would broadcast them.
+        probe.join(index.hint("merge"), ["start", "key"])
         .where(F.col("a") != F.col("b"))
         .where(F.coalesce(*second) + F.coalesce(*third) <= 2)
         .where(F.bit_count(differ) <= max_bits)
