@@ -116,3 +116,20 @@ def test_hot_series_rows_are_exchanged_once_after_placing(spark):
     windows = plan[: plan.index("Union")]
     assert windows.count("Exchange") == 1
     assert "Exchange rangepartitioning(_part" in windows
+
+
+def test_tails_of_a_hot_series_never_meet_in_one_task(spark):
+    """With a long lag over many parts, only one line per part is exchanged by series."""
+    df = spark.range(3000).selectExpr(
+        "'a' as kind", "cast(id as int) as t", "cast(id as int) as id", "cast(id % 7 as double) as v"
+    )
+    arguments = ("v", ["kind"], ["t", "id"], {1: "v1", 90: "v90"}, "mean", 60, True)
+    hot = hot_series_features(df, *arguments, parts=50)
+    names = ["id", "v1", "v90", "mean"]
+    assert rows(hot, *names) == rows(series_features(df, *arguments), *names)
+    lines = plan_of(hot).splitlines()
+    by_series = [i for i, line in enumerate(lines) if "hashpartitioning(kind" in line and "_part" not in line]
+    assert by_series
+    for at in by_series:
+        below = next(line for line in lines[at + 1 :] if "Aggregate" in line or "Exchange" in line)
+        assert "HashAggregate(keys=[kind" in below and "_part" in below
