@@ -21,8 +21,8 @@ HARD_CUT = 64
 STRETCH = 512
 # Tokens planned together; what does not fill its last window opens the next block.
 BLOCK = 1 << 20
-# Distinct words whose ids a Python worker remembers: about 120 MB.
-REMEMBERED = 500_000
+# Distinct words whose ids a Python worker remembers: about 100 MB.
+REMEMBERED = 400_000
 
 PIECES = (
     "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"

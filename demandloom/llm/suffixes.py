@@ -28,7 +28,7 @@ GRAM = 64
 # Rows that one run of rounds takes; the rows of one anchor gram are never parted.
 GROUP_ROWS = 30_000
 # Bytes whose anchors are computed together.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 # Distinct rows whose repeats a task counts before it sends them on.
 HELD_ROWS = 20_000
 # Rows of one key that a task may get; beyond, the key is made longer.
