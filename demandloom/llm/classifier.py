@@ -133,7 +133,9 @@ def fit(train: DataFrame, lasso: float = LASSO) -> RuleEnsemble:
     without any row.
     """
     names = list(STATISTICS)
-    train = materialize(train.dropDuplicates(["label", *names]).coalesce(2), "training-rows")
+    # The bounded sample in one fixed order: the forest draws its rows by their place.
+    train = train.select("label", *names).distinct().repartition(1)
+    train = materialize(train.sortWithinPartitions("label", *names), "training-rows")
     total, good = train.agg(F.count("*"), F.sum("label")).first()
     if not total or good in (0, total):
         share = (good or 0) / total if total else 0.5
@@ -152,7 +154,7 @@ def fit(train: DataFrame, lasso: float = LASSO) -> RuleEnsemble:
     if not rules:
         return RuleEnsemble(0.0, [])
     flags = F.array(*(condition(r).cast("double") for r in rules))
-    flagged = materialize(train.select("label", flags.alias("flags")), "rule-flags")
+    flagged = materialize(train.select("label", flags.alias("flags")).coalesce(1), "rule-flags")
     lasso_fit = LogisticRegression(
         featuresCol="rules", elasticNetParam=1.0, regParam=lasso, maxIter=60
     ).fit(flagged.select("label", array_to_vector("flags").alias("rules")))

@@ -131,6 +131,16 @@ def test_classifier_on_rows_it_never_saw(spark):
     assert n.get((1, 0), 0) <= 0.02 * n[(1, 1)]
 
 
+def test_the_fit_does_not_depend_on_the_order_of_rows(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    models = [
+        classifier.fit(classifier.training_rows(d, l))
+        for d, l in ((docs, labels), (docs.repartition(5), labels.repartition(3)))
+    ]
+    assert models[0] == models[1] and models[0].weights
+
+
 def test_rules_on_edges(spark, edges):
     labels = labelled(spark, [(1, 0, 0), (6, 1, 0)])
     rows = rules.quality_rules(edges, labels).collect()
