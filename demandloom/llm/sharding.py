@@ -18,7 +18,7 @@ PROBES = 64
 # Distance from the wanted byte count, as a share of a shard: within it a boundary is
 # good enough if it cuts no group of equal texts, else refining goes on.
 TOLERANCE = 0.002
-# Bytes that one task sorts at the exchange.
+# Bytes of a shard's part, which one task sorts.
 RANGE_BYTES = 128 << 20
 
 Key = tuple[int, int]
@@ -145,18 +145,19 @@ def shard_by_bytes(
     ``size`` is the UTF-8 bytes of the text plus 8; a NULL text has none and is a group
     of its own. Rows are ordered by a hash of the text, then ``doc_id`` (NULL first),
     so equal texts are neighbours: a splitter cuts a group only where no boundary
-    between groups is within the tolerance, as for a group larger than a shard. The
-    same search also cuts the shards into ranges of ``range_bytes``; its counts give
-    each range the slot of its first row, so the rows are exchanged once, range by
-    range, and no task holds a shard. Rows equal in text and ``doc_id`` stay in one
-    range in any order. An empty table gives none. Columns of ``docs`` that carry
-    one of the added names are replaced.
+    between groups is within the tolerance, as for a group larger than a shard. For
+    the slots each shard is dealt by a hash of the key into parts of about
+    ``range_bytes``, which also spreads a hot group; the counts of the parts, one line
+    each, give every part its first slot, so the rows are exchanged once, part by part,
+    and no task holds a shard. Rows equal in text and ``doc_id`` stay in one part. An
+    empty table gives none. Columns of ``docs`` that carry one of the added names are
+    replaced.
     """
     size = (n_bytes(F.col("text")) + 8).alias("size")
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32")
     h = F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(F.xxhash64("text"))
     row_id = F.coalesce(F.col("doc_id").cast("long"), F.lit(LOW + 1).cast("long"))
-    added = ("size", "text_crc32", "_h", "_id", "_range", "shard", "slot")
+    added = ("size", "text_crc32", "_h", "_id", "_part", "_offset", "shard", "slot")
     named = docs.select(
         *(c for c in docs.columns if c.lower() not in added),
         size,
@@ -166,24 +167,30 @@ def shard_by_bytes(
     )
     keyed = materialize(named.select("_h", "_id", "size"), "shard-keys")
     total = keyed.agg(F.sum("size")).first()[0] or 0
-    pieces = max(-(-total // (shards * range_bytes)), 1)
-    wanted = [total * i // (shards * pieces) for i in range(1, shards * pieces)]
-    slack = int(tolerance * total / shards / pieces)
-    cuts = sorted(splitters(keyed, wanted, slack), key=lambda c: (c[0], c[2]))
-    starts = [0] + [c[2] for c in cuts]
-    place = F.lit(0)
+    wanted = [total * i // shards for i in range(1, shards)]
+    cuts = splitters(keyed, wanted, int(tolerance * total / shards))
+    shard = F.lit(0)
     for key, _, _ in cuts:
-        place = place + _reached(key).cast("int")
-    first = [starts[i - i % pieces] for i in range(len(starts))]
-    offset = F.element_at(
-        F.array(*(_as_long(s - f) for s, f in zip(starts, first, strict=True))), F.col("_range") + 1
+        shard = shard + _reached(key).cast("int")
+    parts = max(-(-total // (shards * range_bytes)), 1)
+    part = F.pmod(F.xxhash64("_h", "_id"), F.lit(parts))
+    before = (
+        Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     )
-    in_range = Window.partitionBy("_range").orderBy("_h", "_id")
+    offsets = materialize(
+        keyed.groupBy(shard.alias("shard"), part.alias("_part"))
+        .count()
+        .withColumn("_offset", F.coalesce(F.sum("count").over(before), F.lit(0)))
+        .drop("count"),
+        "first-slots",
+    )
+    in_part = Window.partitionBy("shard", "_part").orderBy("_h", "_id")
     return (
-        named.withColumn("_range", place)
-        .withColumn("shard", (F.col("_range") / pieces).cast("int"))
-        .withColumn("slot", offset + F.row_number().over(in_range) - 1)
-        .drop("_h", "_id", "_range")
+        named.withColumn("shard", shard)
+        .withColumn("_part", part)
+        .join(offsets, ["shard", "_part"])
+        .withColumn("slot", F.col("_offset") + F.row_number().over(in_part) - 1)
+        .select(*(c for c in named.columns if c not in added), "size", "text_crc32", "shard", "slot")
     )
 
 
