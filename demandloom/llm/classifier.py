@@ -179,6 +179,10 @@ def op1(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_good(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the classifier rejects go."""
-    model = fit(training_rows(docs, table(spark, sf_dir, "labels")))
+    """Pipeline stage: documents that the classifier rejects go.
+
+    Fitted like ``op1`` on the labelled documents as they came: earlier stages have
+    removed nearly all poor ones from ``docs``.
+    """
+    model = fit(training_rows(documents(spark, sf_dir), table(spark, sf_dir, "labels")))
     return model.judge(statistics(docs)).where("predicted = 1").select("_row.*")

@@ -195,3 +195,16 @@ def test_stages_keep_columns(spark, edges):
     for stage in (rules.keep_clean, classifier.keep_good):
         kept = stage(spark, edges, SF)
         assert kept.columns == edges.columns and kept.count() <= edges.count()
+
+
+def test_stage_learns_from_the_documents_as_they_came(spark):
+    """Poor rows that have no label and come after the rules: the stage's rows hold no poor label."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    good = docs.join(labels.where("quality = 1"), "doc_id", "left_semi")
+    poor = docs.join(labels.where("quality = 0"), "doc_id", "left_semi")
+    poor = poor.withColumn("doc_id", F.col("doc_id") + 10**9)
+    kept = classifier.keep_good(spark, good.unionByName(poor), SF)
+    n_poor = kept.where(F.col("doc_id") >= 10**9).count()
+    assert n_poor <= 0.1 * poor.count()
+    assert kept.count() - n_poor >= 0.98 * good.count()
