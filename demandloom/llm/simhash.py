@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from demandloom.llm.common import documents, map_rows
 from demandloom.llm.components import connected_components
+from demandloom.llm.suffixes import keyed
 from demandloom.session import materialize
 
 SHINGLE = 3
@@ -41,17 +42,22 @@ def fingerprint(data: bytes, shingle: int = SHINGLE) -> int:
     return int(bits.view("<u8")[0])
 
 
-def with_fingerprint(docs: DataFrame) -> DataFrame:
-    """``(doc_id, fp)``: the 64 bits as a signed long; a NULL text has no word."""
+def with_fingerprint(docs: DataFrame, *carried: str) -> DataFrame:
+    """``(doc_id, fp)``: the 64 bits as a signed long; a NULL text has no word.
+
+    The longs ``carried`` stand between them.
+    """
+    names = ("doc_id", *carried)
 
     def make(columns):
         found = []
         for text in columns["text"]:
             value = fingerprint((text or "").encode())
             found.append(value - (1 << 64) if value >> 63 else value)
-        return {"doc_id": columns["doc_id"], "fp": found}
+        return {**{n: columns[n] for n in names}, "fp": found}
 
-    return map_rows(docs.select("doc_id", "text"), make, "doc_id long, fp long")
+    schema = ", ".join(f"{n} long" for n in (*names, "fp"))
+    return map_rows(docs.select(*names, "text"), make, schema)
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -100,6 +106,15 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
+def groups(found: DataFrame, least: Column, max_bits: int = MAX_BITS) -> DataFrame:
+    """``(fp, first, component)`` per fingerprint of ``found``; ``first`` is its ``least``."""
+    nodes = materialize(found.groupBy("fp").agg(least.alias("first")), "nodes")
+    linked = connected_components(links(nodes.select("fp"), max_bits))
+    return nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("component", "fp").alias("component")
+    )
+
+
 def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """``(doc_id, fp, component_id)``: the smallest ``doc_id`` that a document reaches by links.
 
@@ -110,11 +125,7 @@ def near_duplicates(docs: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     are ignored.
     """
     found = materialize(with_fingerprint(docs), "fingerprints")
-    nodes = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
-    linked = connected_components(links(nodes.select("fp"), max_bits))
-    classes = nodes.join(linked.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("component", "fp").alias("component")
-    )
+    classes = groups(found, F.min("doc_id"), max_bits)
     smallest = classes.groupBy("component").agg(F.min("first").alias("component_id"))
     named = materialize(classes.join(smallest, "component").select("fp", "component_id"), "classes")
     return found.join(named, "fp").select("doc_id", "fp", "component_id")
@@ -130,16 +141,24 @@ def op9(spark, sf_dir: str) -> DataFrame:
 
 
 def keep_one(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each group of near-duplicates the row with the smallest ``doc_id``."""
-    found = materialize(near_duplicates(docs), "near-duplicates")
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.col("doc_id").alias("_id")).distinct()
-    # Ids that occur on several rows: one row stays. Usually there are none.
-    often = materialize(found.groupBy("doc_id").count().where("count > 1").select("doc_id"), "often")
-    chosen = docs.join(kept, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-    if often.isEmpty():
-        return chosen
-    again = often.select(F.col("doc_id").alias("_id"))
-    same = chosen["doc_id"].eqNullSafe(F.col("_id"))
-    once = chosen.join(again, same, "left_anti")
-    return once.unionByName(chosen.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    """Pipeline stage: of each group of near-duplicates one row.
+
+    That of the smallest ``doc_id``, NULL last, and among rows of one id that of the
+    smallest text hash. Rows are told apart by id and text, so ids may repeat or be
+    NULL; of rows equal in both one stays.
+    """
+    rows = keyed(docs).drop("_bytes")
+    narrow = rows.select("_row.doc_id", "_row.text", "_a", "_b")
+    found = materialize(with_fingerprint(narrow, "_a", "_b"), "near-duplicates")
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_a", "_b"))
+    kept = groups(found, least).groupBy("component").agg(F.min("first").alias("first"))
+    kept = materialize(kept.select("first._a", "first._b"), "kept")
+    keys = ["_a", "_b"]
+    # Keys that occur on several rows. Usually there are none.
+    often = found.groupBy(*keys).count().where("count > 1").select(*keys)
+    often = materialize(often, "often")
+    chosen = rows.join(kept, keys, "left_semi")
+    if not often.isEmpty():
+        once = chosen.join(often, keys, "left_anti")
+        chosen = once.unionByName(chosen.join(often, keys, "left_semi").dropDuplicates(keys))
+    return chosen.select("_row.*")

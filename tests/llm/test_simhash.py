@@ -120,3 +120,14 @@ def test_stage_keeps_one_row_of_each_group(spark, edges):
     ids = [r["doc_id"] for r in kept.collect()]
     # 1, 2 and 3 hold no word; 6 and 7 are copies; the row without an id stands alone.
     assert sorted(x for x in ids if x is not None) == [1, 4, 5, 6, 8, 9]
+
+
+def test_stage_tells_rows_of_one_id_apart(spark):
+    """Ids that repeat or are NULL: one row of each group stays, whatever the id."""
+    words = lambda tag: " ".join(f"{tag}{i * i % 101}" for i in range(60))
+    rows = [(7, words("a")), (7, words("b")), (7, words("b")), (8, words("b")), (9, words("c"))]
+    rows += [(None, words(t)) for t in "cdefdd"] + [(6, words("f"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r["doc_id"], r["text"]) for r in simhash.keep_one(spark, docs, "").collect()]
+    want = [(7, "a"), (7, "b"), (9, "c"), (None, "d"), (None, "e"), (6, "f")]
+    assert sorted(got, key=str) == sorted(((i, words(t)) for i, t in want), key=str)
