@@ -101,3 +101,21 @@ def test_odd_vectors_take_no_part(spark):
 def test_empty(spark):
     assert search(spark, [], 3)[0] == {}
     assert search(spark, [(20, [1.0])], 3)[0] == {}
+
+
+def test_recall_of_the_defaults_on_a_full_block(spark):
+    """Far more than ``LEAST`` vectors, so that windows and collisions choose among them."""
+    frame = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    given = np.array([r["embedding"] for r in frame.orderBy("vec_id").collect()], dtype=float)
+    rng = np.random.default_rng(6)
+    x = given[np.arange(ann.BLOCK_ROWS) % len(given)]
+    x = x + rng.standard_normal(x.shape) * given.std()
+    index = ann.Index(np.arange(len(x)), x)
+    hits = 0
+    for q in range(0, len(x), 400):
+        found = index.candidates(x[q])
+        assert ann.LEAST < len(found) < 0.75 * len(x)
+        scores = x @ x[q]
+        scores[q] = -np.inf
+        hits += len(set(np.argsort(-scores)[:20]) & set(index.nearest(q, x[q], 20)[0]))
+    assert hits >= 0.9 * 20 * len(range(0, len(x), 400))
