@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from demandloom.llm import ann, bpe, classifier, licenses, packing, pages, rules, sharding, simhash, suffixes
+from demandloom.llm import (
+    alignment,
+    ann,
+    bpe,
+    classifier,
+    licenses,
+    packing,
+    pages,
+    rules,
+    sharding,
+    simhash,
+    suffixes,
+    topk,
+    trie,
+)
 from demandloom.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -18,4 +32,7 @@ QUERIES = {
     "op8_ordered_packing": packing.op8,
     "op9_simhash_pigeonring": simhash.op9,
     "op10_recursive_bpe": bpe.op10,
+    "op11_fragment_monoid": alignment.op11,
+    "op12_branch_and_bound": topk.op12,
+    "op13_truncation_peeling": trie.op13,
 }

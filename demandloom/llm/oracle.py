@@ -96,7 +96,82 @@ SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes,
 FROM texts LEFT JOIN kept USING (rid)"""
 
 
+def _top_sql(scale: int = 64, top: int = 20, every: int = 20) -> str:
+    """Every query against every vector."""
+    usable = "len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0"
+    return f"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND {usable}),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % {every} = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+      FROM scored)
+WHERE rank <= {top}"""
+
+
+def _trie_sql(family: int = 100, most: int = 5) -> str:
+    """Every prefix of every rebuilt conversation, and every pair of a node and one below it.
+
+    The CRC-32 of an id goes byte by byte through the table of its polynomial.
+    """
+    turn = "md5(concat(len(role), ':', role, text))"
+    return f"""
+WITH RECURSIVE bits(i, c, s) AS (
+  SELECT i, CAST(i AS UBIGINT), 0 FROM range(256) r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c % 2 = 1 THEN xor(3988292384::UBIGINT, c // 2) ELSE c // 2 END, s + 1
+  FROM bits WHERE s < 8),
+crcs AS (SELECT list(c ORDER BY i) AS l FROM bits WHERE s = 8),
+given AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list({{'key': {turn}, 'chars': length(text)}}
+                       ORDER BY turn NULLS FIRST, role, text) AS turns
+  FROM given GROUP BY conv_id),
+taken AS (
+  SELECT conv_id, turns, CAST(xor(4294967295::UBIGINT, list_reduce(
+           list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS UBIGINT)),
+           lambda c, b: xor(c // 256, l[CAST(xor(c, b) % 256 AS INT) + 1]),
+           4294967295::UBIGINT)) % {most + 1} AS INT) AS h
+  FROM own, crcs),
+rebuilt AS (
+  SELECT t.conv_id, list_concat(coalesce(o.turns, [])[1 : h], t.turns[h + 1 :]) AS turns
+  FROM taken t LEFT JOIN own o ON o.conv_id = t.conv_id - t.conv_id % {family}),
+steps AS (
+  SELECT conv_id, turns, unnest(range(len(turns) + 1)) AS depth FROM rebuilt),
+members AS (
+  SELECT conv_id, depth, depth = len(turns) AS ends, list_transform(turns[1 : depth], lambda t: t.key) AS path,
+         CASE WHEN depth > 0 THEN turns[depth].chars ELSE 0 END AS chars
+  FROM steps),
+nodes AS (
+  SELECT path, min(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * min(chars) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), ''))
+           AS ends_sha256
+  FROM members GROUP BY path),
+children AS (
+  SELECT path[1 : depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1),
+counted AS (
+  SELECT nodes.*, coalesce(n, 0) AS n_children FROM nodes LEFT JOIN children USING (path)),
+below AS (
+  SELECT path[1 : above] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved_tokens
+  FROM (SELECT path, n_children, saved, unnest(range(depth + 1)) AS above FROM counted)
+  GROUP BY 1)
+SELECT c.conv_id, CAST(c.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, c.n_convs,
+       CAST(c.n_children AS BIGINT) AS n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+       CAST(b.saved_tokens AS BIGINT) AS saved_tokens, c.ends_sha256
+FROM counted c JOIN below b USING (path)
+LEFT JOIN nodes p ON c.depth > 0 AND p.path = c.path[1 : c.depth - 1]"""
+
+
 ORACLE = {
     "op4_columnwise_suffixes": _repeats_sql(),
     "op7_license_diagonals": _license_sql(),
+    "op12_branch_and_bound": _top_sql(),
+    "op13_truncation_peeling": _trie_sql(),
 }

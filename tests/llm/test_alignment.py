@@ -1,0 +1,138 @@
+import collections
+import hashlib
+import random
+
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from demandloom.llm import alignment as al
+from tests.llm.conftest import texts
+
+A = Tokenizer.from_file(al.TOKENIZER_A)
+A.encode_special_tokens = True
+B = sentencepiece.SentencePieceProcessor(model_file=al.TOKENIZER_B)
+BYTES_A, BYTES_B = al.bytes_of_entries(A), al.bytes_of_pieces(B)
+COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def ends(ids, sizes):
+    at, found = 0, []
+    for i in ids:
+        at += len(sizes[i])
+        found.append(at)
+    return found
+
+
+def brute(pairs):
+    """Whole texts through the libraries, and every token of A against the ends of B."""
+    made, totals = [], collections.Counter()
+    for doc_id, text in pairs:
+        a = A.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = B.encode(text) if text else []
+        data = (" " + text).encode()
+        if not text or any(b"".join(t[i] for i in x) != data for x, t in ((a, BYTES_A), (b, BYTES_B))):
+            made.append((doc_id, 0, 0, [], ""))
+            continue
+        place = {e: k for k, e in enumerate(ends(b, BYTES_B))}
+        links, groups, at = [], [], (0, 0)
+        for k, e in enumerate(ends(a, BYTES_A)):
+            if e in place:
+                to = (k + 1, place[e] + 1)
+                links.append((a[k], b[place[e]]))
+                groups.append(al.group_text(a[at[0] : to[0]], b[at[1] : to[1]]))
+                at = to
+        totals.update(links)
+        made.append((doc_id, len(a), len(b), links, hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    best = collections.Counter()
+    for (_, b), n in totals.items():
+        best[b] = max(best[b], n)
+    return sorted(
+        (
+            (
+                i, n_a, n_b, len(x), len(x), sum(totals[p] == best[p[1]] for p in x),
+                sum(totals[p] for p in x), sha,
+            )
+            for i, n_a, n_b, x, sha in made
+        ),
+        key=repr,
+    )
+
+
+def rows_of(df):
+    return sorted((tuple(r[c] for c in COLUMNS) for r in df.select(*COLUMNS).collect()), key=repr)
+
+
+@pytest.mark.parametrize("chunk_chars,block_links", [(1 << 15, 1 << 22), (61, 300)])
+def test_given_documents(spark, corpus, chunk_chars, block_links):
+    pairs, docs = corpus
+    found = al.aligned(docs, chunk_chars=chunk_chars, block_links=block_links)
+    assert rows_of(found) == brute(pairs)
+
+
+ODD = [
+    (20, "<|endoftext|> and <s> are </s> text <0x41>"),
+    (21, "a piece ▁ that is a blank " * 40),
+    (22, "two  blanks,\n\n  lines \t tabs \n and an end \n"),
+    (23, " begins with a blank"),
+    (24, "\n" * 300),
+    (25, " " * 300),
+    (26, "中文没有空格" * 200 + " and more " + "x" * 3000 + " y　z"),
+    (27, "a\x00b \x1c c\x85d it's we'll 12345 67 😀😀 ﬁ é"),
+]
+
+
+@pytest.mark.parametrize("chunk_chars", [7, 40, 1 << 15])
+def test_edges(spark, edges, chunk_chars):
+    rows = [(i, t, "en", "s", 1, 1, "x", 0.5) for i, t in ODD]
+    both = edges.unionByName(spark.createDataFrame(rows, edges.schema))
+    found = al.aligned(both, chunk_chars=chunk_chars, block_links=500)
+    assert rows_of(found) == brute([*texts(edges), *ODD])
+
+
+def test_empty_table(spark, nothing):
+    assert al.aligned(nothing).count() == 0
+
+
+def test_text_beyond_an_arrow_batch(spark):
+    text = " ".join(f"word{i % 5000} and" for i in range(1_600_000))
+    docs = spark.createDataFrame([(1, text), (2, text[:100])], "doc_id long, text string")
+    assert rows_of(al.aligned(docs)) == brute([(1, text), (2, text[:100])])
+
+
+def test_chunks_cover_the_text():
+    draw = random.Random(3)
+    for _ in range(300):
+        text = " " + "".join(draw.choice("ab  \né\t") for _ in range(draw.randrange(1, 90)))
+        text += "x" * draw.choice([0, 2000])
+        for chars in (1, 3, 10):
+            pieces = al.chunks_of(text, chars)
+            assert "".join(b.encode()[low:high].decode() for b, low, high in pieces) == text
+            assert all(high > low for _, low, high in pieces)
+
+
+def test_composition_is_associative():
+    draw = random.Random(4)
+
+    def fragment():
+        ids = [[draw.randrange(9) for _ in range(draw.randrange(3))] for _ in range(4)]
+        cut = draw.random() < 0.5
+        return al.Fragment(cut, *ids[:2], *(ids[2:] if cut else ([], [])))
+
+    def state(f):
+        return [getattr(f, c) for c in al.Fragment.__slots__]
+
+    for _ in range(500):
+        x, y, z = fragment(), fragment(), fragment()
+        left, right = x.then(y), y.then(z)
+        one, other = left[0].then(z), x.then(right[0])
+        assert state(one[0]) == state(other[0])
+        groups = [[g for g in pair if g] for pair in ((left[1], one[1]), (other[1], right[1]))]
+        assert groups[0] == groups[1]
+
+
+def test_stretches_give_the_text_back():
+    draw = random.Random(5)
+    for _ in range(500):
+        text = " " + "".join(draw.choice("ab  \n\té ") for _ in range(draw.randrange(12)))
+        assert "".join(map(al.whole, al.stretches(text))) == text
