@@ -10,6 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Value of ``exact`` for sums of any doubles, see ``operators.anysum``.
+DOUBLES = "doubles"
+
 
 def finite(value: Column) -> Column:
     """The value as a double; NULL for NaN and the infinities, which Spark orders above all."""

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from fractions import Fraction
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.keys import after, up_to
@@ -123,52 +123,66 @@ class ChronoSplit:
         raise ValueError(f"split must be one of {SPLITS}, not {split!r}")
 
 
+def rows_per_day(df: DataFrame, time: str) -> DataFrame:
+    """``day, n_rows``, combined before the exchange: a row per day of the calendar."""
+    return df.groupBy(F.to_date(F.col(time)).alias("day")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def fit_chrono_split(
-    df: DataFrame, order: Sequence[str], held_out: Fraction = Fraction(1, 5)
+    df: DataFrame,
+    order: Sequence[str],
+    held_out: Fraction = Fraction(1, 5),
+    per_day: DataFrame | None = None,
 ) -> ChronoSplit:
     """Find the exact 64 / 16 / 20 % cut points (for 1/5) in ascending ``order``.
 
-    ``order`` starts with a date or timestamp and must be total. First, rows are
-    counted per calendar day, combined before the exchange: at most one row per
-    day comes back. Then only the days that contain a cut are looked into. Pass
-    a written table: it is scanned a few times, one or a few columns each.
+    ``order`` starts with a date or timestamp and must be total. Rows before each day come
+    from running sums over ``per_day``, a kept table ``day, n_rows`` of ``df``, or else from
+    counting ``df``; at most the two days that hold a cut come back, and only their rows are
+    looked into. Pass a written table: the days are scanned a few times, one or a few
+    columns each. A ``per_day`` that does not fit the rows of its days is an error.
     """
     order = tuple(order)
     types = dict(df.dtypes)
-    day = F.to_date(F.col(order[0])).cast("string")
-    per_day = sorted(
-        (
-            (row["d"], row["n"])
-            for row in df.groupBy(day.alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()
-        ),
-        key=lambda item: (item[0] is not None, item[0] or ""),
+    if per_day is None:
+        per_day = materialize(rows_per_day(df, order[0]), "rows-per-day")
+    total = per_day.agg(F.sum("n_rows")).first()[0] or 0
+    sizes = split_sizes(total, held_out)
+    train, validation = sizes[0], sizes[0] + sizes[1] if sizes[1] else 0
+    # One row per day of the calendar: a running sum over all of them is small.
+    along = Window.orderBy(F.col("day").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    until = per_day.withColumn("until", F.sum("n_rows").over(along))
+    ends = F.array(F.lit(train), F.lit(validation))
+    cuts = (
+        until.select("day", "n_rows", "until", F.explode(ends).alias("position"))
+        .where((F.col("position") > F.col("until") - F.col("n_rows")) & (F.col("position") <= F.col("until")))
+        .select(F.col("day").cast("string"), "n_rows", (F.col("until") - F.col("n_rows")).alias("before"), "position")
+        .distinct()
+        .collect()
     )
-    sizes = split_sizes(sum(n for _, n in per_day), held_out)
+    found = {row["position"]: row for row in cuts}
 
     def row_at(position: int) -> tuple[str | None, ...] | None:
         if position == 0:
             return None
-        before = 0
-        for value, n in per_day:
-            if position <= before + n:
-                if value is None:
-                    inside = df.where(F.col(order[0]).isNull())
-                else:
-                    start = F.lit(value).cast("date")
-                    column = F.col(order[0])
-                    inside = df.where((column >= start) & (column < F.date_add(start, 1)))
-                return nth_row(inside, order, position - before)
-            before += n
-        raise AssertionError(position)
-
-    train_last = row_at(sizes[0])
-    validation_last = row_at(sizes[0] + sizes[1]) if sizes[1] else None
+        cut = found[position]
+        if cut["day"] is None:
+            inside = df.where(F.col(order[0]).isNull())
+        else:
+            start = F.lit(cut["day"]).cast("date")
+            column = F.col(order[0])
+            inside = df.where((column >= start) & (column < F.date_add(start, 1)))
+        return nth_row(inside, order, position - cut["before"], cut["n_rows"])
+
+    train_last, validation_last = row_at(train), row_at(validation)
     return ChronoSplit(
         order, tuple(types[c] for c in order), sizes, train_last, validation_last
     )
 
 
-def nth_row(df: DataFrame, order: Sequence[str], position: int) -> tuple[str | None, ...]:
+def nth_row(
+    df: DataFrame, order: Sequence[str], position: int, rows: int | None = None
+) -> tuple[str | None, ...]:
     """Order values, as text, of the row at 1-based ``position`` in ascending ``order``.
 
     Narrows by fences: distinct order tuples are range-partitioned, one count
@@ -177,7 +191,7 @@ def nth_row(df: DataFrame, order: Sequence[str], position: int) -> tuple[str | N
     ``FETCH`` of them; those are fetched.
 
     Raises if rows beyond ``position`` share its order values, since no
-    comparison could then tell them apart.
+    comparison could then tell them apart, or if ``df`` does not have ``rows`` rows.
     """
     order = list(order)
     types = dict(df.dtypes)
@@ -210,6 +224,8 @@ def nth_row(df: DataFrame, order: Sequence[str], position: int) -> tuple[str | N
             )
             .collect()
         )
+        if tuples is None and rows not in (None, sum(fence["n"] for fence in fences)):
+            raise ValueError(f"the kept rows per day do not fit the table: {rows} expected")
         for fence in sorted(fences, key=lambda row: row["p"]):
             if left <= fence["n"]:
                 break
@@ -264,3 +280,29 @@ def split_profile(df: DataFrame, columns: Sequence[str], split: str = "split") -
             for c in columns
         ],
     )
+
+
+def write_profiled(
+    df: DataFrame, split: ChronoSplit, columns: Sequence[str], path: str
+) -> tuple[DataFrame, DataFrame]:
+    """Write ``df`` to ``path``; returns it as read back, and its ``split_profile``.
+
+    Rows and NULLs are counted by the write itself, so the profile costs no scan.
+    """
+    spark, seen = df.sparkSession, Observation()
+    labelled = split.label(df, "_split")
+    counts = []
+    for i, name in enumerate(SPLITS):
+        inside = F.col("_split") == name
+        counts.append(F.count_if(inside).alias(f"{i}_rows"))
+        counts += [F.count_if(inside & F.col(c).isNull()).alias(f"{i}_{k}") for k, c in enumerate(columns)]
+    labelled.observe(seen, *counts).drop("_split").write.parquet(path)
+    found = seen.get
+    rows = [
+        (name, found[f"{i}_rows"], *[found[f"{i}_{k}"] for k in range(len(columns))])
+        for i, name in enumerate(SPLITS)
+        if found[f"{i}_rows"]
+    ]
+    names = ["split string", "n_rows bigint", *[f"`{c}_nulls` bigint" for c in columns]]
+    profile = spark.createDataFrame(rows, ", ".join(names))
+    return spark.read.schema(df.schema).parquet(path), profile

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import (
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.operators.chrono import chrono_rank
+from demandloom.session import materialize
 
 Vocabulary = Mapping[str, Sequence[str]]
 
@@ -155,6 +157,76 @@ def fit_encoder(df: DataFrame, vocabulary: Vocabulary, numeric: Sequence[str]) -
     return Pipeline(stages=encoding_stages(vocabulary, numeric)).fit(df.limit(0))
 
 
+@dataclass(frozen=True)
+class SparseEncoder:
+    """One-hot encoding by a table of categories, for more of them than a driver should hold.
+
+    ``table`` has ``column, value, position`` and stays distributed; only the number of
+    categories per column is known here.
+    """
+
+    table: DataFrame
+    sizes: Mapping[str, int]
+
+    def index(self, df: DataFrame) -> DataFrame:
+        """Add ``<column>_index``: the position, or the number of categories if unseen or NULL.
+
+        One join per column. A category that holds much of ``df`` is split by the adaptive
+        skew join, as each category is one row of the table.
+        """
+        require_columns(df, list(self.sizes))
+        for c, size in self.sizes.items():
+            known = self.table.where(F.col("column") == c).select(
+                F.col("value").alias("_value"), F.col("position").cast("double").alias("_position")
+            )
+            df = df.join(known, F.col(f"`{c}`").cast("string") == F.col("_value"), "left")
+            index = F.coalesce("_position", F.lit(float(size)))
+            df = df.withColumn(f"{c}_index", index).drop("_value", "_position")
+        return df
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``<column>_onehot``, a sparse vector with a slot per category, all zeros for the
+        unseen. Columns ``<column>_index`` stay."""
+        columns = list(self.sizes)
+        fields = ", ".join(f"`{c}_index` double" for c in columns)
+        # The last index, which the fit finds here, is the one that is encoded as no slot.
+        last = df.sparkSession.createDataFrame([tuple(float(self.sizes[c]) for c in columns)], fields)
+        model = OneHotEncoder(
+            inputCols=[f"{c}_index" for c in columns],
+            outputCols=[f"{c}_onehot" for c in columns],
+            dropLast=True,
+        ).fit(last)
+        return model.transform(self.index(df))
+
+    def save(self, path: str) -> None:
+        self.table.write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> SparseEncoder:
+        table = spark.read.schema("column string, value string, position int").parquet(path)
+        return cls(table, _sizes(table))
+
+
+def fit_sparse_encoder(df: DataFrame, columns: Sequence[str]) -> SparseEncoder:
+    """The categories of ``columns`` in sorted order, in a written table.
+
+    Numbered over range partitions like ``category_vocab``; no category reaches the driver.
+    A column without any value is an error.
+    """
+    table = materialize(category_vocab(df, columns).select("column", "value", "position"), "categories")
+    sizes = _sizes(table)
+    missing = [c for c in columns if c not in sizes]
+    if missing:
+        raise ValueError(f"no category in {', '.join(missing)}")
+    return SparseEncoder(table, {c: sizes[c] for c in columns})
+
+
+def _sizes(table: DataFrame) -> dict[str, int]:
+    """Categories per column: one row each."""
+    counted = table.groupBy("column").agg(F.count(F.lit(1)).alias("n"))
+    return {r["column"]: r["n"] for r in counted.collect()}
+
+
 def encoded_slots(encoder: Transformer, df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Per column, how many ones its vector has and at which slot (NULL for all zeros)."""
     from pyspark.ml.functions import vector_to_array

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from demandloom.functions.exact import exact_sum, finite, hundredths, sum_of_squares
+from demandloom.functions.exact import DOUBLES, exact_sum, finite, hundredths, sum_of_squares
+from demandloom.operators.anysum import exact_sums
+from demandloom.session import materialize
 
 
 def long_predictions(
@@ -28,7 +30,7 @@ def regression_metrics(
     label: str,
     prediction: str,
     by: Sequence[str] = (),
-    exact: bool = False,
+    exact: bool | str = False,
 ) -> DataFrame:
     """``n_rows, mae, rmse, r2`` over rows with both values, per ``by`` group, in one pass.
 
@@ -47,14 +49,17 @@ def model_metrics(
     label: str,
     predictions: Mapping[str, str],
     by: Sequence[str] = (),
-    exact: bool = False,
+    exact: bool | str = False,
     name: str = "model",
 ) -> DataFrame:
     """The same for several prediction columns: one aggregate over the rows as they are.
 
     One row per model and group; the few results are turned into rows, not the input.
-    A model without a scored row has ``n_rows`` 0 and no scores.
+    A model without a scored row has ``n_rows`` 0 and no scores. ``exact="doubles"`` adds up
+    any doubles exactly, in a second pass the squares around the mean label.
     """
+    if exact == DOUBLES:
+        return _metrics_of_doubles(df, label, predictions, by, name)
     y = finite(F.col(label))
     sums, scores = [], []
     for i, (model, column) in enumerate(predictions.items()):
@@ -107,6 +112,51 @@ def _metrics(y: Column, p: Column, tag: str, exact: bool) -> tuple[list[Column],
     return sums, [n.alias("n_rows"), mae.alias("mae"), rmse.alias("rmse"), r2.alias("r2")]
 
 
+def _metrics_of_doubles(
+    df: DataFrame, label: str, predictions: Mapping[str, str], by: Sequence[str], name: str
+) -> DataFrame:
+    y, groups = finite(F.col(label)), [f"_by{i}" for i in range(len(by))]
+    columns = [F.col(c).alias(g) for c, g in zip(by, groups, strict=True)]
+    for i, column in enumerate(predictions.values()):
+        p = finite(F.col(column))
+        both = y.isNotNull() & p.isNotNull()
+        columns += [F.when(both, y).alias(f"_y{i}"), F.when(both, p).alias(f"_p{i}")]
+    rows, of = df.select(*columns), range(len(predictions))
+    sums: dict[str, Column] = {}
+    for i in of:
+        error = F.col(f"_y{i}") - F.col(f"_p{i}")
+        sums |= {f"_sum{i}": F.col(f"_y{i}"), f"_abs{i}": F.abs(error), f"_sse{i}": error * error}
+    first = exact_sums(rows, groups, sums, {f"_sum{i}": f"_n{i}" for i in of})
+    first = materialize(first, "metric-sums")
+    held = [F.col(g).alias(f"_of{g}") for g in groups]
+    means = first.select(*held, *[(F.col(f"_sum{i}") / _some(f"_n{i}")).alias(f"_mean{i}") for i in of])
+    apart = [F.col(f"_y{i}") - F.col(f"_mean{i}") for i in of]
+    around = {f"_sst{i}": d * d for i, d in enumerate(apart)}
+    second = exact_sums(rows.join(means, _same(groups)), groups, around).select(
+        *held, *[f"_sst{i}" for i in of]
+    )
+    scores = []
+    for i, model in enumerate(predictions):
+        n, big = F.col(f"_n{i}"), _some(f"_n{i}")
+        mae, rmse = F.col(f"_abs{i}") / big, F.sqrt(F.col(f"_sse{i}") / big)
+        r2 = _r2(n, F.col(f"_sse{i}"), F.col(f"_sst{i}"))
+        named = {name: F.lit(model), "n_rows": n, "mae": mae, "rmse": rmse, "r2": r2}
+        scores.append(F.struct(*[c.alias(k) for k, c in named.items()]))
+    back = [F.col(g).alias(c) for c, g in zip(by, groups, strict=True)]
+    return first.join(second, _same(groups)).select(*back, F.inline(F.array(*scores)))
+
+
+def _some(count: str) -> Column:
+    return F.when(F.col(count) > 0, F.col(count))
+
+
+def _same(groups: Sequence[str]) -> Column:
+    same = F.lit(True)
+    for g in groups:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of{g}"))
+    return same
+
+
 def _fits(value: Column, n: Column) -> Column:
     too_large = F.raise_error(F.lit("labels too large for exact metrics"))
     return F.when(n > 0, F.coalesce(value, too_large))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from demandloom.functions.keys import composite_key, zero_filled
+from demandloom.session import materialize
 
 
 def fill_cold_start(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -49,6 +50,37 @@ def key_audit(df: DataFrame, key: Sequence[str]) -> DataFrame:
     )
 
 
+def composite_key_audit(
+    df: DataFrame, name: str, time: str, parts: Sequence[str], sep: str = "-"
+) -> DataFrame:
+    """``key_audit`` of the composite key of rows unique in ``time`` and ``parts``, as facts are.
+
+    A key of parts that are all there and hold no separator can be read back, so two such
+    rows never share one: every repeated key has a row of the other kind. Only those rows,
+    and plain ones whose key is among theirs, are grouped; all others are only counted.
+    """
+    plain = F.col(time).isNotNull() & F.year(time).between(0, 9999)
+    for part in parts:
+        plain = plain & F.col(part).isNotNull() & ~F.contains(F.col(part).cast("string"), F.lit(sep))
+    rows = df.select(composite_key(time, parts, sep).alias(name), plain.alias("_plain"))
+    odd = materialize(rows.where(~F.col("_plain")).select(name), "odd-keys")
+    met = rows.where("_plain").select(name).join(odd.distinct(), name, "left_semi")
+    repeated = key_audit(odd.unionByName(met), [name]).drop("n_rows", "n_empty_keys")
+    counts = rows.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col(name) == "").alias("n_empty_keys")
+    )
+    # One row each.
+    return counts.join(F.broadcast(repeated)).select("n_rows", "n_empty_keys", "n_repeated_keys", "n_rows_repeated")
+
+
+def require_composite_key(df: DataFrame, name: str, time: str, parts: Sequence[str]) -> DataFrame:
+    """``df`` itself if its rows, unique in ``time`` and ``parts``, have keys of their own; an error if not."""
+    audit = composite_key_audit(df, name, time, parts).first().asDict()
+    if audit["n_repeated_keys"]:
+        raise ValueError(f"{name} is not a key: {audit}")
+    return df
+
+
 def require_key(df: DataFrame, key: Sequence[str], allow_empty: bool = False) -> DataFrame:
     """``df`` itself if ``key`` is unique and never empty; an error with the counts if not.
 

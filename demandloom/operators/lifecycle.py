@@ -2,7 +2,8 @@
 
 ``model_runs`` has one row per training run, ``model_versions`` one per
 registered version, ``promotion_log`` one per alias assignment. Nothing is
-updated in place: the current state is a query over the log.
+updated in place: the current state is a query over the log. ``commit`` is the number
+of the row in its log, which says what came first where clocks may differ.
 """
 
 from __future__ import annotations
@@ -18,14 +19,15 @@ from demandloom.functions.exact import finite
 RUNS = (
     "run_id string, run_name string, status string, params map<string,string>, "
     "tags map<string,string>, validation_mae double, validation_rmse double, "
-    "validation_r2 double, model_path string, started_at timestamp"
+    "validation_r2 double, model_path string, started_at timestamp, commit bigint"
 )
 VERSIONS = (
-    "model_name string, version bigint, run_id string, model_path string, registered_at timestamp"
+    "model_name string, version bigint, run_id string, model_path string, "
+    "registered_at timestamp, commit bigint"
 )
 ALIASES = (
     "model_name string, alias string, version bigint, tags map<string,string>, "
-    "assigned_at timestamp"
+    "assigned_at timestamp, commit bigint"
 )
 
 FINISHED = "FINISHED"

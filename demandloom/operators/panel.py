@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from demandloom.functions.exact import hundredths, mean_of_hundredths
+from demandloom.functions.exact import DOUBLES, hundredths, mean_of_hundredths
 from demandloom.functions.keys import calendar
 from demandloom.operators.chrono import place_in_order
 
@@ -21,13 +21,16 @@ def lag_columns(target: str, lags: Mapping[int, str], window: WindowSpec) -> dic
     return {name: F.lag(target, rows).over(window) for rows, name in lags.items()}
 
 
-def trailing_mean(target: str, rows: int, window: WindowSpec, exact: bool = False) -> Column:
+def trailing_mean(
+    target: str, rows: int, window: WindowSpec, exact: bool | str = False
+) -> Column:
     """Mean of up to ``rows`` preceding rows without the current one, two decimals.
 
-    NULL where there is no preceding value.
+    NULL where there is no preceding value. A frame of doubles is added up in the order of
+    the window, so it too is the same however rows are dealt: nothing more for ``"doubles"``.
     """
     frame = window.rowsBetween(-rows, -1)
-    if not exact:
+    if not exact or exact == DOUBLES:
         return F.round(F.avg(target).over(frame), 2)
     total = F.sum(hundredths(F.col(target))).over(frame)
     return mean_of_hundredths(total, F.count(target).over(frame))
@@ -41,7 +44,7 @@ def series_features(
     lags: Mapping[int, str] | None = None,
     rolling: str | None = None,
     rolling_rows: int = 7,
-    exact: bool = False,
+    exact: bool | str = False,
 ) -> DataFrame:
     """Lags and trailing mean in one window pass: one exchange, one sort.
 
@@ -64,7 +67,7 @@ def hot_series_features(
     lags: Mapping[int, str] | None = None,
     rolling: str | None = None,
     rolling_rows: int = 7,
-    exact: bool = False,
+    exact: bool | str = False,
     parts: int | None = None,
 ) -> DataFrame:
     """Same result as ``series_features`` for series too long for one task.

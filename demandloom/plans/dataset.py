@@ -7,13 +7,16 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from demandloom import settings as s
-from demandloom.operators.chrono import ChronoSplit, fit_chrono_split
+from demandloom.operators.chrono import SPLITS, ChronoSplit, fit_chrono_split, write_profiled
 from demandloom.operators.encode import require_columns
 from demandloom.operators.keyed import lookup_features
 from demandloom.operators.trees import score
 from demandloom.session import scratch_path
-from demandloom.sources.tables import read_table, remove_path
+from demandloom.sources.snapshots import locate
+from demandloom.sources.tables import beside, committed, read_tables, remove_path, split_path
 
+# Rows per day of the features, a table beside them: what the split is found from.
+DAYS = "days"
 # The key alone can collide; with the series columns the order is total.
 ORDER = (s.TIME, s.KEY, *s.SERIES)
 
@@ -22,6 +25,7 @@ ORDER = (s.TIME, s.KEY, *s.SERIES)
 class Dataset:
     """Joined rows in a written table, and the cut points of the chronological split.
 
+    ``profile`` has rows and NULLs per split where the write counted them.
     ``path`` is the folder of the rows if this object owns it; ``close``, or leaving a
     ``with`` block, deletes it and what was scored on it.
     """
@@ -29,6 +33,7 @@ class Dataset:
     rows: DataFrame
     split: ChronoSplit
     path: str | None = None
+    profile: DataFrame | None = None
     _scored: dict[str, str] = field(default_factory=dict)
     _test: DataFrame | None = None
     _scratch: list[str] = field(default_factory=list)
@@ -71,34 +76,50 @@ class Dataset:
 
 
 def training_set(spark: SparkSession, tables: s.Tables, fmt: str = "parquet") -> DataFrame:
-    """Labels with their features."""
-    return lookup_features(
-        read_table(spark, tables.labels, fmt), read_table(spark, tables.features, fmt), s.KEY
-    )
+    """Labels with their features, both as one commit left them."""
+    labels, features = read_tables(spark, [tables.labels, tables.features], fmt)
+    return lookup_features(labels, features, s.KEY)
 
 
 def build_dataset(
     spark: SparkSession, tables: s.Tables, fmt: str = "parquet", path: str | None = None
 ) -> Dataset:
-    """The joined rows written to ``path``, a scratch folder by default, and their split."""
-    path = path or scratch_path(spark, "training-set")
-    joined = training_set(spark, tables, fmt)
-    joined.write.parquet(path)
-    data = split_dataset(spark.read.schema(joined.schema).parquet(path))
-    data.path = path
-    return data
-
+    """The joined rows written to ``path``, a scratch folder by default, and their split.
 
-def split_dataset(written: DataFrame) -> Dataset:
+    Where the refresh has kept the rows per day in the same commit, the cuts are found
+    from them, and only the days that hold one are scanned. The write then counts rows and
+    NULLs per split: ``profile``.
+    """
+    path = path or scratch_path(spark, "training-set")
+    days = beside(tables.features, DAYS)
+    covered = committed(days, fmt) and locate(spark, [tables.labels, tables.features, days])
+    refs = [tables.labels, tables.features]
+    kept = covered and covered[days] != [days] and split_path(tables.labels)[0] == split_path(days)[0]
+    labels, features, *per_day = read_tables(spark, [*refs, days] if kept else refs, fmt)
+    joined = lookup_features(labels, features, s.KEY)
+    if not kept:
+        joined.write.parquet(path)
+        data = split_dataset(spark.read.schema(joined.schema).parquet(path))
+        data.path = path
+        return data
+    split = fit_chrono_split(features, ORDER, s.HELD_OUT, *per_day)
+    rows, profile = write_profiled(joined, split, joined.columns, path)
+    found = {r["split"]: r["n_rows"] for r in profile.collect()}
+    if tuple(found.get(name, 0) for name in SPLITS) != split.sizes:
+        raise ValueError(f"rows per split are {found}, by the kept rows per day {split.sizes}")
+    return Dataset(rows, split, path, profile)
+
+
+def split_dataset(written: DataFrame, per_day: DataFrame | None = None) -> Dataset:
     require_columns(written, ORDER)
-    return Dataset(written, fit_chrono_split(written, ORDER, s.HELD_OUT))
+    return Dataset(written, fit_chrono_split(written, ORDER, s.HELD_OUT, per_day))
 
 
 # The record of a written data set: what it takes to open it again, cut points included.
 RECORD = (
     "path string, order array<string>, types array<string>, sizes array<bigint>, "
     "train_last array<string>, validation_last array<string>, schema string, "
-    "created_at timestamp"
+    "created_at timestamp, commit bigint"
 )
 
 

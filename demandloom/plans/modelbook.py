@@ -1,8 +1,14 @@
-"""State of the model lifecycle: three append-only tables and a folder of models."""
+"""State of the model lifecycle: append-only logs and a folder of models.
+
+Every entry of a log is a commit of its own: jobs that register or assign at the same time
+get different numbers, and the order of the numbers is the order of events, whatever the
+clocks of the drivers say.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -13,45 +19,61 @@ from pyspark.sql.types import StructType
 from demandloom.operators import lifecycle as lc
 from demandloom.operators.trees import load_model, save_model
 from demandloom.plans.dataset import RECORD, Dataset, as_record, from_record
-from demandloom.sources.tables import append_rows, is_path, read_or_empty, remove_path
+from demandloom.sources.commits import CommitLog
+from demandloom.sources.tables import is_path, remove_path
 
 
 def _now() -> datetime:
     return datetime.now(timezone.utc)
 
 
+def _as_json(value):
+    return value.isoformat() if isinstance(value, datetime) else value
+
+
 @dataclass(frozen=True)
 class ModelBook:
-    """Reads and appends the lifecycle tables.
+    """Reads and appends the lifecycle logs.
 
     ``root`` is a folder on shared storage, or the beginning of catalog names, as
     ``db.models`` for ``db.models_model_runs``; ``artifacts`` is the folder of models
-    and data sets, by default below a ``root`` that is a folder.
+    and data sets, by default below a ``root`` that is a folder. A log is a folder of JSON
+    entries below ``root``, or below ``artifacts`` and a catalog table over it.
     """
 
     spark: SparkSession
     root: str
     artifacts: str | None = None
-    fmt: str = "parquet"
 
     def __post_init__(self):
         if not is_path(self.root) and not self.artifacts:
             raise ValueError("catalog tables need a folder for the models: artifacts")
 
-    def _ref(self, name: str) -> str:
-        return f"{self.root}/{name}" if is_path(self.root) else f"{self.root}_{name}"
+    def _log(self, name: str) -> CommitLog:
+        folder = f"{self.root}/{name}" if is_path(self.root) else self.folder(f"logs/{name}")
+        return CommitLog(self.spark, folder)
 
     def folder(self, name: str) -> str:
         return f"{self.artifacts or self.root + '/artifacts'}/{name}"
 
-    def _append(self, name: str, ddl: str, row: dict) -> None:
-        schema = StructType.fromDDL(ddl)
-        values = [tuple(row[f] for f in schema.fieldNames())]
-        rows = self.spark.createDataFrame(values, schema).coalesce(1)
-        append_rows(rows, self._ref(name), self.fmt)
+    def _append(self, name: str, ddl: str, row: dict | Callable[[], dict]) -> dict:
+        """Publish a row, made anew from the logs as they are if another writer was faster."""
+        log = self._log(name)
+        fields = [f for f in StructType.fromDDL(ddl).fieldNames() if f != "commit"]
+
+        def make(_: int) -> dict:
+            values = row() if callable(row) else row
+            return {f: _as_json(values[f]) for f in fields}
+
+        entry = log.append(make)
+        if not is_path(self.root):
+            table = f"{self.root}_{name}"
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING json LOCATION '{log.folder}'")
+            self.spark.catalog.refreshTable(table)
+        return entry
 
     def _read(self, name: str, ddl: str) -> DataFrame:
-        return read_or_empty(self.spark, self._ref(name), ddl, self.fmt)
+        return self._log(name).frame(ddl)
 
     def runs(self) -> DataFrame:
         return self._read("model_runs", lc.RUNS)
@@ -93,14 +115,21 @@ class ModelBook:
         return run_id
 
     def register(self, model_name: str, run: Row) -> int:
-        """A new version of ``model_name`` pointing at the run's model."""
+        """A new version of ``model_name`` pointing at the run's model.
+
+        Of two jobs that register at the same time the later one sees the other's version
+        and takes the next number.
+        """
         candidate = self.spark.createDataFrame(
             [(model_name, run["run_id"], run["model_path"])],
             "model_name string, run_id string, model_path string",
         )
-        row = lc.next_versions(candidate, self.versions()).first()
-        self._append("model_versions", lc.VERSIONS, {**row.asDict(), "registered_at": _now()})
-        return row["version"]
+
+        def row() -> dict:
+            numbered = lc.next_versions(candidate, self.versions()).first()
+            return {**numbered.asDict(), "registered_at": _now()}
+
+        return self._append("model_versions", lc.VERSIONS, row)["version"]
 
     def assign(self, model_name: str, alias: str, version: int, tags: dict[str, str]) -> None:
         self._append(
@@ -133,18 +162,18 @@ class ModelBook:
         return from_record(self.spark, record)
 
     def _latest_dataset(self) -> Row | None:
-        return self._read("data_sets", RECORD).orderBy("created_at", ascending=False).first()
+        return self._read("data_sets", RECORD).orderBy("commit", ascending=False).first()
 
     def tags(self, model_name: str) -> DataFrame:
         """``version, tags``: of each version the newest value of every tag it was ever given."""
-        return lc.current_tags(self._of(self.aliases(), model_name), ["version"])
+        return lc.current_tags(self._of(self.aliases(), model_name), ["version"], ["commit"])
 
     def holder(self, model_name: str, alias: str, registered: bool = True) -> Row | None:
         """The version row behind an alias now, or None if the alias was never assigned.
 
         An alias of a version that is not there is an error, unless ``registered`` is off.
         """
-        current = lc.current_aliases(self._of(self.aliases(), model_name))
+        current = lc.current_aliases(self._of(self.aliases(), model_name), newest=["commit"])
         assigned = current.where(current["alias"] == alias).first()
         if assigned is None:
             return None

@@ -32,11 +32,11 @@ def _champion(book: ModelBook, lifecycle: s.Lifecycle) -> dict:
 
 
 def select(
-    data: Dataset, book: ModelBook, lifecycle: s.Lifecycle | None = None, exact: bool = False
+    data: Dataset, book: ModelBook, lifecycle: s.Lifecycle | None = None, exact: bool | str = False
 ) -> Selection:
     lifecycle = lifecycle or s.Lifecycle()
     run = require_row(
-        best_run(book.runs(), lifecycle.metric, lifecycle.run_name),
+        best_run(book.runs(), lifecycle.metric, lifecycle.run_name, recency=["commit"]),
         f"no finished run named {lifecycle.run_name}",
     )
     path = run["model_path"]

@@ -35,7 +35,7 @@ def serve(
     lifecycle: s.Lifecycle | None = None,
     fmt: str = "parquet",
     compare: bool = True,
-    exact: bool = False,
+    exact: bool | str = False,
 ) -> Outcome:
     """Compare, promote and write the champion's predictions for the test split.
 
@@ -85,7 +85,7 @@ def serve(
     return outcome
 
 
-def _compare(scored: DataFrame, predicted: dict[str, str], lifecycle: s.Lifecycle, exact: bool):
+def _compare(scored: DataFrame, predicted: dict[str, str], lifecycle: s.Lifecycle, exact: bool | str):
     """All models' metrics over the same rows and the decision, as one job."""
     metrics = model_metrics(scored, s.TARGET, predicted, exact=exact)
     metrics = metrics.withColumnRenamed("model", "role")

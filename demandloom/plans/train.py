@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from demandloom import settings as s
@@ -18,13 +19,15 @@ def train(
     book: ModelBook,
     lifecycle: s.Lifecycle | None = None,
     spec: s.TreeSpec | None = None,
-    exact: bool = False,
+    exact: bool | str = False,
+    categorical: Sequence[str] = s.CATEGORICAL,
+    numeric: Sequence[str] = s.NUMERIC,
 ) -> str:
     """Returns the id of the recorded run. The vocabulary comes from the train split only."""
     lifecycle, spec = lifecycle or s.Lifecycle(), spec or s.TreeSpec()
     started = datetime.now(timezone.utc)
     train_rows = data.part("train")
-    model = fit_tree(train_rows, s.TARGET, s.CATEGORICAL, s.NUMERIC, spec, PREDICTION)
+    model = fit_tree(train_rows, s.TARGET, categorical, numeric, spec, PREDICTION)
     validated = regression_metrics(
         score(model, data.part("validation")), s.TARGET, PREDICTION, exact=exact
     )

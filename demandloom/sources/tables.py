@@ -7,13 +7,44 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
+from demandloom.sources.snapshots import Snapshots, locate
+
+# Formats of plain files, whose tables are replaced by a commit; others see to that themselves.
+FILE_FORMATS = ("parquet", "orc", "json", "csv", "text", "avro")
+
 
 def is_path(ref: str) -> bool:
     return "/" in ref
 
 
+def split_path(ref: str) -> tuple[str, str]:
+    """Root folder and name of a table by path."""
+    root, _, name = ref.rstrip("/").rpartition("/")
+    return root, name
+
+
+def beside(ref: str, name: str) -> str:
+    """The table called ``name`` in the folder or database of another."""
+    before, mark, _ = ref.rstrip("/").rpartition("/" if is_path(ref) else ".")
+    return f"{before}{mark}{name}"
+
+
+def committed(ref: str, fmt: str) -> bool:
+    return is_path(ref) and fmt.lower() in FILE_FORMATS
+
+
 def read_table(spark: SparkSession, ref: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(ref) if is_path(ref) else spark.table(ref)
+    """A table by catalog name or path; by path as of the last commit that covers it."""
+    return read_tables(spark, [ref], fmt)[0]
+
+
+def read_tables(spark: SparkSession, refs: Sequence[str], fmt: str = "parquet") -> list[DataFrame]:
+    """Several tables; those below one root as one commit left them, whatever is written meanwhile."""
+    paths = locate(spark, [ref for ref in refs if committed(ref, fmt)])
+    return [
+        spark.read.format(fmt).load(paths.get(ref, ref)) if is_path(ref) else spark.table(ref)
+        for ref in refs
+    ]
 
 
 def write_table(
@@ -28,14 +59,30 @@ def write_table(
 ) -> DataFrame:
     """Full-refresh write; returns the table as read back.
 
+    A table of plain files by path is replaced by a commit: until it is written as a whole
+    readers see the one before, and a failed write changes nothing. Other tables below the
+    same root stay. The files before the last commits go, see ``Snapshots.expire``.
+
     ``bucket_by`` (catalog tables only) shuffles once on write so that every
     later join or aggregate on those columns reads co-located files. Rows are
     brought together per bucket first, which leaves one file per bucket.
     """
     spark = df.sparkSession
+    if bucket_by and is_path(ref):
+        raise ValueError("bucketing needs a catalog table name")
+    if committed(ref, fmt):
+        root, name = split_path(ref)
+        snapshots = Snapshots(spark, root)
+        draft = snapshots.draft()
+        try:
+            draft.write(name, df, fmt, partition_by, options)
+            snapshots.commit(draft)
+        except BaseException:
+            draft.discard()
+            raise
+        snapshots.expire()
+        return draft.read(name, fmt)
     if bucket_by:
-        if is_path(ref):
-            raise ValueError("bucketing needs a catalog table name")
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         df = df.repartition(buckets, *bucket_by)
     writer = df.write.format(fmt).mode("overwrite").options(**(options or {}))

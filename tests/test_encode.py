@@ -135,3 +135,24 @@ def test_missing_numbers_train_and_score(spark, tmp_path):
     scored = score(reloaded, df)
     assert scored.columns == ["c", "x", "y", "predicted_demand"]
     assert scored.where("predicted_demand <> y").count() == 0
+
+
+def test_sparse_encoder_needs_no_list_of_categories(spark, tmp_path):
+    from demandloom.operators import encode
+
+    rows_ = [(k, f"v{k % 50:02d}", "x" if k % 3 else None) for k in range(500)]
+    frame = spark.createDataFrame(rows_, "id int, a string, b string")
+    encoder = encode.fit_sparse_encoder(frame.where("id < 40"), ["a", "b"])
+    assert encoder.sizes == {"a": 40, "b": 1}
+    encoder.save(str(tmp_path / "categories"))
+    again = encode.SparseEncoder.load(spark, str(tmp_path / "categories"))
+    assert dict(again.sizes) == dict(encoder.sizes)
+    for row in again.transform(frame).collect():
+        slot = row["id"] % 50
+        assert row["a_onehot"].size == 40 and row["b_onehot"].size == 1
+        assert list(row["a_onehot"].indices) == ([slot] if slot < 40 else [])
+        assert list(row["b_onehot"].indices) == ([0] if row["b"] else [])
+    with pytest.raises(ValueError, match="no category in b"):
+        encode.fit_sparse_encoder(frame.where("b is null"), ["a", "b"])
+    with pytest.raises(KeyError):
+        encode.fit_sparse_encoder(frame, ["c"])

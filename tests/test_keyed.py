@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from demandloom import settings as s
 from demandloom.operators import keyed
@@ -70,3 +71,19 @@ def test_split_and_training_frame(spark):
     looked_up = keyed.lookup_features(y, x, s.KEY)
     assert keyed.training_frame(looked_up, s.TIME, s.KEY).columns == [s.TARGET, *s.SERIES]
     assert s.KEY in keyed.training_frame(looked_up, s.TIME, s.KEY, keep_key=True).columns
+
+
+def test_composite_audit_equals_the_plain_one(spark):
+    """Parts with separators, NULL and empty parts, in every combination."""
+    from demandloom.operators.keyed import composite_key_audit, key_audit, with_key
+
+    parts = [None, "", "a", "b", "a-b", "-", "20260105", "20260105-a"]
+    days = [None, "2026-01-05", "2026-01-06"]
+    tuples = [(d, p, q) for d in days for p in parts for q in parts]
+    frame = spark.createDataFrame(tuples, "d string, p string, q string").withColumn(
+        "d", F.col("d").cast("date")
+    )
+    plain_only = frame.where("d is not null and p in ('a', 'b') and q in ('a', '')")
+    for rows_ in (frame, plain_only, frame.limit(0)):
+        plain = key_audit(with_key(rows_, "k", "d", ["p", "q"]), ["k"]).first()
+        assert composite_key_audit(rows_, "k", "d", ["p", "q"]).first() == plain
