@@ -231,7 +231,8 @@ SILVER_OF_FEED = """silver AS (
               AS line_rank
     FROM bronze) WHERE line_rank = 1)"""
 
-REFRESHED = _with(BRONZE_WIDE, SILVER_OF_FEED, _gold(), FEATURES, KEYED) + (
+FED = (BRONZE_WIDE, SILVER_OF_FEED, _gold(), FEATURES, KEYED)
+REFRESHED = _with(*FED) + (
     f"SELECT total_demand, {FEATURE_COLUMNS} FROM keyed"
 )
 
@@ -259,8 +260,68 @@ best AS (
   WHERE n_low >= 15 AND n_high >= 15
   ORDER BY y_low * y_low / n_low + y_high * y_high / n_high DESC LIMIT 1)"""
 
+EXACT = 2**41  # every price times 8 or more is a whole number of its parts
+
+
+def _exact(total: str) -> str:
+    """A whole number of parts as a double: two halves that fit one, added with one rounding."""
+    halves = [f"CAST(abs({total}) {op} CAST({2**53} AS HUGEINT) AS DOUBLE)" for op in ("//", "%")]
+    return f"sign({total}) * ({halves[0]} * {2**53}.0 + {halves[1]}) / {EXACT}.0"
+
+
 ORACLE: dict[str, str] = {
     "refresh_features": REFRESHED,
+    "refresh_daily": REFRESHED,
+    "feature_table_properties": _with(*FED)
+    + """SELECT 'primary_key' AS property, 'primary_key' AS value
+UNION ALL SELECT 'tag.owner', 'planning' UNION ALL SELECT 'tag.layer', 'features'
+UNION ALL SELECT 'comment', 'Daily demand'
+UNION ALL SELECT 'rows', CAST(count(*) AS VARCHAR) FROM keyed""",
+    "composite_key_audit": _with(
+        *BASE,
+        """parts AS (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS d,
+         CASE WHEN c_custkey % 3 > 0 THEN o_orderpriority END AS priority,
+         CASE WHEN c_custkey % 5 > 0 THEN concat_ws('-', o_orderstatus, n_name) END AS place
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)""",
+    )
+    + _audit("gold", KEY_SQL, "facts")
+    + "\nUNION ALL\n"
+    + _audit("parts", "concat_ws('-', strftime(d, '%Y%m%d'), priority, place)", "orders"),
+    "exact_double_sums": f"""
+SELECT l_returnflag, {_exact('mixed')} AS sum_mixed, {_exact('price')} AS sum_price, n_prices, n_rows
+FROM (SELECT l_returnflag, CAST(count(l_extendedprice) AS BIGINT) AS n_prices,
+             CAST(count(*) AS BIGINT) AS n_rows,
+             sum(CAST(l_extendedprice * power(2, 3 * l_linenumber) * {EXACT}.0
+                      * CASE WHEN l_linestatus = 'F' THEN -1 ELSE 1 END AS HUGEINT)) AS mixed,
+             sum(CAST(l_extendedprice * {EXACT}.0 AS HUGEINT)) AS price
+      FROM lineitem GROUP BY l_returnflag)""",
+    "one_hot_sparse": """
+WITH customers AS (
+  SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS slot,
+         CAST(count(*) OVER () AS INTEGER) AS size
+  FROM (SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS value FROM orders
+        WHERE o_orderstatus = 'F' AND o_custkey IS NOT NULL)),
+priorities AS (
+  SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS slot,
+         CAST(count(*) OVER () AS INTEGER) AS size
+  FROM (SELECT DISTINCT o_orderpriority AS value FROM orders
+        WHERE o_orderstatus = 'F' AND o_orderpriority IS NOT NULL))
+SELECT o_orderkey, (SELECT max(size) FROM customers) AS o_custkey_size, c.slot AS o_custkey_slot,
+       CASE WHEN c.slot IS NOT NULL THEN CAST(1 AS DOUBLE) END AS o_custkey_value,
+       (SELECT max(size) FROM priorities) AS o_orderpriority_size, p.slot AS o_orderpriority_slot,
+       CASE WHEN p.slot IS NOT NULL THEN CAST(1 AS DOUBLE) END AS o_orderpriority_value
+FROM orders LEFT JOIN customers c ON c.value = CAST(o_custkey AS VARCHAR)
+LEFT JOIN priorities p ON p.value = o_orderpriority""",
+    "alias_by_commit": """
+SELECT user_id AS model_id, event_type AS alias, max(event_id) AS "commit"
+FROM events GROUP BY user_id, event_type""",
+    "lifecycle_round": _with(*FED, _split(), STUMP)
+    + f"""SELECT {FEATURE_COLUMNS}, total_demand AS actual_demand,
+       CASE WHEN CASE WHEN f = 'month' THEN month ELSE day_of_week END <= v
+            THEN low ELSE high END AS predicted_demand,
+       'promoted' AS status, CAST(1 AS BIGINT) AS version
+FROM split, best WHERE split = 'test'""",
     "refresh_features_lean": REFRESHED,
     "default_rounding": _with(*SCORED)
     + "\nUNION ALL\n".join(

@@ -6,6 +6,7 @@ than once write it first; everything else is one lazy plan.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce, wraps
@@ -21,13 +22,19 @@ from demandloom.functions.exact import finite
 from demandloom.operators.publish import prediction_table as publish
 from demandloom.operators.refine import dedup_by_key as dedup
 from demandloom.operators.refine import drop_metadata as without_metadata
-from demandloom.plans.dataset import ORDER, Dataset, split_dataset
+from demandloom.operators.anysum import exact_sums
+from demandloom.plans.daily import refresh_daily as daily_refresh
+from demandloom.plans.dataset import ORDER, Dataset, build_dataset, split_dataset
 from demandloom.plans.modelbook import ModelBook
 from demandloom.plans.refresh import gold, gold_features, refresh
+from demandloom.plans.select import select
+from demandloom.plans.serve import serve
+from demandloom.plans.train import train
 from demandloom.session import materialize, prepare, scratch_path
 from demandloom.sources.files import read_csv, stamp_ingestion
 from demandloom.sources.schemas import transactions_schema
-from demandloom.sources.tables import read_table, write_table
+from demandloom.sources.snapshots import Snapshots
+from demandloom.sources.tables import read_table, read_tables, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -119,6 +126,52 @@ def refresh_features_lean(spark, sf_dir):
     return _refreshed(spark, sf_dir, lean=True)
 
 
+@query
+def refresh_daily(spark, sf_dir):
+    """Features after four daily refreshes: the first days, half a year without the rows that
+    come late, more days with those, and the rest with rows that were sent before."""
+    root = scratch_path(spark, "daily")
+    feed = materialize(i.bronze_wide(spark, sf_dir), "feed")
+    day = F.col("transaction_date")
+    cuts = [F.lit(c).cast("date") for c in ("1998-01-01", "1998-07-01", "2000-01-01")]
+    drawn = F.pmod(F.xxhash64(*feed.columns), F.lit(10))
+    late = (day >= F.date_sub(cuts[1], 40)) & (day < cuts[1]) & (drawn == 0)
+    again = (day >= F.date_sub(cuts[2], 30)) & (day < cuts[2]) & (drawn == 1)
+    feeds = [
+        day < cuts[0],
+        (day >= cuts[0]) & (day < cuts[1]) & ~late,
+        ((day >= cuts[1]) & (day < cuts[2])) | late,
+        (day >= cuts[2]) | again,
+    ]
+    tables = s.Tables.under(f"{root}/tables")
+    for number, rows in enumerate(feeds):
+        path = f"{root}/feed-{number}"
+        feed.where(rows).write.option("header", True).csv(path)
+        daily_refresh(spark, path, tables, exact=True)
+    labels, features = read_tables(spark, [tables.labels, tables.features])
+    return keyed.lookup_features(labels, features, s.KEY)
+
+
+@query
+def feature_table_properties(spark, sf_dir):
+    """Key, description and tags of a feature table in the catalog, and the rows it has."""
+    root = scratch_path(spark, "catalog")
+    i.bronze_wide(spark, sf_dir).write.option("header", True).csv(f"{root}/feed")
+    database = f"features_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    tables = s.Tables.in_database(database)
+    tags = {"owner": "planning", "layer": "features"}
+    try:
+        refresh(spark, f"{root}/feed", tables, lean=True, exact=True, tags=tags, description="Daily demand")
+        found = spark.sql(f"SHOW TBLPROPERTIES {tables.features}").collect()
+        rows = [(r["key"], r["value"]) for r in found if r["key"] == "primary_key" or r["key"].startswith("tag.")]
+        rows.append(("comment", spark.catalog.getTable(tables.features).description))
+        rows.append(("rows", str(read_table(spark, tables.features).count())))
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    return spark.createDataFrame(rows, "property string, value string")
+
+
 # Clean
 
 
@@ -146,17 +199,13 @@ def dedup_by_key(spark, sf_dir):
 
 @query
 def layer_row_counts(spark, sf_dir):
-    """Each layer written from the one before; counts come from the written files."""
-    bronze = materialize(i.bronze_slim(spark, sf_dir), "bronze")
-    silver = materialize(dedup(bronze, [s.SOURCE_KEY]), "silver")
-    facts = materialize(gold(silver, exact=True), "gold")
-    features = materialize(gold_features(facts, exact=True), "features")
-    layers = {"bronze": bronze, "silver": silver, "gold": facts, "gold_features": features}
-    counts = [
-        layer.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("layer"), "n_rows")
-        for name, layer in layers.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    """Each layer written from the one before, and its rows counted by that write."""
+    draft = Snapshots(spark, scratch_path(spark, "layers")).draft()
+    bronze = draft.write("bronze", i.bronze_slim(spark, sf_dir))
+    silver = draft.write("silver", dedup(bronze, [s.SOURCE_KEY]))
+    facts = draft.write("gold", gold(silver, exact=True))
+    draft.write("gold_features", gold_features(facts, exact=True))
+    return spark.createDataFrame(list(draft.rows().items()), "layer string, n_rows bigint")
 
 
 # Facts and features
@@ -279,6 +328,38 @@ def key_audit(spark, sf_dir):
     return reduce(DataFrame.unionByName, audits)
 
 
+@query
+def composite_key_audit(spark, sf_dir):
+    """The feature key, and one over customer names and order priorities, which hold hyphens."""
+    facts = i.gold_slim(spark, sf_dir).select(*GRAIN)
+    orders = i.orders_with_place(spark, sf_dir).select(
+        F.to_date("o_orderdate").alias(s.TIME),
+        F.when(F.col("c_custkey") % 3 > 0, F.col("o_orderpriority")).alias("priority"),
+        F.when(F.col("c_custkey") % 5 > 0, F.concat_ws("-", "o_orderstatus", "n_name")).alias("place"),
+    )
+    parts = ["priority", "place"]
+    audits = [
+        keyed.composite_key_audit(facts, s.KEY, s.TIME, s.SERIES).withColumn("audited", F.lit("facts")),
+        keyed.composite_key_audit(orders.distinct(), s.KEY, s.TIME, parts).withColumn("audited", F.lit("orders")),
+    ]
+    return reduce(DataFrame.unionByName, audits)
+
+
+@query
+def exact_double_sums(spark, sf_dir):
+    """Sums of doubles of very different size and both signs, as if added without rounding."""
+    lines = i.table(spark, sf_dir, "lineitem")
+    sign = F.when(F.col("l_linestatus") == "F", -1.0).otherwise(1.0)
+    mixed = F.col("l_extendedprice") * sign * F.pow(F.lit(2.0), F.col("l_linenumber") * 3)
+    return exact_sums(
+        lines,
+        ["l_returnflag"],
+        {"sum_mixed": mixed, "sum_price": "l_extendedprice"},
+        {"sum_price": "n_prices"},
+        "n_rows",
+    )
+
+
 # Training set
 
 
@@ -322,11 +403,13 @@ def split_sizes(spark, sf_dir):
 
 @query
 def null_profile(spark, sf_dir):
-    """Before the cold start is filled, so that there are NULLs to count."""
+    """Before the cold start is filled, so that there are NULLs, which the write counts."""
     unfilled = keyed.with_key(i.features_slim(spark, sf_dir), s.KEY, s.TIME, s.SERIES)
     profiled = [s.TARGET, *s.COLD_START]
-    data = split_dataset(materialize(unfilled.select(*ORDER, *profiled), "unfilled"))
-    return chrono.split_profile(data.split.label(data.rows), profiled)
+    features = materialize(unfilled.select(*ORDER, *profiled), "unfilled")
+    split = split_dataset(features).split
+    path = scratch_path(spark, "training-set")
+    return chrono.write_profiled(features, split, profiled, path)[1]
 
 
 # Encoding
@@ -361,6 +444,23 @@ def one_hot_unseen(spark, sf_dir):
     return encode.encoded_slots(encoder, everything, list(vocabulary))
 
 
+@query
+def one_hot_sparse(spark, sf_dir):
+    """Customers and priorities as sparse vectors; customers of finished orders are known."""
+    orders = i.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey", "o_orderpriority")
+    encoded = ["o_custkey", "o_orderpriority"]
+    encoder = encode.fit_sparse_encoder(orders.where("o_orderstatus = 'F'"), encoded)
+    columns = [F.col("o_orderkey")]
+    for c in encoded:
+        # As text a sparse vector is (size,[slots],[values]).
+        text = F.col(f"{c}_onehot").cast("string")
+        for k, name in enumerate(("size", "slot", "value")):
+            part = F.regexp_extract(text, r"^\((\d+),\[(.*)\],\[(.*)\]\)$", k + 1)
+            part = F.when(part != "", part)
+            columns.append(part.cast("double" if name == "value" else "int").alias(f"{c}_{name}"))
+    return encoder.transform(orders).select(*columns)
+
+
 # Metrics and lifecycle
 
 
@@ -487,6 +587,19 @@ def alias_current(spark, sf_dir):
     return lifecycle.current_aliases(log, ["model_id", "alias"])
 
 
+@query
+def alias_by_commit(spark, sf_dir):
+    """The same log by the number of each entry, as where clocks of drivers may differ."""
+    log = i.table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("model_id"),
+        F.col("event_type").alias("alias"),
+        F.hash("ts").alias("version"),
+        F.col("event_id").alias("commit"),
+    )
+    current = lifecycle.current_aliases(log, ["model_id", "alias"], newest=["commit"])
+    return current.select("model_id", "alias", "commit")
+
+
 @query
 def prediction_table(spark, sf_dir):
     """Test rows with the winner's predictions, without the scoring time."""
@@ -512,7 +625,7 @@ def prediction_table(spark, sf_dir):
 @query
 def overwrite_roundtrip(spark, sf_dir):
     """A table written twice holds only the second content, with its schema."""
-    path = scratch_path(spark, "overwritten")
+    path = f"{scratch_path(spark, 'overwritten')}/table"
     write_table(i.bronze_slim(spark, sf_dir), path)
     return write_table(i.gold_slim(spark, sf_dir), path)
 
@@ -657,3 +770,22 @@ def alias_model_score(spark, sf_dir):
         .join(F.broadcast(tags))
         .withColumn("version", F.lit(held["version"]).cast("bigint"))
     )
+
+
+@query
+def lifecycle_round(spark, sf_dir):
+    """Refresh, train, select and serve: the published predictions of a stump."""
+    root = scratch_path(spark, "round")
+    i.bronze_wide(spark, sf_dir).write.option("header", True).csv(f"{root}/feed")
+    tables = s.Tables.under(f"{root}/tables")
+    refresh(spark, f"{root}/feed", tables, lean=True, exact=True)
+    book = ModelBook(spark, tables.models)
+    rules = s.Lifecycle(threshold=float("-inf"))
+    with build_dataset(spark, tables) as data:
+        columns = {"categorical": (), "numeric": ("month", "day_of_week")}
+        train(data, book, rules, s.TreeSpec(max_depth=1), exact=True, **columns)
+        select(data, book, rules, exact=True)
+        outcome = serve(data, book, tables, rules, exact=True)
+    status = F.lit(outcome.status)
+    published = read_table(spark, tables.predictions).drop("timestamp")
+    return published.withColumns({"status": status, "version": F.lit(outcome.challenger_version).cast("bigint")})
