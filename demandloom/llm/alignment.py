@@ -27,7 +27,7 @@ TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 # Characters of a chunk of a longer text. A chunk ends inside a stretch of at most this
 # many characters, and before a longer one.
-CHUNK_CHARS = 1 << 15
+CHUNK_CHARS = 1 << 16
 SHORT_STRETCH = 1024
 # Links of one block, whose distinct pairs are looked up together.
 BLOCK_LINKS = 1 << 22
@@ -77,7 +77,7 @@ def whole(stretch: str) -> str:
 
 
 class Aligner(dict):
-    """Stretch to its number ``n``: sizes, ids with their ends, groups and links of both.
+    """Stretch to its number ``n``: sizes, groups and links of both tokenizers.
 
     ``groups[n]`` is the text of its groups; ``codes[code_ends[n] : code_ends[n + 1]]`` are the
     linked pairs, one per group; ``good[n]`` tells whether both give back its bytes.
@@ -87,14 +87,18 @@ class Aligner(dict):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import numpy as np
         import sentencepiece
         from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True
+        a = Tokenizer.from_file(path_a)
+        a.encode_special_tokens = True
+        self.bytes_a = bytes_of_entries(a)
+        self.encode_a = encoder_of(a, path_a, self.bytes_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        self.bytes_a = bytes_of_entries(self.a)
         self.bytes_b = bytes_of_pieces(self.b)
+        self.blank = self.b.piece_to_id("▁")
+        self.sizes_a, self.sizes_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
         self.forget()
 
     def forget(self) -> None:
@@ -102,61 +106,167 @@ class Aligner(dict):
 
         self.clear()
         self.fresh: list[str] = []
+        self.pairs: dict[int, str] = {}
         self.groups: list[str] = []
         self.codes, self.code_ends = array("q"), array("q", [0])
         self.n_a, self.n_b, self.good = array("i"), array("i"), array("b")
+        self.made = None
 
     def __missing__(self, stretch: str) -> int:
         self[stretch] = number = len(self)
         self.fresh.append(stretch)
         return number
 
-    def ids(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        """Ids of both tokenizers for stretches; those of B without the blank it adds."""
-        a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        b = self.b.encode([t[1:] if t[0] == " " else t for t in texts], num_threads=1)
-        for i, t in enumerate(texts):
-            if t == " ":
-                b[i] = [self.blank]
-            elif t[0] != " ":
-                b[i] = b[i][1:]
-        return a, b
-
-    @property
-    def blank(self) -> int:
-        return self.b.piece_to_id("▁")
+    def ids(self, text: str) -> tuple[list[int], list[int]]:
+        """Ids of both tokenizers for whole stretches; those of B without the blank it adds."""
+        if text[0] != " ":
+            b = self.b.encode(text)[1:]
+        elif text == " ":
+            b = [self.blank]
+        else:
+            b = self.b.encode(text[1:])
+        return self.encode_a(text), b
+
+    def gives_back(self, text: str, a: list[int], b: list[int]) -> bool:
+        data = text.encode()
+        return all(
+            b"".join(map(t.__getitem__, x)) == data for t, x in ((self.bytes_a, a), (self.bytes_b, b))
+        )
 
     def learn(self) -> None:
-        """What is to be known of the stretches numbered since the last call."""
+        """What is to be known of the stretches numbered since the last call.
+
+        Many are tokenised as one text, which both part at the same places again. One that
+        ends with a blank, as at the end of a text, would run into the next.
+        """
         fresh, self.fresh = [whole(x) for x in self.fresh], []
-        for at in range(0, len(fresh), 4096):
-            texts = fresh[at : at + 4096]
-            for text, a, b in zip(texts, *self.ids(texts), strict=True):
-                self._put(text.encode(), a, b)
-
-    def _put(self, data: bytes, a: list[int], b: list[int]) -> None:
-        parts_a = [self.bytes_a[i] for i in a]
-        parts_b = [self.bytes_b[i] for i in b]
-        good = b"".join(parts_a) == data and b"".join(parts_b) == data
-        groups = []
-        if good:
-            i = j = end_a = end_b = begin_a = begin_b = 0
-            while i < len(a):
-                if end_a <= end_b:
-                    end_a += len(parts_a[i])
-                    i += 1
-                while end_b < end_a:
-                    end_b += len(parts_b[j])
-                    j += 1
-                if end_a == end_b:
-                    groups.append(group_text(a[begin_a:i], b[begin_b:j]))
-                    self.codes.append((a[i - 1] << SHIFT) | b[j - 1])
-                    begin_a, begin_b = i, j
-        self.groups.append(";".join(groups))
-        self.code_ends.append(len(self.codes))
-        self.n_a.append(len(a))
-        self.n_b.append(len(b))
-        self.good.append(good)
+        part: list[str] = []
+        for text in fresh:
+            alone = text[-1].isspace()
+            if part and (alone or len(part) >= 512):
+                self._put(part)
+                part = []
+            part.append(text)
+            if alone:
+                self._put(part)
+                part = []
+        if part:
+            self._put(part)
+
+    def _put(self, texts: list[str]) -> None:
+        import numpy as np
+
+        joined = "".join(texts)
+        a, b = self.ids(joined)
+        if not self.gives_back(joined, a, b):
+            if len(texts) > 1:
+                for text in texts:
+                    self._put([text])
+                return
+            self._add([""], [0], [len(a)], [len(b)], np.empty(0, dtype=np.int64), False)
+            return
+        a, b = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64)
+        ends_a, ends_b = np.cumsum(self.sizes_a[a]), np.cumsum(self.sizes_b[b])
+        ends, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        sizes = map(len, texts if joined.isascii() else [t.encode() for t in texts])
+        text_ends = np.cumsum(np.fromiter(sizes, dtype=np.int64, count=len(texts)))
+        last = np.searchsorted(ends, text_ends)
+        if (ends[last] != text_ends).any():  # the end of a stretch is a cut
+            raise AssertionError(f"tokens reach over the end of a stretch in {joined!r}")
+        codes = (a[at_a] << SHIFT) | b[at_b]
+        groups = self._texts(a, b, at_a, at_b, codes)
+        cut_ends = (last + 1).tolist()
+        begins = [0, *cut_ends[:-1]]
+        sizes_a, sizes_b = (np.diff(at[last], prepend=-1).tolist() for at in (at_a, at_b))
+        self._add(
+            [";".join(groups[x:y]) for x, y in zip(begins, cut_ends, strict=True)],
+            [y - x for x, y in zip(begins, cut_ends, strict=True)],
+            sizes_a,
+            sizes_b,
+            codes,
+            True,
+        )
+
+    def _texts(self, a, b, at_a, at_b, codes) -> list[str]:
+        """The groups as text. Most are of one token each, and of few different pairs."""
+        import numpy as np
+
+        first_a, first_b = (np.concatenate([[0], at[:-1] + 1]) for at in (at_a, at_b))
+        groups = list(map(self.pairs.get, codes.tolist()))
+        single = (first_a == at_a) & (first_b == at_b)
+        unknown = np.array([g is None for g in groups], dtype=bool)
+        for k in np.flatnonzero(single & unknown).tolist():
+            code = int(codes[k])
+            groups[k] = self.pairs[code] = f"{code >> SHIFT}|{code & ((1 << SHIFT) - 1)}"
+        many = np.flatnonzero(~single)
+        bounds = (x[many].tolist() for x in (first_a, at_a + 1, first_b, at_b + 1))
+        a, b = a.tolist(), b.tolist()
+        for k, i, j, m, n in zip(many.tolist(), *bounds, strict=True):
+            groups[k] = group_text(a[i:j], b[m:n])
+        return groups
+
+    def _add(self, groups, n_groups, n_a, n_b, codes, good) -> None:
+        self.groups += groups
+        self.codes.frombytes(codes.tobytes())
+        end = self.code_ends[-1]
+        for n in n_groups:
+            end += n
+            self.code_ends.append(end)
+        self.n_a.extend(n_a)
+        self.n_b.extend(n_b)
+        self.good.extend([good] * len(groups))
+
+    def of(self, numbers):
+        """``(n_a, n_b, text of the groups, codes)`` of stretches in a row, all good; else None."""
+        import numpy as np
+
+        codes, code_ends, n_a, n_b, good = self.arrays()
+        if not good[numbers].all():
+            return None
+        sizes = code_ends[numbers + 1] - code_ends[numbers]
+        after = np.cumsum(sizes)
+        at = np.repeat(code_ends[numbers + 1] - after, sizes) + np.arange(sizes.sum())
+        text = ";".join([self.groups[n] for n in numbers.tolist()])
+        return int(n_a[numbers].sum()), int(n_b[numbers].sum()), text, codes[at]
+
+    def arrays(self):
+        """What is known so far, as arrays; made anew after ``learn``."""
+        import numpy as np
+
+        if self.made is None or len(self.made[2]) != len(self.n_a):
+            columns = (self.codes, self.code_ends, self.n_a, self.n_b, self.good)
+            self.made = [np.array(x, dtype=np.int64) for x in columns]
+        return self.made
+
+
+# Odd texts on which a faster encoder has to agree with the library.
+PROBES = (
+    " it's we'll I'd  two\n\n lines\t1234 ünïcode 中文 😀 <|endoftext|> x\u00a0y \u2581 ",
+    "\n\n \r\n a\x00b\x85c ﬁ é “quoted” don't DON'T 12,345.67e-8 __init__ ####",
+)
+
+
+def encoder_of(tokenizer, path: str, entries: list[bytes]):
+    """Text to ids of a byte-level vocabulary.
+
+    Where the ids are the ranks of the merges and words are parted by the usual pattern, a
+    faster library gives the same ids; that it does is looked at here.
+    """
+    import tiktoken
+
+    ranks = {data: i for i, data in enumerate(entries) if not _is_special(tokenizer, i)}
+    fast = tiktoken.Encoding(path, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def slow(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
+    if all(fast.encode_ordinary(x) == slow(x) for x in PROBES):
+        return fast.encode_ordinary
+    return slow
+
+
+def _is_special(tokenizer, number: int) -> bool:
+    return number in tokenizer.get_added_tokens_decoder()
 
 
 def group_text(a, b) -> str:
@@ -240,7 +350,9 @@ class Fragment:
         a, b = self.suffix_a + after.prefix_a, self.suffix_b + after.prefix_b
         if not after.cut:
             return Fragment(True, self.prefix_a, self.prefix_b, a, b), None
-        return Fragment(True, self.prefix_a, self.prefix_b, after.suffix_a, after.suffix_b), (a, b)
+        # Nothing closes where the ranges meet at a cut.
+        closed = (a, b) if a else None
+        return Fragment(True, self.prefix_a, self.prefix_b, after.suffix_a, after.suffix_b), closed
 
 
 def staged(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int, block_links: int) -> DataFrame:
@@ -299,21 +411,16 @@ def staged(docs: DataFrame, path_a: str, path_b: str, chunk_chars: int, block_li
                 names = ("kind", "row", "doc_id", "chunk", "chunks", "body", "low", "high")
                 yield batch_of(cut, names)
             aligner.learn()
-            codes, code_ends = (np.array(x, dtype=np.int64) for x in (aligner.codes, aligner.code_ends))
-            n_a, n_b, good = (np.array(x, dtype=np.int64) for x in (aligner.n_a, aligner.n_b, aligner.good))
-            groups = aligner.groups
             for number, doc_id, numbers in made:
-                if len(numbers) and good[numbers].all():
-                    sizes = code_ends[numbers + 1] - code_ends[numbers]
-                    after = np.cumsum(sizes)
-                    at = np.repeat(code_ends[numbers + 1] - after, sizes) + np.arange(after[-1])
-                    listed = ";".join([groups[n] for n in numbers.tolist()])
-                    sha = hashlib.sha256(listed.encode()).hexdigest()
-                    sums = int(n_a[numbers].sum()), int(n_b[numbers].sum()), len(at)
-                    waiting.append((DOCUMENT, number, doc_id, *sums, sha, block, codes[at]))
-                    n_waiting += len(at)
+                found = aligner.of(numbers) if len(numbers) else None
+                if found is None:
+                    none = np.empty(0, dtype=np.int64)
+                    waiting.append((DOCUMENT, number, doc_id, 0, 0, 0, "", block, none))
                 else:
-                    waiting.append((DOCUMENT, number, doc_id, 0, 0, 0, "", block, codes[:0]))
+                    n_a, n_b, text, codes = found
+                    sha = hashlib.sha256(text.encode()).hexdigest()
+                    waiting.append((DOCUMENT, number, doc_id, n_a, n_b, len(codes), sha, block, codes))
+                    n_waiting += len(codes)
                 if n_waiting >= block_links:
                     yield from flush()
         yield from flush()
@@ -359,8 +466,9 @@ def block_rows(codes, rows, block, batch_of):
 def fragments(chunks: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``FRAGMENTS`` of the chunks of long texts, dealt anew so that those of one text are spread.
 
-    ``text`` holds the groups between the chunk's cuts, ``codes`` their links. The start of
-    the text is a cut.
+    ``text`` holds the groups between the chunk's cuts, ``codes`` their links. Only the first
+    and the last stretch of a chunk can reach beyond it; a range that starts with a stretch,
+    as that of the whole text does, starts with a cut.
     """
 
     def run(batches):
@@ -368,48 +476,71 @@ def fragments(chunks: DataFrame, path_a: str, path_b: str) -> DataFrame:
         import pyarrow as pa
 
         aligner = per_worker(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
-        size_a, size_b = (np.array([len(x) for x in t]) for t in (aligner.bytes_a, aligner.bytes_b))
-
-        def inside(ids, sizes, low, high):
-            ids = np.array(ids, dtype=np.int64)
-            ends = np.cumsum(sizes[ids])
-            kept = (ends > low) & (ends <= high)
-            return ids[kept], ends[kept]
-
-        def fragment(body, low, high, chunk):
-            texts = [whole(x) for x in stretches(body)]
-            ids = [[i for part in x for i in part] for x in aligner.ids(texts)]
-            data = body.encode()
-            good = all(
-                b"".join(map(t.__getitem__, x)) == data
-                for t, x in zip((aligner.bytes_a, aligner.bytes_b), ids, strict=True)
-            )
-            if not good:
+
+        def edge(text, low, high, cut):
+            """Ids of a stretch that end in a range, and where both have a cut; ``cut`` starts it."""
+            lists, ends = [], []
+            for ids, t in zip(aligner.ids(text), (aligner.bytes_a, aligner.bytes_b), strict=True):
+                ids = np.array(ids, dtype=np.int64)
+                end = np.cumsum([len(t[i]) for i in ids.tolist()])
+                kept = (end > low) & (end <= high)
+                lists.append(ids[kept].tolist())
+                ends.append(end[kept])
+            _, *places = np.intersect1d(*ends, assume_unique=True, return_indices=True)
+            cuts = [([0] if cut else []) + (x + 1).tolist() for x in places]
+            return lists, cuts
+
+        def between(lists, cuts):
+            """Text and codes of the groups between the cuts of an edge."""
+            (a, b), (x, y) = lists, cuts
+            groups = [group_text(a[i:k], b[j:m]) for i, k, j, m in zip(x, x[1:], y, y[1:], strict=False)]
+            codes = [(a[k - 1] << SHIFT) | b[m - 1] for k, m in zip(x[1:], y[1:], strict=False)]
+            return groups, codes
+
+        def fragment(body, low, high):
+            texts = stretches(body)
+            size = len(body.encode())
+            first = texts.pop(0) if low else None
+            last = texts.pop() if high < size and texts else None
+            numbers = np.array(list(map(aligner.__getitem__, texts)), dtype=np.int64)
+            if len(aligner) > REMEMBERED:
+                aligner.forget()
+                numbers = np.array(list(map(aligner.__getitem__, texts)), dtype=np.int64)
+            aligner.learn()
+            inner = aligner.of(numbers)
+            edges = [whole(x) for x in (first, last) if x is not None]
+            if inner is None or not all(aligner.gives_back(x, *aligner.ids(x)) for x in edges):
                 return [False, True, [], [], [], [], 0, 0, 0, b"", b""]
-            (a, ends_a), (b, ends_b) = (
-                inside(x, s, low, high) for x, s in zip(ids, (size_a, size_b), strict=True)
-            )
-            _, at_a, at_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-            cuts_a, cuts_b = (np.concatenate([[0] * (chunk == 0), x + 1]).astype(int) for x in (at_a, at_b))
-            lists = a.tolist(), b.tolist()
-            if not len(cuts_a):
-                return [True, False, *lists, [], [], len(a), len(b), 0, b"", b""]
-            groups = [
-                group_text(lists[0][i:k], lists[1][j:m])
-                for i, k, j, m in zip(cuts_a, cuts_a[1:], cuts_b, cuts_b[1:], strict=False)
-            ]
-            codes = (a[cuts_a[1:] - 1] << SHIFT) | b[cuts_b[1:] - 1]
-            return [
-                True, True, lists[0][: cuts_a[0]], lists[1][: cuts_b[0]], lists[0][cuts_a[-1] :],
-                lists[1][cuts_b[-1] :], len(a), len(b), len(groups), ";".join(groups).encode(),
-                codes.astype("<i8").tobytes(),
-            ]
+            n_a, n_b, text, codes = inner
+            groups, codes = [text] if text else [], [codes]
+            prefix = suffix = ([], [])
+            cut = low == 0
+            if first is not None:
+                lists, cuts = edge(whole(first), low, high, False)
+                n_a, n_b = n_a + len(lists[0]), n_b + len(lists[1])
+                cut = bool(cuts[0])
+                ahead, ahead_codes = between(lists, cuts)
+                groups, codes = ahead + groups, [ahead_codes, *codes]
+                prefix = [x[: c[0]] if cut else x for x, c in zip(lists, cuts, strict=True)]
+                if cut:
+                    suffix = [x[c[-1] :] for x, c in zip(lists, cuts, strict=True)]
+            if last is not None:
+                # All before is stretches as a whole, so the last one starts at a cut.
+                start = size - len(whole(last).encode())
+                lists, cuts = edge(whole(last), -1, high - start, True)
+                n_a, n_b = n_a + len(lists[0]), n_b + len(lists[1])
+                behind, behind_codes = between(lists, cuts)
+                groups, codes, cut = groups + behind, [*codes, behind_codes], True
+                suffix = [x[c[-1] :] for x, c in zip(lists, cuts, strict=True)]
+            flat = np.concatenate([np.asarray(c, dtype="<i8") for c in codes])
+            listed = ";".join(groups).encode()
+            return [True, cut, *prefix, *suffix, n_a, n_b, len(flat), listed, flat.tobytes()]
 
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part = batch.slice(at, 64)
                 keys = [part.column(c) for c in ("row", "doc_id", "chunk", "chunks")]
-                ranges = (part.column(c).to_pylist() for c in ("body", "low", "high", "chunk"))
+                ranges = (part.column(c).to_pylist() for c in ("body", "low", "high"))
                 made = [fragment(*x) for x in zip(*ranges, strict=True)]
                 types = schema.types[len(keys) :]
                 arrays = [pa.array(c, t) for c, t in zip(zip(*made, strict=True), types, strict=True)]
