@@ -92,7 +92,8 @@ kept AS (
 SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes,
        CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
-       sha256(CASE WHEN body IS NULL THEN b ELSE unhex(body) END) AS kept_sha256
+       sha256(CASE WHEN body IS NULL THEN b ELSE unhex(body) END) AS kept_sha256,
+       try(decode(CASE WHEN body IS NULL THEN b ELSE unhex(body) END)) AS text
 FROM texts LEFT JOIN kept USING (rid)"""
 
 

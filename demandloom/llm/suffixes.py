@@ -25,6 +25,11 @@ from demandloom.session import materialize, scratch_path
 
 LENGTH = 400
 GRAM = 64
+# Of the pipeline's stage: strings of this length are found, and cut where they make up
+# a passage of more words than this.
+PASSAGE_BYTES = 200
+PASSAGE_GRAM = 32
+PASSAGE_WORDS = 50
 # Rows that one run of rounds takes; the rows of one anchor gram are never parted.
 GROUP_ROWS = 30_000
 # Bytes whose anchors are computed together.
@@ -215,7 +220,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def anchor_grams(texts: DataFrame, length: int) -> DataFrame:
+def anchor_grams(texts: DataFrame, length: int, width: int) -> DataFrame:
     """``(_a, _b, gram, places)`` for each different anchor gram of each text."""
 
     def run(batches):
@@ -224,7 +229,7 @@ def anchor_grams(texts: DataFrame, length: int) -> DataFrame:
 
         for batch in batches:
             data, bounds = texts_of(batch, "_bytes")
-            text, _, _, _, gram = anchors(data, bounds, length)
+            text, _, _, _, gram = anchors(data, bounds, length, width)
             order = np.lexsort((gram, text))
             text, gram = text[order], gram[order]
             new = np.ones(len(text), dtype=bool)
@@ -298,7 +303,7 @@ class Lines:
             self.held.clear()
 
 
-def rows_of(texts: DataFrame, length: int) -> DataFrame:
+def rows_of(texts: DataFrame, length: int, width: int) -> DataFrame:
     """Rows at the anchors whose gram is in ``grams`` of its text, as ``ROWS``.
 
     A line per place: the row's digest ``d1, d2``, the text ``_a, _b`` and the first start.
@@ -312,7 +317,7 @@ def rows_of(texts: DataFrame, length: int) -> DataFrame:
         lines = Lines(schema)
         for batch in batches:
             data, bounds = texts_of(batch, "_bytes")
-            text, place, first, last, gram = anchors(data, bounds, length)
+            text, place, first, last, gram = anchors(data, bounds, length, width)
             gram = gram.view("int64")
             known = batch.column("grams")
             wanted = np.zeros(len(gram), dtype=bool)
@@ -327,7 +332,7 @@ def rows_of(texts: DataFrame, length: int) -> DataFrame:
                     bytes(raw[first[i] : last[i] + length]),
                     1,
                     int(gram[i]),
-                    GRAM - length,
+                    width - length,
                     0,
                     int(place[i] - first[i]),
                 )
@@ -343,7 +348,7 @@ def rows_of(texts: DataFrame, length: int) -> DataFrame:
     return texts.select("_a", "_b", "_bytes", "grams").mapInArrow(run, ROWS)
 
 
-def halves(rows: DataFrame, length: int) -> DataFrame:
+def halves(rows: DataFrame, length: int, width: int) -> DataFrame:
     """Each distinct row as two, in the form of ``rows_of``: its early and its late starts.
 
     All strings of a half share more bytes than those of the row, from the last start to
@@ -367,7 +372,7 @@ def halves(rows: DataFrame, length: int) -> DataFrame:
                     if first > last:
                         continue
                     shared = body[end + offset : begin + length + offset]
-                    key = xxhash.xxh64_intdigest(shared, seed=end - GRAM + length)
+                    key = xxhash.xxh64_intdigest(shared, seed=end - width + length)
                     key -= (key >> 63) << 64
                     part = body[first + offset : last + length + offset]
                     digests.append(lines.hold(part, copies, key, begin, end, -first))
@@ -436,7 +441,7 @@ def settled(rows: DataFrame, length: int) -> DataFrame:
     return grouped.mapInArrow(run, layout)
 
 
-def placed(rows: DataFrame, length: int) -> DataFrame:
+def placed(rows: DataFrame, length: int, width: int) -> DataFrame:
     """``(_a, _b, first, last)``: repeating starts of the owners of the places in ``rows``.
 
     The rows of one key meet in one task. Where they are more than ``HOT_ROWS``, as around
@@ -456,8 +461,8 @@ def placed(rows: DataFrame, length: int) -> DataFrame:
     if hot.isEmpty():
         repeats = settled(lines, length)
     else:
-        parts = _write(halves(lines.join(hot, "gram", "left_semi"), length), "half-rows")
-        parted = placed(parts, length).select(
+        parts = _write(halves(lines.join(hot, "gram", "left_semi"), length, width), "half-rows")
+        parted = placed(parts, length, width).select(
             F.col("_a").alias("d1"), F.col("_b").alias("d2"), "first", "last"
         )
         cold = settled(lines.join(hot, "gram", "left_anti"), length)
@@ -478,10 +483,10 @@ def _write(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_spans(texts: DataFrame, length: int = LENGTH, width: int = GRAM) -> DataFrame:
     """``(_a, _b, spans)``: per text with repeats the byte spans that they cover, not merged."""
     long_enough = texts.where(F.octet_length("_bytes") >= length).select("_a", "_b", "_bytes")
-    grams = materialize(anchor_grams(long_enough, length), "anchor-grams")
+    grams = materialize(anchor_grams(long_enough, length, width), "anchor-grams")
     # Written, so that both sides of the join are exchanges and a hot gram can be split.
     often = materialize(
         grams.groupBy("gram").agg(F.sum("places").alias("n")).where("n > 1").select("gram"),
@@ -489,8 +494,8 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     wanted = grams.join(often, "gram").groupBy("_a", "_b").agg(F.collect_set("gram").alias("grams"))
     once = long_enough.join(wanted.hint("shuffle_hash"), ["_a", "_b"])
-    rows = _write(rows_of(once, length), "anchor-rows")
-    spans = placed(rows, length).select(
+    rows = _write(rows_of(once, length, width), "anchor-rows")
+    spans = placed(rows, length, width).select(
         "_a",
         "_b",
         F.struct(F.col("first").alias("from"), (F.col("last") + length).alias("to")).alias("span"),
@@ -498,8 +503,30 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     return spans.groupBy("_a", "_b").agg(F.collect_set("span").alias("spans"))
 
 
-def cut(data: Column, spans: Column) -> Column:
-    """``(kept, n_removed, n_spans)`` of bytes without the union of their spans."""
+def whole_words(text: bytes, begin: int, end: int) -> tuple[int, int]:
+    """The part of a span from its first word on to its last that do not go on outside of it.
+
+    The blanks around stay, so that the words before and after are not joined.
+    """
+    blanks = b" \t\n\v\f\r"
+    if begin and text[begin - 1] not in blanks:
+        while begin < end and text[begin] not in blanks:
+            begin += 1
+    if end < len(text) and text[end] not in blanks:
+        while end > begin and text[end - 1] not in blanks:
+            end -= 1
+    while 0 < begin < end and text[begin] in blanks:
+        begin += 1
+    while begin < end < len(text) and text[end - 1] in blanks:
+        end -= 1
+    return begin, end
+
+
+def cut(data: Column, spans: Column, over_words: int | None = None) -> Column:
+    """``(kept, n_removed, n_spans)`` of bytes without the union of their spans.
+
+    With ``over_words`` only of the whole words of those that hold more words.
+    """
 
     def run(texts, covers):
         import pandas as pd
@@ -513,6 +540,9 @@ def cut(data: Column, spans: Column) -> Column:
                     merged[-1][1] = max(merged[-1][1], end)
                 else:
                     merged.append([begin, end])
+            if over_words is not None:
+                inner = (whole_words(text, begin, end) for begin, end in merged)
+                merged = [(b, e) for b, e in inner if len(text[b:e].split()) > over_words]
             kept, at = [], 0
             for begin, end in merged:
                 kept.append(text[at:begin])
@@ -526,20 +556,22 @@ def cut(data: Column, spans: Column) -> Column:
     return udf.asNondeterministic()(data, spans)
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, length: int = LENGTH, width: int = GRAM, over_words: int | None = None
+) -> DataFrame:
     """Per row of ``docs``: ``_row``, its ``_bytes``, ``kept``, ``n_removed`` and ``n_spans``.
 
     Texts are UTF-8 bytes, NULL is empty; strings never cross texts and are judged on
     the input. Each of several equal rows has its strings elsewhere, so loses them; so
     do all copies of a text of ``length`` bytes or more. Shorter texts stay. An empty
-    table gives none. A row's other columns are carried along.
+    table gives none. A row's other columns are carried along. With ``over_words`` only
+    stretches of repeated strings that hold more words go, and of those the whole words.
     """
     texts = keyed(docs)
-    spans = repeated_spans(texts, length)
+    spans = repeated_spans(texts, length, width)
     joined = texts.join(spans.hint("shuffle_hash"), ["_a", "_b"], "left")
-    return joined.select("_row", "_bytes", cut(F.col("_bytes"), F.col("spans")).alias("_cut")).select(
-        "_row", "_bytes", "_cut.*"
-    )
+    done = cut(F.col("_bytes"), F.col("spans"), over_words).alias("_cut")
+    return joined.select("_row", "_bytes", done).select("_row", "_bytes", "_cut.*")
 
 
 def op4(spark, sf_dir: str) -> DataFrame:
@@ -550,13 +582,18 @@ def op4(spark, sf_dir: str) -> DataFrame:
         "n_removed",
         "n_spans",
         F.sha2("kept", 256).alias("kept_sha256"),
+        # NULL where a cut goes through a character, so that the bytes left are no text.
+        F.try_validate_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 
 def drop_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: repeated byte strings go from the texts; every document stays.
+    """Pipeline stage: passages of over ``PASSAGE_WORDS`` words that occur twice go from the
+    texts, wherever they are; every document stays.
 
-    A character of which a cut took some bytes goes as a whole. A NULL text stays
+    Their strings are found at ``PASSAGE_BYTES``, which so many words of prose exceed, but not
+    those of one or two letters; neighbouring ones that repeat in different places count
+    together. A character of which a cut took some bytes goes as a whole. A NULL text stays
     NULL, and ``n_chars`` follows the text where there is such a column.
     """
 
@@ -565,7 +602,7 @@ def drop_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     text = F.pandas_udf(decoded, "string")(F.col("kept"))
     new = F.when(F.col("n_removed") > 0, text).otherwise(F.col("_row.text"))
-    done = without_repeats(docs).withColumn("_text", new)
+    done = without_repeats(docs, PASSAGE_BYTES, PASSAGE_GRAM, PASSAGE_WORDS).withColumn("_text", new)
     columns = {c.lower(): F.col("_row")[c].alias(c) for c in docs.columns}
     columns["text"] = F.col("_text").alias("text")
     if "n_chars" in columns:

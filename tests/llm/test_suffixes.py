@@ -154,10 +154,36 @@ def test_stage_keeps_rows_and_columns(spark, edges):
     assert got[4]["text"] == "one" and got[4]["n_chars"] == 3
 
 
-def test_stage_drops_parts_of_characters(spark):
-    passage = "é" * 10 + "".join(chr(0x4E00 + i) for i in range(200)) + "é" * 10
-    docs = spark.createDataFrame(
-        [(1, "a" + passage + "èb"), (2, "c" + passage + "éd")], "doc_id long, text string"
-    )
-    got = {r["doc_id"]: r["text"] for r in suffixes.drop_repeats(spark, docs, "").collect()}
-    assert got == {1: "ab", 2: "cd"}
+def words(rng, n):
+    return " ".join("".join(rng.choice("abcdeéö") for _ in range(rng.randint(3, 7))) for _ in range(n))
+
+
+def stage(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    done = suffixes.drop_repeats(spark, docs, "")
+    return [r["text"] for r in done.orderBy("doc_id").collect()]
+
+
+def test_stage_drops_passages_of_over_50_words(spark):
+    """They go as whole words wherever they are; shorter ones stay, however often."""
+    rng = random.Random(8)
+    passage, short = words(rng, 51), words(rng, 50)
+    texts = [
+        f"{words(rng, 70)} {passage} {words(rng, 9)}",
+        f"{words(rng, 4)} {passage}",
+        f"{words(rng, 60)} {short} {words(rng, 30)}",
+        f"{words(rng, 5)} {short} {words(rng, 3)}",
+        f"{short}",
+        f"{words(rng, 90)}",
+    ]
+    got = stage(spark, texts)
+    assert got[2:] == texts[2:]
+    assert got[:2] == [texts[0].replace(passage, ""), texts[1].replace(passage, "")]
+
+
+def test_stage_leaves_words_whole(spark):
+    """Words that begin or end alike around a passage are no part of it."""
+    rng = random.Random(9)
+    passage = words(rng, 60)
+    texts = [f"oneé {passage} étwo", f"otherneé {passage} éthree", "é" * 700, "é" * 700]
+    assert stage(spark, texts) == ["oneé  étwo", "otherneé  éthree", "é" * 700, "é" * 700]
