@@ -85,9 +85,11 @@ ODD = [
 @pytest.mark.parametrize("chunk_chars", [7, 40, 1 << 15])
 def test_edges(spark, edges, chunk_chars):
     rows = [(i, t, "en", "s", 1, 1, "x", 0.5) for i, t in ODD]
-    both = edges.unionByName(spark.createDataFrame(rows, edges.schema))
+    # Not 30,000 words in chunks of a few characters.
+    given = edges if chunk_chars > 7 else edges.where("text is null or length(text) < 10000")
+    both = given.unionByName(spark.createDataFrame(rows, edges.schema))
     found = al.aligned(both, chunk_chars=chunk_chars, block_links=500)
-    assert rows_of(found) == brute([*texts(edges), *ODD])
+    assert rows_of(found) == brute([*texts(given), *ODD])
 
 
 def test_empty_table(spark, nothing):
