@@ -441,6 +441,23 @@ def settled(rows: DataFrame, length: int) -> DataFrame:
     return grouped.mapInArrow(run, layout)
 
 
+def united(repeats: DataFrame) -> DataFrame:
+    """Neighbouring and overlapping ranges of starts of a row as one, so that halves of halves
+    do not go to each of its places by themselves."""
+
+    def step(done: Column, new: Column) -> Column:
+        last = F.get(done, F.size(done) - 1)
+        longer = F.struct(last["first"].alias("first"), F.greatest(last["last"], new["last"]).alias("last"))
+        joined = F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(longer))
+        meets = F.coalesce(new["first"] <= last["last"] + 1, F.lit(False))
+        return F.when(meets, joined).otherwise(F.concat(done, F.array(new)))
+
+    found = F.array_sort(F.collect_set(F.struct("first", "last")))
+    ranges = repeats.groupBy("d1", "d2").agg(found.alias("_found"))
+    merged = F.aggregate("_found", F.slice("_found", 1, 0), step)
+    return ranges.select("d1", "d2", F.inline(merged))
+
+
 def placed(rows: DataFrame, length: int, width: int) -> DataFrame:
     """``(_a, _b, first, last)``: repeating starts of the owners of the places in ``rows``.
 
@@ -468,7 +485,7 @@ def placed(rows: DataFrame, length: int, width: int) -> DataFrame:
         cold = settled(lines.join(hot, "gram", "left_anti"), length)
         repeats = cold.unionByName(parted)
     places = rows.where("start is not null").select("d1", "d2", "_a", "_b", "start")
-    return places.join(repeats, ["d1", "d2"]).select(
+    return places.join(united(repeats), ["d1", "d2"]).select(
         "_a",
         "_b",
         (F.col("start") + F.col("first")).alias("first"),
