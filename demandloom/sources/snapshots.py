@@ -23,8 +23,9 @@ COMMITS, DATA = "_commits", "_data"
 class Draft:
     """Files of tables that are not committed yet."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, log: CommitLog):
+        self.spark, self.root, self.log = spark, root.rstrip("/"), log
+        self.since = max(log.numbers(), default=0)
         self.folder = f"{DATA}/{uuid.uuid4().hex}"
         self.tables: dict[str, dict] = {}
 
@@ -57,7 +58,11 @@ class Draft:
         return self.spark.read.format(fmt).load(paths)
 
     def discard(self) -> None:
-        _remove(self.spark, f"{self.root}/{self.folder}")
+        """Delete the files, unless a commit has them: it may be published and yet have been
+        interrupted before it returned."""
+        later = (self.log.read(n) for n in self.log.numbers() if n > self.since)
+        if not any(self.folder.split("/")[1] in _folders(commit) for commit in later):
+            _remove(self.spark, f"{self.root}/{self.folder}")
 
 
 class Snapshots:
@@ -68,7 +73,7 @@ class Snapshots:
         self.log = CommitLog(spark, f"{self.root}/{COMMITS}")
 
     def draft(self) -> Draft:
-        return Draft(self.spark, self.root)
+        return Draft(self.spark, self.root, self.log)
 
     def current(self) -> dict | None:
         return self.log.latest()

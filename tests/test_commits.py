@@ -214,6 +214,21 @@ def test_a_commit_that_fails_leaves_the_old_day(spark, tmp_path, monkeypatch):
     assert read_table(spark, tables.labels).count() == 240
 
 
+def test_an_interrupt_right_after_the_commit_deletes_nothing(spark, tmp_path, monkeypatch):
+    csv, _ = feed(tmp_path / "feed.csv")
+    tables = s.Tables.under(str(tmp_path / "tables"))
+    publish = CommitLog._publish
+
+    def interrupted(self, *rest):
+        publish(self, *rest)
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(CommitLog, "_publish", interrupted)
+    with pytest.raises(KeyboardInterrupt):
+        refresh(spark, csv, tables, lean=True)
+    assert read_table(spark, tables.labels).count() == 240
+
+
 def test_features_and_labels_come_from_one_commit(spark, tmp_path):
     """Whoever resolved a commit goes on reading it while the next one is published."""
     csv, _ = feed(tmp_path / "feed.csv")
