@@ -22,19 +22,3 @@ RATIOS = {
     "pipes": _per("n_pipes", "n_words"),
 }
 LOG_WORDS = "log1p(n_words)"
-
-
-def _beyond(value: str, limit: float) -> str:
-    return f"greatest({value} - {limit}, 0D)"
-
-
-# How far a text lies beyond what clean prose shows; 0 within it. So clean texts meet
-# in one dense point, from which random splits cut off the others.
-MARGINS = {
-    "over_symbols": _beyond(_per("n_symbols", "n_words"), 0.1),
-    "over_upper": _beyond(RATIOS["upper"], 0.3),
-    "over_shouts": _beyond(RATIOS["shouts"], 0.2),
-    "over_dup_lines": _beyond(RATIOS["dup_lines"], 0.5),
-    "over_length": f"{_beyond(RATIOS['word_length'], 10)} + {_beyond('3 - ' + RATIOS['word_length'], 0)}",
-    "under_variety": _beyond("0.3 - " + RATIOS["variety"], 0),
-}

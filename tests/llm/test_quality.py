@@ -3,6 +3,7 @@ import zlib
 
 import pytest
 from demandloom.llm import classifier, rules, textstats
+from demandloom.session import materialize
 from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -68,6 +69,24 @@ def test_path_lengths_are_short_for_outliers():
     assert rules.grow([(1.0, 1.0)] * 5, rng, 8).feature == [-1]
 
 
+def test_rows_around_widen_ranges_without_weight():
+    """A dense group away from the reference rows is isolated all the sooner."""
+    rng = random.Random(3)
+    rows = [(rng.random(), 0.0) for _ in range(64)]
+    far = [(rng.random(), 9.0) for _ in range(64)]
+
+    def depth(tree, row):
+        at = 0
+        while tree.feature[at] >= 0:
+            at = (tree.left if row[tree.feature[at]] <= tree.cut[at] else tree.right)[at]
+        return tree.cut[at]
+
+    for around, apart in ((far, True), ([], False)):
+        trees = [rules.grow(rows, random.Random(i), 8, around) for i in range(30)]
+        near, away = (sum(depth(t, r) for t in trees) / 30 for r in (rows[0], far[0]))
+        assert (away < near / 2) == apart
+
+
 def test_mean_path():
     assert rules.mean_path(0) == rules.mean_path(1) == 0
     assert rules.mean_path(2) == 1.0
@@ -119,6 +138,59 @@ def test_rules_reject_poor_documents_and_keep_clean_ones(spark):
     assert n.get((1, False), 0) <= 0.005 * n[(1, True)]
 
 
+def test_scores_are_mean_paths(spark):
+    """``anomaly`` against a walk of every row through every tree."""
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(300)
+    stats = materialize(rules.statistics(docs).drop("_row"), "test-statistics")
+    model = rules.fit(stats, labels)
+    for r in model.judge(stats).collect():
+        total = 0.0
+        for tree in model.forest:
+            at = 0
+            while tree.feature[at] >= 0:
+                low = r[rules.STATISTICS[tree.feature[at]]] <= tree.cut[at]
+                at = (tree.left if low else tree.right)[at]
+            total += tree.cut[at]
+        want = 2 ** (-total / rules.TREES / rules.mean_path(rules.SUBSAMPLE))
+        assert r["anomaly"] == pytest.approx(want, rel=1e-12)
+        assert r["kept"] == (not r["base_failed"] and want <= model.limit)
+
+
+def test_forest_on_labels_it_never_saw(spark):
+    """Fitted and calibrated on every second labelled row, judged on the others."""
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    stats = materialize(rules.statistics(docs).drop("_row"), "test-statistics")
+    seen = F.xxhash64("doc_id") % 2 == 0
+    found = rules.fit(stats, labels.where(seen)).judge(stats).where("not base_failed")
+    n = outcome(spark, found.withColumn("chosen", F.col("kept")), labels.where(~seen))
+    assert n.get((0, True), 0) <= 0.03 * n[(0, False)]
+    assert n.get((1, False), 0) <= 0.003 * n[(1, True)]
+
+
+def test_forest_decides_by_the_labels_and_not_by_limits(spark):
+    """Poor texts whose every ratio is one that clean prose may have, but not so together."""
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(400)]
+    rows, labels = [], []
+    for i in range(600):
+        words = [rng.choice(vocabulary) for _ in range(120)]
+        poor = i % 10 == 0
+        if poor:
+            # 0.08 symbols a word: below any limit that a person would set.
+            for j in rng.sample(range(120), 10):
+                words[j] += "#"
+        rows.append((i, " ".join(words)))
+        labels.append((i, 0 if poor else 1, 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"]: r["kept"] for r in rules.quality_rules(docs, labelled(spark, labels)).collect()}
+    poor = [i for i in range(600) if i % 10 == 0]
+    assert not any(kept[i] for i in poor)
+    assert all(kept[i] for i in range(600) if i % 10)
+
+
 def test_classifier_on_rows_it_never_saw(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     found = classifier.op1(spark, SF).cache()
