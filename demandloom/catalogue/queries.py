@@ -31,7 +31,7 @@ from demandloom.plans.select import select
 from demandloom.plans.serve import serve
 from demandloom.plans.train import train
 from demandloom.session import materialize, prepare, scratch_path
-from demandloom.sources.files import read_csv, stamp_ingestion
+from demandloom.sources.files import read_csv, stamp_ingestion, write_csv
 from demandloom.sources.schemas import transactions_schema
 from demandloom.sources.snapshots import Snapshots
 from demandloom.sources.tables import read_table, read_tables, write_table
@@ -60,7 +60,7 @@ def query(run: Query) -> Query:
 @query
 def csv_typed_scan(spark, sf_dir):
     path = scratch_path(spark, "feed")
-    i.bronze_wide(spark, sf_dir).write.option("header", True).csv(path)
+    write_csv(i.bronze_wide(spark, sf_dir), path)
     return read_csv(spark, path, transactions_schema())
 
 
@@ -109,7 +109,7 @@ def ingest_stamp(spark, sf_dir):
 def _refreshed(spark, sf_dir, lean: bool) -> DataFrame:
     """The feature table that a refresh writes from a CSV feed, with the label."""
     root = scratch_path(spark, "refresh")
-    i.bronze_wide(spark, sf_dir).write.option("header", True).csv(f"{root}/feed")
+    write_csv(i.bronze_wide(spark, sf_dir), f"{root}/feed")
     tables = s.Tables.under(root)
     refresh(spark, f"{root}/feed", tables, lean=lean, exact=True)
     labels, features = (read_table(spark, t) for t in (tables.labels, tables.features))
@@ -156,7 +156,7 @@ def refresh_daily(spark, sf_dir):
 def feature_table_properties(spark, sf_dir):
     """Key, description and tags of a feature table in the catalog, and the rows it has."""
     root = scratch_path(spark, "catalog")
-    i.bronze_wide(spark, sf_dir).write.option("header", True).csv(f"{root}/feed")
+    write_csv(i.bronze_wide(spark, sf_dir), f"{root}/feed")
     database = f"features_{uuid.uuid4().hex}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
     tables = s.Tables.in_database(database)
@@ -776,7 +776,7 @@ def alias_model_score(spark, sf_dir):
 def lifecycle_round(spark, sf_dir):
     """Refresh, train, select and serve: the published predictions of a stump."""
     root = scratch_path(spark, "round")
-    i.bronze_wide(spark, sf_dir).write.option("header", True).csv(f"{root}/feed")
+    write_csv(i.bronze_wide(spark, sf_dir), f"{root}/feed")
     tables = s.Tables.under(f"{root}/tables")
     refresh(spark, f"{root}/feed", tables, lean=True, exact=True)
     book = ModelBook(spark, tables.models)

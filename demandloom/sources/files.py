@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
@@ -39,6 +41,19 @@ def read_csv(
     return read.withColumns({f.name: finite(F.col(f.name)).cast(f.dataType) for f in real})
 
 
+# Rows of a compressed file, which one task reads as a whole.
+FILE_ROWS = 500_000
+
+
+def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Delimited files with a header, compressed: text is several times the size of its rows elsewhere."""
+    writer = df.write.option("header", True).option("maxRecordsPerFile", FILE_ROWS)
+    writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.csv(path)
+
+
 def stamp_ingestion(df: DataFrame, name: str = "ingested_at") -> DataFrame:
     """Add the time of the load, one value for the whole query."""
     return df.withColumn(name, F.current_timestamp())

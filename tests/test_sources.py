@@ -3,7 +3,8 @@ from conftest import plan_of, rows
 
 from demandloom import session as session_module
 from demandloom.operators.keyed import lookup_features
-from demandloom.sources.files import read_csv, stamp_ingestion
+from demandloom.session import settings
+from demandloom.sources.files import read_csv, stamp_ingestion, write_csv
 from demandloom.sources.schemas import transactions_schema
 from demandloom.sources.tables import (
     append_rows,
@@ -169,3 +170,31 @@ def test_a_cluster_without_shared_folder_is_an_error():
         session_module.shared_dir(_Session("yarn"))
     assert session_module.shared_dir(_Session("yarn", "hdfs:///c/")) == "hdfs:///c"
     assert session_module.shared_dir(_Session("local[2]")).split("/")[-1].startswith("demandloom-")
+
+
+def test_feed_is_compressed_text_that_reads_back(spark, tmp_path):
+    df = spark.range(1000).selectExpr("id", "concat('name of ', id) name", "if(id = 3, null, id / 4) x")
+    path = tmp_path / "feed"
+    write_csv(df, str(path))
+    files = [f for f in path.iterdir() if f.name.startswith("part-")]
+    assert files and all(f.name.endswith(".csv.gz") for f in files)
+    assert rows(read_csv(spark, str(path), df.schema)) == rows(df)
+
+
+def test_feeds_of_the_queries_are_compressed(spark):
+    from demandloom.catalogue import queries as q
+
+    frame = q.QUERIES["csv_typed_scan"](spark, "/root/testdata/sf0.001")
+    assert frame.count() > 0
+    assert all(f.endswith(".csv.gz") for f in frame.inputFiles())
+
+
+def test_settings_end_with_the_write(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    given = {"spark.sql.files.maxPartitionBytes": "1m", "demandloom.of.nobody": "x"}
+    with pytest.raises(ZeroDivisionError), settings(spark, given):
+        assert spark.conf.get("demandloom.of.nobody") == "x"
+        1 / 0
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+    assert spark.conf.get("demandloom.of.nobody", None) is None
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
