@@ -12,8 +12,8 @@ from demandloom.operators.keyed import fill_cold_start, require_composite_key, s
 from demandloom.operators.panel import series_features, with_calendar
 from demandloom.operators.refine import dedup_by_key, drop_metadata
 from demandloom.plans.dataset import DAYS
-from demandloom.session import scratch_path
-from demandloom.sources.files import read_csv, stamp_ingestion
+from demandloom.session import scratch_path, settings
+from demandloom.sources.files import FILE_ROWS, read_csv, stamp_ingestion
 from demandloom.sources.schemas import transactions_schema
 from demandloom.sources.snapshots import Draft, Snapshots
 from demandloom.sources.tables import (
@@ -28,6 +28,8 @@ from demandloom.sources.tables import (
 # Rows of the feed that do not fit the schema, as text.
 QUARANTINE = "quarantine"
 MALFORMED = "malformed_row"
+# What of the bronze files one task reads to sort it.
+SORTED_BYTES = "16m"
 INNER = ("bronze", "silver", "gold", QUARANTINE)
 
 
@@ -156,18 +158,23 @@ def _draft_layers(
 ) -> dict[str, int]:
     """Every layer written from the one before; rows of those that are products."""
 
-    def write(name: str, df: DataFrame) -> DataFrame:
-        return draft.write(names.get(name, name), df, fmt)
+    def write(name: str, df: DataFrame, options: dict | None = None) -> DataFrame:
+        return draft.write(names.get(name, name), df, fmt, options=options)
 
     if lean:
         facts = gold(lean_silver(read_csv(spark, csv_path, transactions_schema())), exact)
     else:
-        fed = write("bronze", bronze(spark, csv_path, MALFORMED if quarantine else None))
+        wide = {"compression": "zstd"} if fmt == "parquet" else {}
+        fed = bronze(spark, csv_path, MALFORMED if quarantine else None)
+        fed = write("bronze", fed, {**wide, "maxRecordsPerFile": FILE_ROWS})
         if quarantine:
             kept = fed.where(F.col(MALFORMED).isNotNull()).select(MALFORMED, "ingested_at")
             write(QUARANTINE, kept)
             fed = fed.drop(MALFORMED)
-        facts = write("gold", gold(write("silver", silver(fed)), exact))
+        # A task sorts whole rows, which are many times the size that they have in the files.
+        with settings(spark, {"spark.sql.files.maxPartitionBytes": SORTED_BYTES}):
+            kept = write("silver", silver(fed), wide)
+        facts = write("gold", gold(kept, exact))
     features = write("gold_features", gold_features(facts, exact))
     require_composite_key(features, s.KEY, s.TIME, s.SERIES)
     x, y = split_xy(keyed(features), s.FEATURES, s.LABELS)

@@ -392,3 +392,22 @@ def test_cells_that_are_no_finite_number_are_missing(spark, refreshed, tmp_path)
     data = build_dataset(spark, tables)
     train(data, book, OPEN, s.TreeSpec(max_depth=0, min_leaf=3))
     assert select(data, book, s.Lifecycle(threshold=0.9)).status == "rejected"
+
+
+def test_wide_rows_are_sorted_in_parts(spark, refreshed, tmp_path, monkeypatch):
+    from demandloom.plans import refresh as module
+
+    csv, n, _, _ = refreshed
+    monkeypatch.setattr(module, "FILE_ROWS", 50)
+    seen = []
+    silver_of = module.silver
+    monkeypatch.setattr(
+        module,
+        "silver",
+        lambda df: seen.append(spark.conf.get("spark.sql.files.maxPartitionBytes")) or silver_of(df),
+    )
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    tables = s.Tables.under(str(tmp_path / "tables"))
+    refresh(spark, csv, tables)
+    assert len(read_table(spark, tables.bronze).inputFiles()) >= n / 50
+    assert seen == ["16m"] and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
