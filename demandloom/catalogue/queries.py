@@ -30,11 +30,11 @@ from demandloom.plans.refresh import gold, gold_features, refresh
 from demandloom.plans.select import select
 from demandloom.plans.serve import serve
 from demandloom.plans.train import train
-from demandloom.session import materialize, prepare, scratch_path
+from demandloom.session import materialize, prepare, scratch_path, settings
 from demandloom.sources.files import read_csv, stamp_ingestion, write_csv
 from demandloom.sources.schemas import transactions_schema
 from demandloom.sources.snapshots import Snapshots
-from demandloom.sources.tables import read_table, read_tables, write_table
+from demandloom.sources.tables import make_folder, read_table, read_tables, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,7 +131,7 @@ def refresh_daily(spark, sf_dir):
     """Features after four daily refreshes: the first days, half a year without the rows that
     come late, more days with those, and the rest with rows that were sent before."""
     root = scratch_path(spark, "daily")
-    feed = materialize(i.bronze_wide(spark, sf_dir), "feed")
+    feed = i.bronze_wide(spark, sf_dir)
     day = F.col("transaction_date")
     cuts = [F.lit(c).cast("date") for c in ("1998-01-01", "1998-07-01", "2000-01-01")]
     drawn = F.pmod(F.xxhash64(*feed.columns), F.lit(10))
@@ -143,10 +143,15 @@ def refresh_daily(spark, sf_dir):
         ((day >= cuts[1]) & (day < cuts[2])) | late,
         (day >= cuts[2]) | again,
     ]
+    # All feeds by one pass over the joins: a row is written to each feed that has it.
+    of = F.array_compact(F.array(*[F.when(rows, F.lit(n)) for n, rows in enumerate(feeds)]))
+    sent = feed.withColumn("feed", F.explode(of))
+    with settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": str(len(feeds))}):
+        write_csv(sent, f"{root}/feeds", ["feed"])
     tables = s.Tables.under(f"{root}/tables")
-    for number, rows in enumerate(feeds):
-        path = f"{root}/feed-{number}"
-        feed.where(rows).write.option("header", True).csv(path)
+    for number in range(len(feeds)):
+        path = f"{root}/feeds/feed={number}"
+        make_folder(spark, path)
         daily_refresh(spark, path, tables, exact=True)
     labels, features = read_tables(spark, [tables.labels, tables.features])
     return keyed.lookup_features(labels, features, s.KEY)

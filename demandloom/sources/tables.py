@@ -157,3 +157,9 @@ def remove_path(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return files.delete(hadoop_path, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """A folder to read, without rows unless something was written there."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(hadoop_path)

@@ -1,5 +1,6 @@
 """Daily refreshes against one full refresh of all feeds."""
 
+import glob
 import random
 
 import pytest
@@ -167,3 +168,32 @@ def test_daily_job(spark, tmp_path, capsys):
     for wrong in (["daily", "--database", "x", "--csv", "c"], ["daily", "--root", root]):
         with pytest.raises(SystemExit):
             jobs.main(wrong)
+
+
+def test_query_writes_all_feeds_at_once_and_feeds_may_be_empty(spark, tmp_path):
+    from demandloom.catalogue import inputs
+    from demandloom.catalogue import queries as q
+    from demandloom.session import shared_dir
+
+    tables = {
+        "region": "(0, 'R')",
+        "nation": "(0, 'N', 0)",
+        "customer": "(1, 'c', 0, 1.0, 'S')",
+        "supplier": "(1, 's', 0, 1.0)",
+        "part": "(1, 'p', 'B', 'T', 2, 9.5)",
+        "orders": ", ".join(f"({i}, 1, 'O', 1.0, '1995-01-{1 + i % 9:02d}', 'P')" for i in range(30)),
+        "lineitem": ", ".join(
+            f"({i}, 1, 1, 1, {i}.0, 1.0, 0.0, 0.0, 'R', 'F', '1995-02-01')" for i in [*range(30), 3]
+        ),
+    }
+    for name, values in tables.items():
+        columns = inputs.TABLES[name].split(", ")
+        cast = ", ".join(f"cast(col{i} as {c.split()[1]}) {c.split()[0]}" for i, c in enumerate(columns, 1))
+        given = spark.sql(f"select {cast} from values {values}")
+        given.write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = set(glob.glob(f"{shared_dir(spark)}/*"))
+    got = q.QUERIES["refresh_daily"](spark, str(tmp_path))
+    assert rows(got) == rows(q.QUERIES["refresh_features_lean"](spark, str(tmp_path)))
+    assert got.count() == 9 and spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    made = {f.rsplit("/", 1)[1].split("-")[0] for f in set(glob.glob(f"{shared_dir(spark)}/*")) - before}
+    assert "feed" not in made
