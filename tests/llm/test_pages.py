@@ -153,3 +153,37 @@ def test_template_inside_main_elements_goes_and_shared_passages_stay(spark):
     for row, body, shared in whole + mixed:
         assert got[row[0]] == main(f"<main>{body}{shared}</main>")
     assert all(got[200 + i] == f"{line} copy{i}" for i in range(20))
+
+
+def test_size_of_parts_changes_nothing(spark):
+    import random
+
+    rng = random.Random(3)
+    lines = [" ".join(rng.choices([f"w{i}" for i in range(40)], k=12)) for _ in range(9)]
+    shares = [0.05, 0.15, 0.2, 0.25, 0.5, 0.75, 0.8, 0.85, 1]
+    inside = [0, 0, 0, 0, 0.5, 0.75, 0.8, 0.85, 0.95]
+    rows, outside = [], []
+
+    def drawn(chances):
+        return [line for line, chance in zip(lines, chances, strict=True) if rng.random() < chance]
+
+    for i in range(90):
+        around, own = drawn(shares), [f"own{i}x{j}" for j in range(150)]
+        html = "".join(f"<div>{line}</div>" for line in around)
+        if i % 3:
+            template = drawn(inside)
+            html += "<main>" + "".join(f"<p>{line}</p>" for line in template) + f"{' '.join(own)}</main>"
+        else:
+            html += f"<div>{' '.join(own)}</div>"
+        outside.append(" ".join([*around, *([] if i % 3 else own)]).split())
+        # Copies count as one page, wherever they are.
+        rows += [(len(rows) + c, f"http://h/{i}", html, None, 1) for c in range(1 + i % 4)]
+    whole = texts(spark, rows, host_pages=1000)
+    for host_pages in (40, 7):
+        assert texts(spark, rows, host_pages=host_pages) == whole
+    # Pages without a main element lose the runs that the definition finds in the whole host.
+    at, covers = 0, pages.repeated_tokens(outside)
+    for i, (tokens, cover) in enumerate(zip(outside, covers, strict=True)):
+        if not i % 3:
+            assert whole[at] == " ".join(t for t, c in zip(tokens, cover, strict=True) if not c)
+        at += 1 + i % 4
