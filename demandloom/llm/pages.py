@@ -34,7 +34,7 @@ DEALT = (
     "host string, deal long, kind int, is_page boolean, page_id long, url string, id binary, "
     "blocks array<string>, dropped array<boolean>, pairs binary"
 )
-FOUND = "host string, parts int, kind int, run string, n long"
+FOUND = "host string, parts int, kind int, run string, n long, untold long"
 COUNTED = "host string, parts int, kind int, run string, bound double, n long"
 
 
@@ -236,13 +236,14 @@ def counted_streams(group):
 
 def part_runs(group):
     """``FOUND`` rows of a part: runs that may be frequent in the host, and for each kind how
-    much there is in all, without a run.
+    much there is in all, without a run; ``untold`` is the most that other runs can have.
 
     What is frequent in the host is so in one of its parts at least. In the only
     part of a host the host's own limit holds.
     """
+    import math
+
     import numpy as np
-    import pyarrow as pa
 
     host, parts = group.column("host")[0].as_py(), group.column("parts")[0].as_py()
     rows = []
@@ -250,16 +251,19 @@ def part_runs(group):
         if not streams:
             continue
         totals = [sum(w) for w in weights]
-        rows += [(host, parts, k, None, total) for k, total in zip(kinds, totals, strict=True)]
         least = [LIMITS[k][0] if parts == 1 else 1 for k in kinds]
-        if all(total < n for total, n in zip(totals, least, strict=True)):
+        # A little less than the share, so that rounding loses none.
+        given = zip(kinds, totals, least, strict=True)
+        floors = [math.ceil(max(n, LIMITS[k][1] * total * (1 - 1e-9))) for k, total, n in given]
+        given = zip(kinds, totals, floors, strict=True)
+        rows += [(host, parts, k, None, total, floor - 1) for k, total, floor in given]
+        if all(total < floor for total, floor in zip(totals, floors, strict=True)):
             continue
         tokens, starts, sums = shared_runs(streams, weights)
-        for kind, total, floor, n in zip(kinds, totals, least, sums, strict=True):
-            # A little less, so that rounding loses none.
-            for i in np.flatnonzero(n >= max(floor, LIMITS[kind][1] * total * (1 - 1e-9))):
+        for kind, floor, n in zip(kinds, floors, sums, strict=True):
+            for i in np.flatnonzero(n >= floor):
                 found = " ".join(tokens[starts[i] : starts[i] + RUN])
-                rows.append((host, parts, kind, found, int(n[i])))
+                rows.append((host, parts, kind, found, int(n[i]), floor - 1))
     return _table(rows, FOUND)
 
 
@@ -353,7 +357,7 @@ def main_text(pages: DataFrame, host_pages: int = HOST_PAGES) -> DataFrame:
 
     every = F.sequence(F.lit(0).cast("long"), F.col("parts").cast("long") - 1)
     found = dealt.applyInArrow(part_runs, FOUND).groupBy("host", "parts", "kind", "run")
-    found = found.agg(F.sum("n").alias("n"), F.count("*").alias("told"))
+    found = found.agg(F.sum("n").alias("n"), F.sum("untold").alias("untold"))
     # The runs of a host are dealt to as many groups, what there is in all to each of them.
     own = F.array(F.pmod(F.xxhash64("run"), F.col("parts").cast("long")))
     found = found.withColumn("part", F.explode(F.when(F.col("run").isNull(), every).otherwise(own)))
@@ -366,10 +370,12 @@ def main_text(pages: DataFrame, host_pages: int = HOST_PAGES) -> DataFrame:
     for kind, (least, share) in LIMITS.items():
         limit = F.greatest(F.lit(float(least)), F.lit(share) * in_all("n"))
         bound = F.when(F.col("kind") == kind, limit).otherwise(bound)
-    # Not settled by the parts that told it: too few so far, and some told nothing.
+    # Not settled by the parts that told it: too few there, but not with the most that the
+    # others can have.
     many = F.col("n") >= F.col("bound")
-    asked = found.select("*", bound.alias("bound"), in_all("told").alias("tellers"))
-    asked = asked.where("run is not null").where(many | (F.col("told") < F.col("tellers")))
+    most = F.col("n") + F.col("others") - F.col("untold")
+    asked = found.select("*", bound.alias("bound"), in_all("untold").alias("others"))
+    asked = asked.where("run is not null").where(most >= F.col("bound"))
     asked = asked.withColumn("settled", many)
     asked = to_parts(asked, F.when(F.col("settled"), F.array("part")).otherwise(every))
     counted = dealt.cogroup(asked).applyInArrow(recounted, COUNTED)
