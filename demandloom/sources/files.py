@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StringType, StructType
 
 from demandloom.functions.exact import finite
+from demandloom.session import ONE_USE, settings
 
 
 def read_csv(
@@ -48,10 +49,11 @@ FILE_ROWS = 500_000
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Delimited files with a header, compressed: text is several times the size of its rows elsewhere."""
     writer = df.write.option("header", True).option("maxRecordsPerFile", FILE_ROWS)
-    writer = writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+    writer = writer.option("compression", "gzip").option("zlib.compress.level", "FOUR")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.csv(path)
+    with settings(df.sparkSession, ONE_USE):
+        writer.csv(path)
 
 
 def stamp_ingestion(df: DataFrame, name: str = "ingested_at") -> DataFrame:

@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from demandloom.session import ONE_USE, settings
 from demandloom.sources.commits import CommitLog
 
 COMMITS, DATA = "_commits", "_data"
@@ -46,7 +47,8 @@ class Draft:
         writer = df.observe(counted, F.count(F.lit(1)).alias("n")).write.format(fmt)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.options(**(options or {})).save(f"{self.root}/{path}")
+        with settings(self.spark, ONE_USE):
+            writer.options(**(options or {})).save(f"{self.root}/{path}")
         self.tables[name] = {"paths": [path], "rows": counted.get["n"]}
         return self.read(name, fmt)
 
