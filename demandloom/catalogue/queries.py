@@ -34,7 +34,7 @@ from demandloom.session import materialize, prepare, scratch_path, settings
 from demandloom.sources.files import read_csv, stamp_ingestion, write_csv
 from demandloom.sources.schemas import transactions_schema
 from demandloom.sources.snapshots import Snapshots
-from demandloom.sources.tables import make_folder, read_table, read_tables, write_table
+from demandloom.sources.tables import make_folder, read_table, read_tables, remove_path, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,6 +112,7 @@ def _refreshed(spark, sf_dir, lean: bool) -> DataFrame:
     write_csv(i.bronze_wide(spark, sf_dir), f"{root}/feed")
     tables = s.Tables.under(root)
     refresh(spark, f"{root}/feed", tables, lean=lean, exact=True)
+    remove_path(spark, f"{root}/feed")
     labels, features = (read_table(spark, t) for t in (tables.labels, tables.features))
     return keyed.lookup_features(labels, features, s.KEY)
 
@@ -153,6 +154,7 @@ def refresh_daily(spark, sf_dir):
         path = f"{root}/feeds/feed={number}"
         make_folder(spark, path)
         daily_refresh(spark, path, tables, exact=True)
+        remove_path(spark, path)
     labels, features = read_tables(spark, [tables.labels, tables.features])
     return keyed.lookup_features(labels, features, s.KEY)
 

@@ -1,5 +1,6 @@
 """What a refresh and the feeds of the queries leave on disk, and what they exchange."""
 
+import glob
 import random
 import time
 
@@ -9,9 +10,10 @@ from test_daily import line, write
 
 from demandloom import settings as s
 from demandloom.catalogue import inputs
+from demandloom.catalogue.queries import QUERIES
 from demandloom.operators import refine
 from demandloom.plans.refresh import refresh
-from demandloom.session import materialize, settings
+from demandloom.session import materialize, settings, shared_dir
 from demandloom.sources.files import write_csv
 from demandloom.sources.snapshots import Snapshots
 from demandloom.sources.tables import read_table
@@ -139,3 +141,13 @@ def test_refresh_exchanges_repeated_transactions_only(spark, tmp_path, monkeypat
     counts = refresh(spark, write(tmp_path / "feed.csv", [*lines, *again]), tables, exact=True)
     assert (counts["bronze"], counts["silver"], met) == (205, 200, [10])
     assert read_table(spark, tables.silver).where("demand_quantity % 1 > 0").count() == 0
+
+
+@pytest.mark.parametrize("name", ["refresh_features", "refresh_daily"])
+def test_feed_goes_when_it_is_refreshed(spark, tables, name):
+    def feeds():
+        return {f for f in glob.glob(f"{shared_dir(spark)}/**/*.csv.gz", recursive=True)}
+
+    before = feeds()
+    got = QUERIES[name](spark, tables)
+    assert not feeds() - before and got.count() > 0
