@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from demandloom.functions.keys import after, up_to
-from demandloom.session import materialize
+from demandloom.session import ONE_USE, materialize, settings
 
 SPLITS = ("train", "validation", "test")
 # Order tuples that the driver may fetch at the end of a search.
@@ -296,7 +296,8 @@ def write_profiled(
         inside = F.col("_split") == name
         counts.append(F.count_if(inside).alias(f"{i}_rows"))
         counts += [F.count_if(inside & F.col(c).isNull()).alias(f"{i}_{k}") for k, c in enumerate(columns)]
-    labelled.observe(seen, *counts).drop("_split").write.parquet(path)
+    with settings(spark, ONE_USE):
+        labelled.observe(seen, *counts).drop("_split").write.parquet(path)
     found = seen.get
     rows = [
         (name, found[f"{i}_rows"], *[found[f"{i}_{k}"] for k in range(len(columns))])

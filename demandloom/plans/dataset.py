@@ -11,7 +11,7 @@ from demandloom.operators.chrono import SPLITS, ChronoSplit, fit_chrono_split, w
 from demandloom.operators.encode import require_columns
 from demandloom.operators.keyed import lookup_features
 from demandloom.operators.trees import score
-from demandloom.session import scratch_path
+from demandloom.session import ONE_USE, scratch_path, settings
 from demandloom.sources.snapshots import locate
 from demandloom.sources.tables import beside, committed, read_tables, remove_path, split_path
 
@@ -57,7 +57,8 @@ class Dataset:
                 frame = score(renamed, frame, column)
                 self._scored[name] = column
             folder = scratch_path(frame.sparkSession, "scored")
-            frame.write.parquet(folder)
+            with settings(frame.sparkSession, ONE_USE):
+                frame.write.parquet(folder)
             self._scratch.append(folder)
             self._test = frame.sparkSession.read.schema(frame.schema).parquet(folder)
         return self._test, {name: self._scored[name] for name in models}
@@ -98,7 +99,8 @@ def build_dataset(
     labels, features, *per_day = read_tables(spark, [*refs, days] if kept else refs, fmt)
     joined = lookup_features(labels, features, s.KEY)
     if not kept:
-        joined.write.parquet(path)
+        with settings(spark, ONE_USE):
+            joined.write.parquet(path)
         data = split_dataset(spark.read.schema(joined.schema).parquet(path))
         data.path = path
         return data

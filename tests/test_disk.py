@@ -12,6 +12,7 @@ from demandloom import settings as s
 from demandloom.catalogue import inputs
 from demandloom.catalogue.queries import QUERIES
 from demandloom.operators import refine
+from demandloom.operators.chrono import ChronoSplit, write_profiled
 from demandloom.plans.refresh import refresh
 from demandloom.session import materialize, settings, shared_dir
 from demandloom.sources.files import write_csv
@@ -84,10 +85,12 @@ def test_exchanged_files_go_with_the_write(spark, tmp_path):
     def spread():
         return spark.range(1000).repartition(3, "id")
 
+    split = ChronoSplit(("id",), ("bigint",), (0, 0, 1000), None, None)
     writes = {
         "text": lambda: write_csv(spread(), str(tmp_path / "text")),
         "draft": lambda: Snapshots(spark, str(tmp_path / "root")).draft().write("t", spread()),
         "scratch": lambda: materialize(spread(), "spread"),
+        "training set": lambda: write_profiled(spread(), split, ["id"], str(tmp_path / "rows")),
     }
     for name, run in writes.items():
         before = exchanged_files(spark)
@@ -143,7 +146,7 @@ def test_refresh_exchanges_repeated_transactions_only(spark, tmp_path, monkeypat
     assert read_table(spark, tables.silver).where("demand_quantity % 1 > 0").count() == 0
 
 
-@pytest.mark.parametrize("name", ["refresh_features", "refresh_daily"])
+@pytest.mark.parametrize("name", ["refresh_features", "refresh_daily", "lifecycle_round"])
 def test_feed_goes_when_it_is_refreshed(spark, tables, name):
     def feeds():
         return {f for f in glob.glob(f"{shared_dir(spark)}/**/*.csv.gz", recursive=True)}
