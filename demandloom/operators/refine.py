@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from demandloom.session import materialize
 
-# Rows of a table up to which ``dedup_stored`` tells them apart by one bit each, 256 MB in all.
+# Rows of a table up to which ``split_repeated`` tells them apart by one bit each, 256 MB in all.
 TOLD_ROWS = 1 << 31
 
 
@@ -41,16 +41,16 @@ def dedup_by_key(
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
-def dedup_stored(table: DataFrame, key: Sequence[str], order: Sequence[str] | None = None) -> DataFrame:
-    """``dedup_by_key`` of a table of parquet files: a row whose key comes once is not exchanged.
+def split_repeated(table: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """The rows of a table of parquet files whose key comes once, and those whose key may come again.
 
-    Which rows these are is found from a hash of the key and the row's place in its file, and
-    comes back to the files as one bit a row. All others, those of keys that share a hash
-    included, go through ``dedup_by_key``. Of a larger table than ``TOLD_ROWS`` all rows do.
+    Rows of the first part need no exchange to be told apart by key. Which they are is found
+    from a hash of the key and the row's place in its file, and comes back to the files as one
+    bit a row. Keys that share a hash are in the second part, as are all rows
+    of a table larger than ``TOLD_ROWS``.
     """
     if table.count() > TOLD_ROWS:
-        return dedup_by_key(table, key, order)
-    order = list(order) if order is not None else [c for c in table.columns if c not in key]
+        return table.where("false"), table
     # In blocks of 4096 rows of a file, each an array of 64 numbers of 64 bits.
     placed = _with_place(table)
     once = (
@@ -71,8 +71,7 @@ def dedup_stored(table: DataFrame, key: Sequence[str], order: Sequence[str] | No
     marked = placed.withColumn("_block", F.expr("_place >> 12")).join(F.broadcast(told), "_block", "left")
     bit = "getbit(element_at(_words, cast((_place >> 6) & 63 as int) + 1), cast(_place & 63 as int))"
     marked = marked.withColumn("_once", F.expr(f"coalesce({bit}, 0) = 1"))
-    alone = marked.where("_once").select(*table.columns)
-    return alone.unionByName(dedup_by_key(marked.where("not _once").select(*table.columns), key, order))
+    return marked.where("_once").select(*table.columns), marked.where("not _once").select(*table.columns)
 
 
 def _with_place(table: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from demandloom.operators.chrono import rows_per_day
 from demandloom.operators.facts import daily_facts
 from demandloom.operators.keyed import fill_cold_start, require_composite_key, split_xy, with_key
 from demandloom.operators.panel import series_features, with_calendar
-from demandloom.operators.refine import dedup_by_key, dedup_stored, drop_metadata
+from demandloom.operators.refine import dedup_by_key, drop_metadata, split_repeated
 from demandloom.plans.dataset import DAYS
 from demandloom.session import scratch_path, settings
 from demandloom.sources.files import FILE_ROWS, read_csv, stamp_ingestion
@@ -38,8 +38,8 @@ def bronze(spark: SparkSession, csv_path: str, corrupt_column: str | None = None
     return stamp_ingestion(read_csv(spark, csv_path, schema, corrupt_column=corrupt_column))
 
 
-def silver(bronze_df: DataFrame, stored: bool = False) -> DataFrame:
-    """Without metadata, one row per transaction; ``stored`` if ``bronze_df`` is a table of parquet files.
+def silver(bronze_df: DataFrame) -> DataFrame:
+    """Without metadata, one row per transaction.
 
     Of several rows with one id, the first by the columns that reach the facts
     stays, then by the rest. The ingestion stamp, one value per load, is left out.
@@ -47,8 +47,13 @@ def silver(bronze_df: DataFrame, stored: bool = False) -> DataFrame:
     cleaned = drop_metadata(bronze_df, s.METADATA)
     apart = (s.SOURCE_KEY, "ingested_at", *s.USED)
     rest = [c for c in cleaned.columns if c not in apart]
-    dedup = dedup_stored if stored else dedup_by_key
-    return dedup(cleaned, [s.SOURCE_KEY], [*s.USED, *rest])
+    return dedup_by_key(cleaned, [s.SOURCE_KEY], [*s.USED, *rest])
+
+
+def silver_of_files(bronze_df: DataFrame) -> DataFrame:
+    """``silver`` of a table of parquet files, where whole rows are exchanged only if their id may repeat."""
+    alone, again = split_repeated(bronze_df, [s.SOURCE_KEY])
+    return drop_metadata(alone, s.METADATA).unionByName(silver(again))
 
 
 def lean_silver(bronze_df: DataFrame) -> DataFrame:
@@ -174,7 +179,7 @@ def _draft_layers(
             fed = fed.drop(MALFORMED)
         # A task sorts whole rows, which are many times the size that they have in the files.
         with settings(spark, {"spark.sql.files.maxPartitionBytes": SORTED_BYTES}):
-            kept = write("silver", silver(fed, fmt == "parquet"), wide)
+            kept = write("silver", silver_of_files(fed) if fmt == "parquet" else silver(fed), wide)
         facts = write("gold", gold(kept, exact))
     features = write("gold_features", gold_features(facts, exact))
     require_composite_key(features, s.KEY, s.TIME, s.SERIES)

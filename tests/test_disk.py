@@ -13,6 +13,7 @@ from demandloom.catalogue import inputs
 from demandloom.catalogue.queries import QUERIES
 from demandloom.operators import refine
 from demandloom.operators.chrono import ChronoSplit, write_profiled
+from demandloom.plans import refresh as module
 from demandloom.plans.refresh import refresh
 from demandloom.session import materialize, settings, shared_dir
 from demandloom.sources.files import write_csv
@@ -113,37 +114,34 @@ def repeated(spark, folder, files=3):
     return spark.read.parquet(folder)
 
 
-def test_stored_dedup_is_the_same(spark, tmp_path, monkeypatch):
+def test_rows_of_keys_that_come_once_are_told(spark, tmp_path, monkeypatch):
     table = repeated(spark, str(tmp_path / "t"))
-    for key, order in ((["k"], None), (["k"], ["a"]), (["k", "a"], None)):
-        one, two = refine.dedup_by_key(table, key, order), refine.dedup_stored(table, key, order)
-        seen = [*key, *(order or ["a", "b"])]
-        assert two.columns == table.columns
-        assert rows(one.select(*seen)) == rows(two.select(*seen))
-    few = table.drop("b").select("a", "k")
-    assert rows(refine.dedup_stored(few, ["k"])) == rows(refine.dedup_by_key(few, ["k"]))
+    alone, again = refine.split_repeated(table, ["k"])
+    assert alone.columns == again.columns == table.columns
+    assert rows(alone.unionByName(again)) == rows(table)
+    assert again.count() == 40 + 900 + 30 + 300
+    assert alone.join(again, alone.k.eqNullSafe(again.k)).count() == 0
+    for key, order in ((["k"], None), (["k"], ["a", "b"]), (["a", "k"], None)):
+        alone, again = refine.split_repeated(table, key)
+        whole = alone.unionByName(refine.dedup_by_key(again, key, order))
+        assert rows(whole) == rows(refine.dedup_by_key(table, key, order))
     none = spark.read.schema(table.schema).parquet(str(tmp_path / "t")).where("a > 10")
-    assert refine.dedup_stored(none, ["k"]).count() == 0
+    assert [part.count() for part in refine.split_repeated(none, ["k"])] == [0, 0]
     monkeypatch.setattr(refine, "TOLD_ROWS", 100)
-    assert rows(refine.dedup_stored(table, ["k"])) == rows(refine.dedup_by_key(table, ["k"]))
-
-
-def test_stored_dedup_exchanges_repeated_keys_only(spark, tmp_path, monkeypatch):
-    table, met, by_key = repeated(spark, str(tmp_path / "t")), [], refine.dedup_by_key
-    monkeypatch.setattr(refine, "dedup_by_key", lambda df, *rest: met.append(df.count()) or by_key(df, *rest))
-    assert refine.dedup_stored(table, ["k"]).count() == 9002
-    assert met == [40 + 900 + 30 + 300]
+    assert [part.count() for part in refine.split_repeated(table, ["k"])] == [0, table.count()]
 
 
 def test_refresh_exchanges_repeated_transactions_only(spark, tmp_path, monkeypatch):
     lines = [line(i, i % 9, "A", "Rome", i) for i in range(200)]
     again = [line(i, i % 9, "A", "Rome", i + 0.5) for i in range(5)]
     met, by_key = [], refine.dedup_by_key
-    monkeypatch.setattr(refine, "dedup_by_key", lambda df, *rest: met.append(df.count()) or by_key(df, *rest))
+    monkeypatch.setattr(module, "dedup_by_key", lambda df, *rest: met.append(df.count()) or by_key(df, *rest))
     tables = s.Tables.under(str(tmp_path / "tables"))
     counts = refresh(spark, write(tmp_path / "feed.csv", [*lines, *again]), tables, exact=True)
     assert (counts["bronze"], counts["silver"], met) == (205, 200, [10])
-    assert read_table(spark, tables.silver).where("demand_quantity % 1 > 0").count() == 0
+    kept, bronze = read_table(spark, tables.silver), read_table(spark, tables.bronze)
+    assert rows(kept.select(bronze.columns[:6])) == rows(module.silver(bronze).select(bronze.columns[:6]))
+    assert kept.where("demand_quantity % 1 > 0").count() == 0 and set(kept.columns) < set(bronze.columns)
 
 
 @pytest.mark.parametrize("name", ["refresh_features", "refresh_daily", "lifecycle_round"])
